@@ -37,186 +37,148 @@ STAR = {
 class RoleTables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._read_tables: dict[str, DataFrame] = {}
 
     def _read(self, name: str) -> DataFrame:
-        return self.spark.read.schema(STAR[name]).parquet(f"{self.folder}/{name}.parquet")
+        if name not in self._read_tables:
+            self._read_tables[name] = self.spark.read.schema(STAR[name]).parquet(f"{self.folder}/{name}.parquet")
+        return self._read_tables[name]
 
     @cached_property
     def employees(self) -> DataFrame:
-        key = F.col("c_custkey")
-        first_order = (
-            self._read("orders").groupBy("o_custkey").agg(F.min("o_orderdate").cast("date").alias("first_order"))
-        )
-        people = (
+        first_order = self._read("orders").groupBy("o_custkey").agg(F.expr("CAST(min(o_orderdate) AS DATE) AS first_order"))
+        return (
             self._read("customer")
-            .join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-            .join(first_order, F.col("o_custkey") == key, "left")
-        )
-        gender = F.when(key % 20 == 0, "Non-Binary").when(key % 20 < 11, "Female").otherwise("Male")
-        contract = F.when(key % 5 == 0, "Fixed-Term").when(key % 5 == 1, "Part-Time").otherwise("Permanent")
-        manager = F.when(key % 100 == 7, "missing").when(key % 10 != 0, (key - key % 10).cast("string"))
-        campus = F.when(key % 9 == 0, " main campus ").when(key % 9 == 1, "Remote").otherwise("Main Campus")
-        status = F.when(key % 8 == 3, "Resigned").when(key % 40 == 5, "Retired").otherwise("Active")
-        return people.select(
-            key.cast("string").alias("employee_id"),
-            F.split_part("c_name", F.lit("#"), F.lit(1)).alias("first_name"),
-            F.split_part("c_name", F.lit("#"), F.lit(2)).alias("last_name"),
-            gender.alias("gender"),
-            F.date_add(F.lit(dt.date(1958, 1, 1)), (key * 37 % 9000).cast("int")).alias("date_of_birth"),
-            F.when(key % 4 == 0, "A").otherwise("B").alias("nationality"),
-            F.coalesce("first_order", F.lit(dt.date(1995, 1, 1))).alias("hire_date"),
-            F.col("c_mktsegment").alias("department"),
-            F.lit("Officer").alias("job_title"),
-            contract.alias("employment_type"),
-            F.col("n_name").alias("grade"),
-            (F.col("c_acctbal") * 10 + 30000).cast("decimal(10,2)").alias("salary"),
-            manager.alias("manager_id"),
-            campus.alias("campus"),
-            status.alias("status"),
-            (F.col("n_regionkey") < 2).alias("is_academic"),
+            .join(self._read("nation"), F.expr("c_nationkey = n_nationkey"))
+            .join(first_order, F.expr("o_custkey = c_custkey"), "left")
+            .selectExpr(
+                "CAST(c_custkey AS STRING) AS employee_id",
+                "split_part(c_name, '#', 1) AS first_name",
+                "split_part(c_name, '#', 2) AS last_name",
+                "CASE WHEN c_custkey % 20 = 0 THEN 'Non-Binary' WHEN c_custkey % 20 < 11 THEN 'Female' "
+                "ELSE 'Male' END AS gender",
+                "date_add(DATE '1958-01-01', CAST(c_custkey * 37 % 9000 AS INT)) AS date_of_birth",
+                "if(c_custkey % 4 = 0, 'A', 'B') AS nationality",
+                "coalesce(first_order, DATE '1995-01-01') AS hire_date",
+                "c_mktsegment AS department",
+                "'Officer' AS job_title",
+                "CASE c_custkey % 5 WHEN 0 THEN 'Fixed-Term' WHEN 1 THEN 'Part-Time' ELSE 'Permanent' END "
+                "AS employment_type",
+                "n_name AS grade",
+                "CAST(c_acctbal * 10 + 30000 AS DECIMAL(10,2)) AS salary",
+                "CASE WHEN c_custkey % 100 = 7 THEN 'missing' "
+                "WHEN c_custkey % 10 <> 0 THEN CAST(c_custkey - c_custkey % 10 AS STRING) END AS manager_id",
+                "CASE c_custkey % 9 WHEN 0 THEN ' main campus ' WHEN 1 THEN 'Remote' ELSE 'Main Campus' END AS campus",
+                "CASE WHEN c_custkey % 8 = 3 THEN 'Resigned' WHEN c_custkey % 40 = 5 THEN 'Retired' "
+                "ELSE 'Active' END AS status",
+                "n_regionkey < 2 AS is_academic",
+            )
         )
 
     @cached_property
     def absences(self) -> DataFrame:
-        key, day = F.col("o_orderkey"), F.col("o_orderdate").cast("date")
-        kinds = {
-            "1-URGENT": "Certified Sick Leave",
-            "2-HIGH": "Uncertified Sick Leave",
-            "3-MEDIUM": "Annual Leave",
-            "4-NOT SPECIFIED": "Study Leave",
-        }
-        kind = F.lit("Other")
-        for priority, name in reversed(kinds.items()):
-            kind = F.when(F.col("o_orderpriority") == priority, name).otherwise(kind)
-        length = (key % 14).cast("int")
-        interview = F.when(
-            F.col("o_orderpriority").isin("1-URGENT", "2-HIGH") & (length >= 3), F.col("o_orderstatus") != "P"
-        )
-        return self._read("orders").select(
-            key.cast("string").alias("absence_id"),
-            F.when(key % 997 == 0, "missing").otherwise(F.col("o_custkey").cast("string")).alias("employee_id"),
-            kind.alias("absence_type"),
-            day.alias("start_date"),
-            F.date_add(day, length).alias("end_date"),
-            (length + F.when(key % 101 == 0, 1).otherwise(0)).cast("int").alias("days_absent"),
-            (key % 33 != 0).alias("approved"),
-            interview.alias("return_to_work_interview"),
+        return self._read("orders").selectExpr(
+            "CAST(o_orderkey AS STRING) AS absence_id",
+            "if(o_orderkey % 997 = 0, 'missing', CAST(o_custkey AS STRING)) AS employee_id",
+            "CASE o_orderpriority WHEN '1-URGENT' THEN 'Certified Sick Leave' "
+            "WHEN '2-HIGH' THEN 'Uncertified Sick Leave' WHEN '3-MEDIUM' THEN 'Annual Leave' "
+            "WHEN '4-NOT SPECIFIED' THEN 'Study Leave' ELSE 'Other' END AS absence_type",
+            "CAST(o_orderdate AS DATE) AS start_date",
+            "date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 14 AS INT)) AS end_date",
+            "CAST(o_orderkey % 14 + if(o_orderkey % 101 = 0, 1, 0) AS INT) AS days_absent",
+            "o_orderkey % 33 <> 0 AS approved",
+            "if(o_orderpriority IN ('1-URGENT', '2-HIGH') AND o_orderkey % 14 >= 3, o_orderstatus <> 'P', NULL) "
+            "AS return_to_work_interview",
         )
 
     @cached_property
     def recruitment(self) -> DataFrame:
-        key, state, day = F.col("o_orderkey"), F.col("o_orderstatus"), F.col("o_orderdate").cast("date")
-        length = (key % 120).cast("int")
-        filled = state == "F"
-        openings = (
+        return (
             self._read("orders")
-            .join(self._read("customer"), F.col("o_custkey") == F.col("c_custkey"))
-            .join(self._read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        )
-        return openings.select(
-            key.cast("string").alias("job_req_id"),
-            F.lit("Officer").alias("job_title"),
-            F.col("c_mktsegment").alias("department"),
-            (F.col("n_regionkey") < 2).alias("is_academic"),
-            day.alias("date_opened"),
-            F.when(state != "O", F.date_add(day, length)).alias("date_closed"),
-            F.when(filled, length).alias("time_to_fill_days"),
-            F.col("o_orderpriority").alias("source"),
-            F.when(filled, "Filled")
-            .when(state == "O", "Ongoing")
-            .when(key % 2 == 0, "Cancelled")
-            .otherwise("Withdrawn")
-            .alias("outcome"),
-            F.when(filled & (key % 211 == 0), "missing")
-            .when(filled, F.col("o_custkey").cast("string"))
-            .alias("hired_employee_id"),
-            (28000 + key % 50 * 1000).cast("decimal(10,2)").alias("salary_band_min"),
-            (40000 + key % 50 * 1000).cast("decimal(10,2)").alias("salary_band_max"),
+            .join(self._read("customer"), F.expr("o_custkey = c_custkey"))
+            .join(self._read("nation"), F.expr("c_nationkey = n_nationkey"))
+            .selectExpr(
+                "CAST(o_orderkey AS STRING) AS job_req_id",
+                "'Officer' AS job_title",
+                "c_mktsegment AS department",
+                "n_regionkey < 2 AS is_academic",
+                "CAST(o_orderdate AS DATE) AS date_opened",
+                "if(o_orderstatus = 'O', NULL, date_add(CAST(o_orderdate AS DATE), CAST(o_orderkey % 120 AS INT))) "
+                "AS date_closed",
+                "if(o_orderstatus = 'F', CAST(o_orderkey % 120 AS INT), NULL) AS time_to_fill_days",
+                "o_orderpriority AS source",
+                "CASE WHEN o_orderstatus = 'F' THEN 'Filled' WHEN o_orderstatus = 'O' THEN 'Ongoing' "
+                "WHEN o_orderkey % 2 = 0 THEN 'Cancelled' ELSE 'Withdrawn' END AS outcome",
+                "CASE WHEN o_orderstatus = 'F' AND o_orderkey % 211 = 0 THEN 'missing' "
+                "WHEN o_orderstatus = 'F' THEN CAST(o_custkey AS STRING) END AS hired_employee_id",
+                "CAST(28000 + o_orderkey % 50 * 1000 AS DECIMAL(10,2)) AS salary_band_min",
+                "CAST(40000 + o_orderkey % 50 * 1000 AS DECIMAL(10,2)) AS salary_band_max",
+            )
         )
 
     @cached_property
     def leavers(self) -> DataFrame:
-        key = F.col("c_custkey")
-        last_order = (
-            self._read("orders").groupBy("o_custkey").agg(F.max("o_orderdate").cast("date").alias("last_order"))
-        )
-        gone = (
+        last_order = self._read("orders").groupBy("o_custkey").agg(F.expr("CAST(max(o_orderdate) AS DATE) AS last_order"))
+        return (
             self._read("customer")
-            .filter((key % 8 == 3) | (key % 40 == 5))
-            .join(last_order, F.col("o_custkey") == key, "left")
-        )
-        left_on = F.when(key % 48 == 3, F.lit(dt.date(1994, 6, 30))).otherwise(
-            F.coalesce("last_order", F.lit(dt.date(2001, 8, 1)))
-        )
-        reason = F.when(key % 8 != 3, "Retirement").when(key % 16 == 3, "Resignation").otherwise("Dismissal")
-        destination = F.when(key % 8 != 3, "Retired").when(key % 3 == 0, "Another HEI").otherwise("Private Sector")
-        return gone.select(
-            key.cast("string").alias("employee_id"),
-            left_on.alias("leaving_date"),
-            reason.alias("reason_for_leaving"),
-            ((key % 90).cast("decimal(5,1)") / 10).cast("decimal(5,1)").alias("years_of_service"),
-            (key % 7 != 0).alias("exit_interview_completed"),
-            (~((key % 8 == 3) & (key % 16 != 3))).alias("rehire_eligible"),
-            destination.alias("destination"),
+            .filter("c_custkey % 8 = 3 OR c_custkey % 40 = 5")
+            .join(last_order, F.expr("o_custkey = c_custkey"), "left")
+            .selectExpr(
+                "CAST(c_custkey AS STRING) AS employee_id",
+                "if(c_custkey % 48 = 3, DATE '1994-06-30', coalesce(last_order, DATE '2001-08-01')) AS leaving_date",
+                "CASE WHEN c_custkey % 8 <> 3 THEN 'Retirement' WHEN c_custkey % 16 = 3 THEN 'Resignation' "
+                "ELSE 'Dismissal' END AS reason_for_leaving",
+                "CAST(c_custkey % 90 / 10BD AS DECIMAL(5,1)) AS years_of_service",
+                "c_custkey % 7 <> 0 AS exit_interview_completed",
+                "NOT (c_custkey % 8 = 3 AND c_custkey % 16 <> 3) AS rehire_eligible",
+                "CASE WHEN c_custkey % 8 <> 3 THEN 'Retired' WHEN c_custkey % 3 = 0 THEN 'Another HEI' "
+                "ELSE 'Private Sector' END AS destination",
+            )
         )
 
     @cached_property
     def training(self) -> DataFrame:
-        lines = (
+        return (
             self._read("lineitem")
-            .join(self._read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-            .join(self._read("part"), F.col("l_partkey") == F.col("p_partkey"))
-        )
-        provider = (
-            F.when(F.col("l_returnflag") == "N", "Internal")
-            .when(F.col("l_returnflag") == "A", "External")
-            .otherwise("Skillnet Ireland")
-        )
-        mandatory = F.col("p_brand").isin("Brand#1", "Brand#2", "Brand#3") & F.col("p_type").isin("PROMO", "SMALL")
-        return lines.select(
-            F.concat(F.col("l_orderkey").cast("string"), F.lit("-"), F.col("l_linenumber").cast("string")).alias(
-                "training_id"
-            ),
-            F.col("o_custkey").cast("string").alias("employee_id"),
-            F.concat("p_type", F.lit(" "), "p_brand").alias("course_name"),
-            F.col("p_type").alias("category"),
-            provider.alias("provider"),
-            F.col("l_shipdate").cast("date").alias("completion_date"),
-            F.col("l_quantity").cast("int").alias("duration_hours"),
-            (F.col("l_discount") < 0.095).alias("passed"),
-            F.col("l_extendedprice").cast("decimal(10,2)").alias("cost_eur"),
-            mandatory.alias("mandatory"),
+            .join(self._read("orders"), F.expr("l_orderkey = o_orderkey"))
+            .join(self._read("part"), F.expr("l_partkey = p_partkey"))
+            .selectExpr(
+                "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS training_id",
+                "CAST(o_custkey AS STRING) AS employee_id",
+                "concat(p_type, ' ', p_brand) AS course_name",
+                "p_type AS category",
+                "CASE l_returnflag WHEN 'N' THEN 'Internal' WHEN 'A' THEN 'External' ELSE 'Skillnet Ireland' END "
+                "AS provider",
+                "CAST(l_shipdate AS DATE) AS completion_date",
+                "CAST(l_quantity AS INT) AS duration_hours",
+                "l_discount < 0.095 AS passed",
+                "CAST(l_extendedprice AS DECIMAL(10,2)) AS cost_eur",
+                "p_brand IN ('Brand#1', 'Brand#2', 'Brand#3') AND p_type IN ('PROMO', 'SMALL') AS mandatory",
+            )
         )
 
     @cached_property
     def staff_profile(self) -> DataFrame:
-        cells = [
-            F.struct(
-                F.lit(gender).alias("gender"),
-                F.lit(weight).alias("weight"),
-                F.lit(contract).alias("contract_type"),
-                F.lit(extra).alias("extra"),
-            )
-            for gender, weight in (("Female", 6), ("Male", 5))
-            for contract, extra in (("Permanent", 2), ("Fixed-Term", 1))
-        ]
-        per_grade = (
+        return (
             self._read("supplier")
-            .join(self._read("nation").filter("n_nationkey < 22"), F.col("s_nationkey") == F.col("n_nationkey"))
+            .join(self._read("nation").filter("n_nationkey < 22"), F.expr("s_nationkey = n_nationkey"))
             .groupBy("n_regionkey", "n_name")
-            .agg(F.count(F.lit(1)).alias("suppliers"))
-            .withColumn("cell", F.explode(F.array(*cells)))
-        )
-        headcount = F.col("suppliers") * F.col("cell.weight") + F.col("cell.extra")
-        return per_grade.select(
-            F.lit("Reference").alias("institution"),
-            F.lit(2023).alias("year"),
-            F.when(F.col("n_regionkey") < 2, "Academic").otherwise("Professional & Support").alias("staff_category"),
-            F.col("n_name").alias("grade"),
-            "cell.gender",
-            headcount.cast("int").alias("headcount"),
-            "cell.contract_type",
-            (headcount * F.lit(0.8).cast("decimal(2,1)")).cast("decimal(8,1)").alias("fte"),
+            .agg(F.expr("count(1) AS suppliers"))
+            .selectExpr(
+                "*",
+                "inline(array(('Female', 6, 'Permanent', 2), ('Female', 6, 'Fixed-Term', 1), "
+                "('Male', 5, 'Permanent', 2), ('Male', 5, 'Fixed-Term', 1))) AS (gender, weight, contract_type, extra)",
+            )
+            .selectExpr(
+                "'Reference' AS institution",
+                "2023 AS year",
+                "if(n_regionkey < 2, 'Academic', 'Professional & Support') AS staff_category",
+                "n_name AS grade",
+                "gender",
+                "CAST(suppliers * weight + extra AS INT) AS headcount",
+                "contract_type",
+                "CAST((suppliers * weight + extra) * 0.8 AS DECIMAL(8,1)) AS fte",
+            )
         )
 
     @cached_property
