@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from rollcall.functions.numbers import HALF_EVEN
 from rollcall.operators.rollup import ROWS
 
+# Unknown keys that may be sent to every task, and the tasks one key's rows are spread over when there are more.
+FEW_KEYS = 10_000
 SPREAD = 16
 
 
@@ -99,19 +101,26 @@ def mark_orphans(
 ) -> DataFrame:
     """Every child row with whether its key is unknown to the parent. NULL keys are no orphans.
 
-    Only the unknown keys meet the child rows. They are few as a rule and then broadcast, after a look at their
-    size; if many, one key's rows are spread over several tasks by ``spread_by``, a column that differs from row to
-    row, and NULL keys over all.
+    The unknown keys are looked up first, up to a bound. Within it, as a rule, they are sent to every task and the
+    child rows stay where they are; left to itself the join would shuffle the whole child before the size is known.
+    Beyond it the rows are shuffled, with those of one key spread over several tasks by ``spread_by``, a column that
+    differs from row to row, and those without a key over all.
     """
+    unknown = orphan_keys(child, key, parent, parent_key)
+    found = unknown.limit(FEW_KEYS + 1).collect()
+    if len(found) <= FEW_KEYS:
+        few = child.sparkSession.createDataFrame(found, unknown.schema).withColumnRenamed(key, "unknown_key")
+        marked = child.join(F.broadcast(few), F.col(key) == F.col("unknown_key"), "left")
+    else:
+        marked = _spread_join(child, key, unknown, spread_by)
+    return marked.withColumn(name, F.col("unknown_key").isNotNull()).drop("unknown_key")
+
+
+def _spread_join(child, key, unknown, spread_by):
     spread = F.xxhash64(spread_by)
     salt = F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, F.lit(SPREAD)))
-    unknown = orphan_keys(child, key, parent, parent_key).select(
+    copies = unknown.select(
         F.col(key).alias("unknown_key"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("unknown_salt")
     )
-    salted = child.withColumn("salt", salt)
     match = (F.col(key) == F.col("unknown_key")) & (F.col("salt") == F.col("unknown_salt"))
-    return (
-        salted.join(unknown, match, "left")
-        .withColumn(name, F.col("unknown_key").isNotNull())
-        .drop("salt", "unknown_key", "unknown_salt")
-    )
+    return child.withColumn("salt", salt).join(copies, match, "left").drop("salt", "unknown_salt")

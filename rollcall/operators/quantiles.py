@@ -22,7 +22,7 @@ QUARTILES = {"q1": "0.25", "median": "0.5", "q3": "0.75"}
 
 def thousands(value: Column) -> Column:
     """Bucket for pay and day counts: at most 100,000 cents or 1,000 days fall into one."""
-    return F.floor(value / 1000)
+    return F.floor(value / 1000).cast("bigint")
 
 
 def leading_digits(value: Column) -> Column:
@@ -31,24 +31,23 @@ def leading_digits(value: Column) -> Column:
     return F.length(digits) * 10000 + F.substring(digits, 1, 4).cast("int")
 
 
-def _locate(counts: DataFrame, by: list[str], wanted: Callable[[Column], Column]) -> DataFrame:
+def _locate(counts: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
     """Find the values at wanted ranks.
 
-    ``counts`` has ``by``, ``bucket``, ``v`` and ``n``; buckets follow the order of the values. ``wanted`` turns the
-    group's row count into an array of (target, rank), ranks from 0. Gives one row per target found: the group's
-    totals, the target, its value and the rank the value starts at.
+    ``counts`` has a group ``g`` that is never NULL, ``bucket``, ``v``, ``n`` and ``v_total``; buckets follow the order
+    of the values. ``wanted`` turns the group's row count into an array of (target, rank), ranks from 0. Gives one row
+    per target found: the group's totals, the target, its value and the rank the value starts at.
     """
-    groups = by or [F.lit(0)]
-    buckets = counts.groupBy(*by, "bucket").agg(
+    buckets = counts.groupBy("g", "bucket").agg(
         F.sum("n").alias("bucket_n"),
-        F.sum(F.col("v_total")).alias("bucket_total"),
+        F.sum("v_total").alias("bucket_total"),
         F.min("v").alias("bucket_min"),
         F.max("v").alias("bucket_max"),
     )
-    whole, upto = Window.partitionBy(*groups), Window.partitionBy(*groups).orderBy("bucket")
+    whole, upto = Window.partitionBy("g"), Window.partitionBy("g").orderBy("bucket")
     first = F.sum("bucket_n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bucket_n")
     placed = buckets.select(
-        *by,
+        "g",
         "bucket",
         "bucket_n",
         first.alias("first_rank"),
@@ -61,17 +60,14 @@ def _locate(counts: DataFrame, by: list[str], wanted: Callable[[Column], Column]
     def inside(t):
         return (t["rank"] >= F.col("first_rank")) & (t["rank"] < F.col("first_rank") + F.col("bucket_n"))
 
-    opened = (
-        placed.withColumn("t", F.explode(F.filter(wanted(F.col("n_all")), inside)))
-        .select("*", F.col("t.target").alias("target"), F.col("t.rank").alias("rank"))
-        .drop("t")
-    )
-    keys = [*by, "bucket"]
-    picked = join_groups(counts.drop("v_total"), opened, keys)
-    order = Window.partitionBy(*by, "target", "bucket").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    opened = placed.withColumn("t", F.explode(F.filter(wanted(F.col("n_all")), inside))).select("*", "t.*").drop("t")
+    order = Window.partitionBy("g", "bucket", "target").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     start = F.col("first_rank") + F.sum("n").over(order) - F.col("n")
-    return picked.withColumn("start", start).filter(
-        (F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("n"))
+    return (
+        counts.drop("v_total")
+        .join(opened, ["g", "bucket"])
+        .withColumn("start", start)
+        .filter((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("n")))
     )
 
 
@@ -87,9 +83,11 @@ def distribution(
     NULL values are skipped; a group without values gives no row. Percentiles come out as decimals.
     """
     v = F.col(value)
+    # A struct of the keys is one key in which NULL is a value like any other.
+    group = F.struct(*by) if by else F.lit(0)
     counts = (
         df.filter(v.isNotNull())
-        .groupBy(*by, bucket(v).alias("bucket"), v.alias("v"))
+        .groupBy(group.alias("g"), bucket(v).alias("bucket"), v.alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("v_total", F.col("v").cast("decimal(20,2)") * F.col("n"))
     )
@@ -112,9 +110,9 @@ def distribution(
         part = (at - F.floor(at)).cast("decimal(6,5)")
         return (lo + (hi - lo) * part).alias(name)
 
-    return (
-        _locate(counts, by, wanted)
-        .groupBy(*by)
+    found = (
+        _locate(counts, wanted)
+        .groupBy("g")
         .agg(
             F.max("n_all").alias("n"),
             F.max("total_all").alias("total"),
@@ -123,6 +121,7 @@ def distribution(
             *[interpolated(name, p) for name, p in percentiles.items()],
         )
     )
+    return found.select("g.*", *found.columns[1:]) if by else found.drop("g")
 
 
 def box_summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
@@ -167,7 +166,7 @@ def assign_quartile(
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"), F.col(key).alias("k"))
     counts = (
-        rows.groupBy(thousands(F.col("v")).alias("bucket"), "v")
+        rows.groupBy(F.lit(0).alias("g"), thousands(F.col("v")).alias("bucket"), "v")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
     )
@@ -177,27 +176,31 @@ def assign_quartile(
         return F.array(*[F.struct(F.lit(i).alias("target"), r.alias("rank")) for i, r in enumerate(firsts)])
 
     at_values = _few(
-        _locate(counts, [], wanted).select(
+        _locate(counts, wanted).select(
             F.struct("target", "v", (F.col("rank") - F.col("start")).alias("rank")).alias("at")
         )
     )
     tied = rows.withColumn("at", at_values.scalar()).filter(F.array_contains("at.v", F.col("v")))
     prefixes = (
         tied.withColumn("h", F.md5("k"))
-        .groupBy("at", F.col("v").alias("value"), F.substring("h", 1, 2).alias("bucket"), F.substring("h", 1, 4).alias("v"))
+        .groupBy(
+            F.struct(F.col("v").alias("value"), "at").alias("g"),
+            F.substring("h", 1, 2).alias("bucket"),
+            F.substring("h", 1, 4).alias("v"),
+        )
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
     )
 
     def among_tied(_):
-        here = F.filter("at", lambda a: a["v"] == F.col("value"))
+        here = F.filter("g.at", lambda a: a["v"] == F.col("g.value"))
         return F.transform(here, lambda a: F.struct(a["target"].alias("target"), a["rank"].alias("rank")))
 
     at_prefixes = _few(
-        _locate(prefixes, ["at", "value"], among_tied).select(
-            F.struct("target", "value", F.col("v").alias("prefix"), (F.col("rank") - F.col("start")).alias("rank")).alias(
-                "at"
-            )
+        _locate(prefixes, among_tied).select(
+            F.struct(
+                "target", "g.value", F.col("v").alias("prefix"), (F.col("rank") - F.col("start")).alias("rank")
+            ).alias("at")
         )
     )
     last = (

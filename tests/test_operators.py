@@ -127,18 +127,14 @@ def test_stitch_is_a_full_join_with_null_keys(spark):
     assert sorted(rows(rollup.stitch(["k"], a, b)), key=str) == [("x", 1, None), ("y", None, 3), (None, 2, 4)]
 
 
-@pytest.mark.parametrize("threshold", ["10485760", "-1"])
-def test_orphans_with_hot_and_missing_keys(spark, threshold):
+@pytest.mark.parametrize("few", [10_000, 1])
+def test_orphans_with_hot_and_missing_keys(spark, monkeypatch, few):
+    monkeypatch.setattr(quality, "FEW_KEYS", few)
     child = spark.createDataFrame(
         [(i, "bad" if i % 3 == 0 else None if i % 3 == 1 else str(i % 7)) for i in range(600)], "id int, k string"
     )
     parent = spark.createDataFrame([(str(i),) for i in range(6)], "k string")
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
-    try:
-        marked = rows(quality.mark_orphans(child, "k", parent, "k", "unknown", "id"))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    marked = rows(quality.mark_orphans(child, "k", parent, "k", "unknown", "id"))
     assert len(marked) == 600 and len({r[0] for r in marked}) == 600
     assert all(unknown == (k in ("bad", "6")) for _, k, unknown in marked)
 
