@@ -14,7 +14,7 @@ from rollcall.functions.numbers import HALF_EVEN, mean, mean_of, percent, rounde
 from rollcall.functions.text import full_name
 from rollcall.operators.quantiles import distribution, histogram, leading_digits
 from rollcall.operators.rollup import ROWS, attach, by_attribute, per_employee, stitch, with_totals
-from rollcall.plans.headcount import active, is_active
+from rollcall.plans.headcount import active, is_active, with_share
 from rollcall.sources.schemas import SICK_TYPES
 
 # Fixed values.
@@ -190,8 +190,7 @@ def types_summary(absences: DataFrame) -> DataFrame:
             rounded(mean(F.col("days_absent")), 1, HALF_EVEN).alias("avg_days"),
         )
     )
-    whole = F.sum("count").over(Window.partitionBy(F.lit(0)))
-    return grouped.withColumn("pct_of_total", percent(F.col("count"), whole, 1, HALF_EVEN)).orderBy("absence_type")
+    return with_share(grouped, "count", "pct_of_total").orderBy("absence_type")
 
 
 def score_bands(absences: DataFrame) -> DataFrame:

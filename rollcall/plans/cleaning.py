@@ -145,8 +145,8 @@ class Cleaning:
         return self.checked_leavers().withColumn("dq_flag", flags(self.leaver_rules())).drop("hire_date", "hire_marker")
 
     def training(self) -> DataFrame:
-        cost = F.col("cost_eur")
-        free = F.when(F.col("provider") == "Internal", F.lit(0).cast("decimal(10,2)")).otherwise(cost)
+        kind = self.tables.training.schema["cost_eur"].dataType
+        free = F.when(F.col("provider") == "Internal", F.lit(0).cast(kind)).otherwise(F.col("cost_eur"))
         return (
             self.checked_training()
             .withColumn("dq_flag", flags(self.training_rules()))

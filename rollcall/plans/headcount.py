@@ -92,9 +92,15 @@ def contract_shares(employees: DataFrame) -> DataFrame:
 def value_counts(df: DataFrame, column: str, count_name: str, share_name: str, places: int | None = 1) -> DataFrame:
     """Rows per value, most frequent first, with the share of all rows that have a value."""
     counted = df.dropna(subset=[column]).groupBy(column).agg(F.count(ROWS).alias(count_name))
-    everything = F.sum(count_name).over(Window.partitionBy(F.lit(0)))
-    share = percent(F.col(count_name), everything, places, HALF_EVEN)
-    return counted.withColumn(share_name, share).orderBy(F.desc(count_name), column)
+    return with_share(counted, count_name, share_name, places).orderBy(F.desc(count_name), column)
+
+
+def with_share(counted: DataFrame, count_name: str, share_name: str, places: int | None = 1) -> DataFrame:
+    """Each group's share of the sum over all groups, half to even."""
+    everything = counted.agg(F.sum(count_name)).scalar()
+    return counted.withColumn("everything", everything).select(
+        *counted.columns, percent(F.col(count_name), F.col("everything"), places, HALF_EVEN).alias(share_name)
+    )
 
 
 def overview(employees: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from pyspark.sql.types import (
     BooleanType,
     DateType,
     DecimalType,
+    DoubleType,
     IntegerType,
     StringType,
     StructField,
@@ -147,7 +148,7 @@ WORKFORCE_SUMMARY = _table(
     _required("synthetic_headcount", WHOLE),
     _required("real_hea_headcount", WHOLE),
     _required("variance_vs_real", WHOLE),
-    _optional("variance_pct", DecimalType(12, 1)),
+    _optional("variance_pct", DoubleType()),
     _optional("data_note"),
 )
 
