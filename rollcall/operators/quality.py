@@ -108,6 +108,8 @@ def mark_orphans(
     """
     unknown = orphan_keys(child, key, parent, parent_key)
     found = unknown.limit(FEW_KEYS + 1).collect()
+    if not found:
+        return child.withColumn(name, F.lit(False))
     if len(found) <= FEW_KEYS:
         few = child.sparkSession.createDataFrame(found, unknown.schema).withColumnRenamed(key, "unknown_key")
         marked = child.join(F.broadcast(few), F.col(key) == F.col("unknown_key"), "left")

@@ -31,6 +31,15 @@ def leading_digits(value: Column) -> Column:
     return F.length(digits) * 10000 + F.substring(digits, 1, 4).cast("int")
 
 
+def _count(keyed: DataFrame) -> DataFrame:
+    """Rows per group, bucket and value.
+
+    The filter is the one the join in ``_locate`` would push into one of the two uses of these counts only; stated for
+    both, the plans are equal and the counts are made once.
+    """
+    return keyed.filter("bucket is not null").groupBy("g", "bucket", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
 def _locate(counts: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
     """Find the values at wanted ranks.
 
@@ -85,12 +94,8 @@ def distribution(
     v = F.col(value)
     # A struct of the keys is one key in which NULL is a value like any other.
     group = F.struct(*by) if by else F.lit(0)
-    counts = (
-        df.filter(v.isNotNull())
-        .groupBy(group.alias("g"), bucket(v).alias("bucket"), v.alias("v"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("v_total", F.col("v").cast("decimal(20,2)") * F.col("n"))
-    )
+    keyed = df.filter(v.isNotNull()).select(group.alias("g"), bucket(v).alias("bucket"), v.alias("v"))
+    counts = _count(keyed).withColumn("v_total", F.col("v").cast("decimal(20,2)") * F.col("n"))
 
     def position(n, p):
         return (n - 1).cast("decimal(20,0)") * F.lit(Decimal(p)).cast("decimal(6,5)")
@@ -165,11 +170,8 @@ def assign_quartile(
     Every row is then numbered by comparing it with these rows, in place and without being shuffled.
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"), F.col(key).alias("k"))
-    counts = (
-        rows.groupBy(F.lit(0).alias("g"), thousands(F.col("v")).alias("bucket"), "v")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
-    )
+    keyed = rows.select(F.lit(0).alias("g"), thousands(F.col("v")).alias("bucket"), "v")
+    counts = _count(keyed).withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
 
     def wanted(n):
         firsts = starts(n, buckets)
@@ -183,12 +185,12 @@ def assign_quartile(
     tied = rows.withColumn("at", at_values.scalar()).filter(F.array_contains("at.v", F.col("v")))
     prefixes = (
         tied.withColumn("h", F.md5("k"))
-        .groupBy(
+        .select(
             F.struct(F.col("v").alias("value"), "at").alias("g"),
             F.substring("h", 1, 2).alias("bucket"),
             F.substring("h", 1, 4).alias("v"),
         )
-        .agg(F.count(F.lit(1)).alias("n"))
+        .transform(_count)
         .withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
     )
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,7 +33,10 @@ def _outside(c: Column, bounds) -> Column:
 
 
 class Cleaning:
-    """The checks and repairs of one bundle of tables. Each ``checked`` frame is read once per output."""
+    """The checks and repairs of one bundle of tables.
+
+    Unknown references are looked up once per table, when its ``checked`` frame is first used.
+    """
 
     def __init__(
         self,
@@ -87,14 +91,17 @@ class Cleaning:
 
     # Frames with everything the rules read.
 
+    @cached_property
     def checked_employees(self) -> DataFrame:
         people = self.tables.employees
         marked = mark_orphans(people, "manager_id", people, "employee_id", "unknown_manager", "employee_id")
         return marked.withColumn("age_at_hire", years_between(F.col("date_of_birth"), F.col("hire_date")))
 
+    @cached_property
     def checked_absences(self) -> DataFrame:
         return self._with_employee_marker(self.tables.absences, "absence_id")
 
+    @cached_property
     def checked_recruitment(self) -> DataFrame:
         return mark_orphans(
             self.tables.recruitment,
@@ -105,10 +112,12 @@ class Cleaning:
             "job_req_id",
         )
 
+    @cached_property
     def checked_leavers(self) -> DataFrame:
         hired = self.tables.employees.select("employee_id", "hire_date", F.lit(True).alias("hire_marker"))
         return self.tables.leavers.join(hired, "employee_id", "left")
 
+    @cached_property
     def checked_training(self) -> DataFrame:
         return self._with_employee_marker(self.tables.training, "training_id")
 
@@ -118,7 +127,7 @@ class Cleaning:
     # Cleaned tables: as many rows as came in.
 
     def employees(self) -> DataFrame:
-        checked = self.checked_employees().withColumn("dq_flag", flags(self.employee_rules()))
+        checked = self.checked_employees.withColumn("dq_flag", flags(self.employee_rules()))
         standard: Callable = match_domain if self.standardise == "domain" else lambda c, _: title_case(c)
         cleaned = {name: standard(F.col(name), domain) for name, domain in self.domains.items()}
         cleaned["manager_id"] = F.when(~F.col("unknown_manager"), F.col("manager_id"))
@@ -126,7 +135,7 @@ class Cleaning:
 
     def absences(self) -> DataFrame:
         return (
-            self.checked_absences()
+            self.checked_absences
             .withColumn("dq_flag", flags(self.absence_rules()))
             .withColumn("days_absent", F.datediff("end_date", "start_date"))
             .withColumn("sector_avg_absence_rate_pct", F.lit(SECTOR_ABSENCE_RATE).cast("decimal(4,1)"))
@@ -135,20 +144,20 @@ class Cleaning:
 
     def recruitment(self) -> DataFrame:
         return (
-            self.checked_recruitment()
+            self.checked_recruitment
             .withColumn("dq_flag", flags(self.recruitment_rules()))
             .withColumn("hired_employee_id", F.when(~F.col("unknown_hire"), F.col("hired_employee_id")))
             .drop("unknown_hire")
         )
 
     def leavers(self) -> DataFrame:
-        return self.checked_leavers().withColumn("dq_flag", flags(self.leaver_rules())).drop("hire_date", "hire_marker")
+        return self.checked_leavers.withColumn("dq_flag", flags(self.leaver_rules())).drop("hire_date", "hire_marker")
 
     def training(self) -> DataFrame:
         kind = self.tables.training.schema["cost_eur"].dataType
         free = F.when(F.col("provider") == "Internal", F.lit(0).cast(kind)).otherwise(F.col("cost_eur"))
         return (
-            self.checked_training()
+            self.checked_training
             .withColumn("dq_flag", flags(self.training_rules()))
             .withColumn("cost_eur", free)
             .drop("unknown_employee")
@@ -159,11 +168,11 @@ class Cleaning:
     def report(self) -> DataFrame:
         """The twelve checks, one pass per table."""
         parts = [
-            ("employees", self.checked_employees(), self.employee_rules()),
-            ("absences", self.checked_absences(), self.absence_rules()),
-            ("recruitment", self.checked_recruitment(), self.recruitment_rules()),
-            ("leavers", self.checked_leavers(), self.leaver_rules()),
-            ("training", self.checked_training(), self.training_rules()),
+            ("employees", self.checked_employees, self.employee_rules()),
+            ("absences", self.checked_absences, self.absence_rules()),
+            ("recruitment", self.checked_recruitment, self.recruitment_rules()),
+            ("leavers", self.checked_leavers, self.leaver_rules()),
+            ("training", self.checked_training, self.training_rules()),
         ]
         return union(report(df, name, rules, RESOLUTION) for name, df, rules in parts)
 

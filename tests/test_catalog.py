@@ -67,3 +67,11 @@ def test_numbering_rows_does_not_shuffle_them(spark):
     plan = plan_of(spark, "W1_quartile_of_employees")
     rows_part = plan[: plan.index("Subquery")] if "Subquery" in plan else plan
     assert "Exchange SinglePartition" not in rows_part and "Window" not in rows_part
+
+
+def test_medians_scan_their_table_once(spark):
+    df = REPORTS["K13_time_to_fill"](RoleTables(spark, FILES))
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "ReusedExchange [g" in final and final.count("o_orderstatus") > 0
+    assert len([line for line in final.splitlines() if "FileScan" in line and "o_orderkey" in line]) == 1

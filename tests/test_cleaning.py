@@ -3,8 +3,10 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall.operators import quality
 from rollcall.plans import constraints
 from rollcall.plans.cleaning import Cleaning, report_totals
+from rollcall.sources import benchmarks
 from tests.conftest import day, keyed, rows
 
 
@@ -126,6 +128,10 @@ def test_checks_and_required_values(bundle):
     required = keyed(constraints.count_violations(tables, constraints.required_rules(tables)), "table", "rule")
     assert required["employees", "hire_date not null"]["violations"] == 1
     assert len(constraints.length_rules("employees")) == 13
+    sources = quality.violations(
+        benchmarks.data_sources(tables.employees.sparkSession), "data_sources", constraints.domain_rules()["data_sources"]
+    )
+    assert rows(sources) == [("data_sources", "source_type domain", 0)]
 
 
 def test_business_rules(bundle):
