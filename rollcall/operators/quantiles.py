@@ -12,11 +12,11 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from rollcall.operators.rollup import join_groups
 
 MEDIAN = {"median": "0.5"}
+NO_TOTAL = "CAST(NULL AS DECIMAL(20,2))"
 QUARTILES = {"q1": "0.25", "median": "0.5", "q3": "0.75"}
 
 
@@ -48,35 +48,32 @@ def _locate(counts: DataFrame, wanted: Callable[[Column], Column]) -> DataFrame:
     per target found: the group's totals, the target, its value and the rank the value starts at.
     """
     buckets = counts.groupBy("g", "bucket").agg(
-        F.sum("n").alias("bucket_n"),
-        F.sum("v_total").alias("bucket_total"),
-        F.min("v").alias("bucket_min"),
-        F.max("v").alias("bucket_max"),
+        F.expr("sum(n) AS bucket_n"),
+        F.expr("sum(v_total) AS bucket_total"),
+        F.expr("min(v) AS bucket_min"),
+        F.expr("max(v) AS bucket_max"),
     )
-    whole, upto = Window.partitionBy("g"), Window.partitionBy("g").orderBy("bucket")
-    first = F.sum("bucket_n").over(upto.rowsBetween(Window.unboundedPreceding, 0)) - F.col("bucket_n")
-    placed = buckets.select(
+    upto = "PARTITION BY g ORDER BY bucket ROWS UNBOUNDED PRECEDING"
+    placed = buckets.selectExpr(
         "g",
         "bucket",
         "bucket_n",
-        first.alias("first_rank"),
-        F.sum("bucket_n").over(whole).alias("n_all"),
-        F.sum("bucket_total").over(whole).alias("total_all"),
-        F.min("bucket_min").over(whole).alias("min_all"),
-        F.max("bucket_max").over(whole).alias("max_all"),
+        f"sum(bucket_n) OVER ({upto}) - bucket_n AS first_rank",
+        "sum(bucket_n) OVER (PARTITION BY g) AS n_all",
+        "sum(bucket_total) OVER (PARTITION BY g) AS total_all",
+        "min(bucket_min) OVER (PARTITION BY g) AS min_all",
+        "max(bucket_max) OVER (PARTITION BY g) AS max_all",
     )
-
-    def inside(t):
-        return (t["rank"] >= F.col("first_rank")) & (t["rank"] < F.col("first_rank") + F.col("bucket_n"))
-
-    opened = placed.withColumn("t", F.explode(F.filter(wanted(F.col("n_all")), inside))).select("*", "t.*").drop("t")
-    order = Window.partitionBy("g", "bucket", "target").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
-    start = F.col("first_rank") + F.sum("n").over(order) - F.col("n")
+    inside = "t -> t.rank >= first_rank AND t.rank < first_rank + bucket_n"
+    opened = placed.withColumn("targets", wanted(F.col("n_all"))).selectExpr(
+        "g", "bucket", "first_rank", "n_all", "total_all", "min_all", "max_all", f"inline(filter(targets, {inside}))"
+    )
+    within = "PARTITION BY g, bucket, target ORDER BY v ROWS UNBOUNDED PRECEDING"
     return (
         counts.drop("v_total")
         .join(opened, ["g", "bucket"])
-        .withColumn("start", start)
-        .filter((F.col("start") <= F.col("rank")) & (F.col("rank") < F.col("start") + F.col("n")))
+        .selectExpr("*", f"first_rank + sum(n) OVER ({within}) - n AS start")
+        .filter("start <= rank AND rank < start + n")
     )
 
 
@@ -86,16 +83,18 @@ def distribution(
     value: str,
     percentiles: dict[str, str] = MEDIAN,
     bucket: Callable[[Column], Column] = thousands,
+    with_total: bool = True,
 ) -> DataFrame:
     """Count, total, smallest, largest and interpolated percentiles of a numeric column, exact, per group.
 
-    NULL values are skipped; a group without values gives no row. Percentiles come out as decimals.
+    NULL values are skipped; a group without values gives no row. Percentiles come out as decimals. Values too large to
+    be added up in 20 digits are taken without a total.
     """
     v = F.col(value)
     # A struct of the keys is one key in which NULL is a value like any other.
     group = F.struct(*by) if by else F.lit(0)
     keyed = df.filter(v.isNotNull()).select(group.alias("g"), bucket(v).alias("bucket"), v.alias("v"))
-    counts = _count(keyed).withColumn("v_total", F.col("v").cast("decimal(20,2)") * F.col("n"))
+    counts = _count(keyed).withColumn("v_total", F.expr("CAST(v AS DECIMAL(20,2)) * n" if with_total else NO_TOTAL))
 
     def position(n, p):
         return (n - 1).cast("decimal(20,0)") * F.lit(Decimal(p)).cast("decimal(6,5)")
@@ -109,8 +108,8 @@ def distribution(
         return F.array(*ends)
 
     def interpolated(name, p):
-        lo = F.max(F.when(F.col("target") == f"{name} lo", F.col("v"))).cast("decimal(24,2)")
-        hi = F.max(F.when(F.col("target") == f"{name} hi", F.col("v"))).cast("decimal(24,2)")
+        lo = F.max(F.when(F.col("target") == f"{name} lo", F.col("v"))).cast("decimal(30,2)")
+        hi = F.max(F.when(F.col("target") == f"{name} hi", F.col("v"))).cast("decimal(30,2)")
         at = position(F.max("n_all"), p)
         part = (at - F.floor(at)).cast("decimal(6,5)")
         return (lo + (hi - lo) * part).alias(name)
@@ -171,54 +170,43 @@ def assign_quartile(
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"), F.col(key).alias("k"))
     keyed = rows.select(F.lit(0).alias("g"), thousands(F.col("v")).alias("bucket"), "v")
-    counts = _count(keyed).withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
+    counts = _count(keyed).withColumn("v_total", F.expr(NO_TOTAL))
 
     def wanted(n):
         firsts = starts(n, buckets)
         return F.array(*[F.struct(F.lit(i).alias("target"), r.alias("rank")) for i, r in enumerate(firsts)])
 
     at_values = _few(
-        _locate(counts, wanted).select(
-            F.struct("target", "v", (F.col("rank") - F.col("start")).alias("rank")).alias("at")
-        )
+        _locate(counts, wanted).selectExpr("named_struct('target', target, 'v', v, 'rank', rank - start) AS at")
     )
-    tied = rows.withColumn("at", at_values.scalar()).filter(F.array_contains("at.v", F.col("v")))
+    tied = rows.withColumn("at", at_values.scalar()).filter("array_contains(at.v, v)")
     prefixes = (
-        tied.withColumn("h", F.md5("k"))
-        .select(
-            F.struct(F.col("v").alias("value"), "at").alias("g"),
-            F.substring("h", 1, 2).alias("bucket"),
-            F.substring("h", 1, 4).alias("v"),
+        tied.selectExpr(
+            "named_struct('value', v, 'at', at) AS g",
+            "substring(md5(k), 1, 2) AS bucket",
+            "substring(md5(k), 1, 4) AS v",
         )
         .transform(_count)
-        .withColumn("v_total", F.lit(None).cast("decimal(20,2)"))
+        .withColumn("v_total", F.expr(NO_TOTAL))
     )
 
     def among_tied(_):
-        here = F.filter("g.at", lambda a: a["v"] == F.col("g.value"))
-        return F.transform(here, lambda a: F.struct(a["target"].alias("target"), a["rank"].alias("rank")))
+        here = "filter(g.at, a -> a.v = g.value)"
+        return F.expr(f"transform({here}, a -> named_struct('target', a.target, 'rank', a.rank))")
 
     at_prefixes = _few(
-        _locate(prefixes, among_tied).select(
-            F.struct(
-                "target", "g.value", F.col("v").alias("prefix"), (F.col("rank") - F.col("start")).alias("rank")
-            ).alias("at")
+        _locate(prefixes, among_tied).selectExpr(
+            "named_struct('target', target, 'value', g.value, 'prefix', v, 'rank', rank - start) AS at"
         )
     )
     last = (
         rows.withColumn("at", at_prefixes.scalar())
-        .filter(F.array_contains("at.value", F.col("v")))
-        .withColumn("h", F.md5("k"))
-        .withColumn("prefix", F.substring("h", 1, 4))
-        .withColumn("a", F.explode("at"))
-        .filter((F.col("a.value") == F.col("v")) & (F.col("a.prefix") == F.col("prefix")))
-    )
-    order = Window.partitionBy("a").orderBy("h", "k")
-    cuts = _few(
-        last.withColumn("rn", F.row_number().over(order) - 1)
-        .filter(F.col("rn") == F.col("a.rank"))
-        .select(F.struct("v", "h", "k").alias("at"))
+        .filter("array_contains(at.value, v)")
+        .selectExpr("v", "k", "md5(k) AS h", "explode(at) AS a")
+        .filter("a.value = v AND a.prefix = substring(h, 1, 4)")
+        .selectExpr("*", "row_number() OVER (PARTITION BY a ORDER BY h, k) - 1 AS place")
     )
+    cuts = _few(last.filter("place = a.rank").selectExpr("named_struct('v', v, 'h', h, 'k', k) AS at"))
 
     v, k = F.col(value), F.col(key)
 

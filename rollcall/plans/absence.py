@@ -170,7 +170,8 @@ def rate_heat_map(employees: DataFrame, absences: DataFrame, working_days: int =
 def score_histogram(absences: DataFrame, bins: int = 40) -> DataFrame:
     """Spread of the sick-leave scores of everyone, with their median."""
     scores = spell_scores(sick(absences)).select("score")
-    median = distribution(scores, [], "score", bucket=leading_digits).select(F.col("median").cast("double"))
+    spread = distribution(scores, [], "score", bucket=leading_digits, with_total=False)
+    median = spread.select(F.col("median").cast("double"))
     return (
         histogram(scores, "score", bins)
         .withColumn("median", median.scalar())

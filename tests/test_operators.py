@@ -37,10 +37,10 @@ def test_distribution_equals_sorting(spark, seed, size):
 
 
 def test_distribution_without_groups_and_long_tail(spark):
-    values = [0, 1, 5, 99, 100, 1000, 10**6, 10**15, 3 * 10**15]
+    values = [0, 1, 5, 99, 100, 1000, 10**6, 10**15, 3 * 10**27]
     df = spark.createDataFrame([(Decimal(v),) for v in values], "v decimal(38,0)")
-    got = quantiles.distribution(df, [], "v", bucket=quantiles.leading_digits).first()
-    assert got["median"] == 100 and got["n"] == 9 and got["max"] == 3 * 10**15
+    got = quantiles.distribution(df, [], "v", bucket=quantiles.leading_digits, with_total=False).first()
+    assert got["median"] == 100 and got["n"] == 9 and got["max"] == 3 * 10**27
 
 
 def test_leading_digits_follow_the_values(spark):
