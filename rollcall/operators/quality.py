@@ -23,12 +23,16 @@ SPREAD = 16
 
 @dataclass(frozen=True)
 class Rule:
-    """What must not be: a condition on a row, the flag it leaves, and the rows it applies to (all by default)."""
+    """What must not be: a condition on a row, the flag it leaves, and the rows it applies to (all by default).
+
+    A rule that a reference must exist names its key; its condition is the marker ``mark_orphans`` leaves.
+    """
 
     name: str
     broken: Column
     flag: str | None = None
     applies: Column | None = None
+    key: str | None = None
 
 
 def not_in(column: str, domain: Iterable[str]) -> Column:
@@ -47,12 +51,19 @@ def flags(rules: list[Rule]) -> Column:
     return F.concat(*tokens) if tokens else F.lit("")
 
 
-def report(df: DataFrame, table: str, rules: list[Rule], resolution: str) -> DataFrame:
-    """One row per rule: rows checked, issues, share clean. One pass over the table."""
+def report(df: DataFrame, table: str, rules: list[Rule], resolution: str, known: DataFrame | None = None) -> DataFrame:
+    """One row per rule: rows checked, issues, share clean. One pass over the table.
+
+    With a rule on a reference, rows and issues are first counted per key, and the counts, not the rows, meet the one
+    column of ``known`` keys.
+    """
+    key = next((rule.key for rule in rules if rule.key), None)
     counts = []
     for i, rule in enumerate(rules):
-        within = ROWS if rule.applies is None else F.when(rule.applies, 1)
-        counts += [F.count(within).alias(f"total_{i}"), F.count_if(rule.broken).alias(f"issues_{i}")]
+        counts.append(F.count(ROWS if rule.applies is None else F.when(rule.applies, 1)).alias(f"total_{i}"))
+        if rule.key is None:
+            counts.append(F.count_if(rule.broken).alias(f"issues_{i}"))
+    one = df.agg(*counts) if key is None else _add_up(df.groupBy(key).agg(*counts), key, rules, known)
     lines = [
         F.struct(
             F.lit(table).alias("table"),
@@ -64,13 +75,22 @@ def report(df: DataFrame, table: str, rules: list[Rule], resolution: str) -> Dat
     ]
     base = F.greatest("total_rows", F.lit(1)).cast("decimal(20,0)")
     clean = HALF_EVEN((base - F.col("issues_found")) * 100 / base, 2).cast("double")
-    return (
-        df.agg(*counts)
-        .select(F.inline(F.array(*lines)))
-        .select("*", clean.alias("pct_clean"), F.lit(resolution).alias("resolution"))
+    return one.select(F.inline(F.array(*lines))).select(
+        "*", clean.alias("pct_clean"), F.lit(resolution).alias("resolution")
     )
 
 
+def _add_up(per_key, key, rules, known):
+    found = known.toDF(key).distinct().withColumn("is_known", F.lit(True))
+    unknown = F.col("is_known").isNull() & F.col(key).isNotNull()
+    sums = []
+    for i, rule in enumerate(rules):
+        issues = F.col(f"issues_{i}") if rule.key is None else F.when(unknown, F.col(f"total_{i}"))
+        for name, value in ((f"total_{i}", F.col(f"total_{i}")), (f"issues_{i}", issues)):
+            sums.append(F.coalesce(F.sum(value), F.lit(0)).alias(name))
+    return per_key.join(found, key, "left").agg(*sums)
+
+
 def violations(df: DataFrame, table: str, rules: list[Rule]) -> DataFrame:
     """One row per rule: table, rule, rows breaking it. One pass over the table."""
     counts = [F.count_if(rule.broken).alias(f"c{i}") for i, rule in enumerate(rules)]

@@ -53,12 +53,12 @@ class Cleaning:
         return [
             Rule("Salary range check (25k–135k)", _outside(F.col("salary"), SALARY_RANGE), "salary_out_of_range"),
             Rule("Age at hire (18–70)", _outside(F.col("age_at_hire"), AGE_RANGE), "age_at_hire_invalid"),
-            Rule("Manager FK validity", F.col("unknown_manager"), "invalid_manager_id"),
+            Rule("Manager FK validity", F.col("unknown_manager"), "invalid_manager_id", key="manager_id"),
         ]
 
     def absence_rules(self) -> list[Rule]:
         return [
-            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id"),
+            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id", key="employee_id"),
             Rule("start_date < end_date", F.col("start_date") >= F.col("end_date"), "start_after_end"),
             Rule(
                 "days_absent consistency",
@@ -68,7 +68,7 @@ class Cleaning:
 
     def recruitment_rules(self) -> list[Rule]:
         return [
-            Rule("Hired employee FK validity", F.col("unknown_hire"), "invalid_hired_emp_id"),
+            Rule("Hired employee FK validity", F.col("unknown_hire"), "invalid_hired_emp_id", key="hired_employee_id"),
             Rule(
                 "date_opened < date_closed",
                 F.col("date_opened") >= F.col("date_closed"),
@@ -85,7 +85,7 @@ class Cleaning:
 
     def training_rules(self) -> list[Rule]:
         return [
-            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id"),
+            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id", key="employee_id"),
             Rule("Internal training cost = 0", (F.col("provider") == "Internal") & (F.col("cost_eur") > 0)),
         ]
 
@@ -94,8 +94,7 @@ class Cleaning:
     @cached_property
     def checked_employees(self) -> DataFrame:
         people = self.tables.employees
-        marked = mark_orphans(people, "manager_id", people, "employee_id", "unknown_manager", "employee_id")
-        return marked.withColumn("age_at_hire", years_between(F.col("date_of_birth"), F.col("hire_date")))
+        return _with_age(mark_orphans(people, "manager_id", people, "employee_id", "unknown_manager", "employee_id"))
 
     @cached_property
     def checked_absences(self) -> DataFrame:
@@ -167,14 +166,19 @@ class Cleaning:
 
     def report(self) -> DataFrame:
         """The twelve checks, one pass per table."""
+        t, known = self.tables, self.tables.employees.select("employee_id")
         parts = [
-            ("employees", self.checked_employees, self.employee_rules()),
-            ("absences", self.checked_absences, self.absence_rules()),
-            ("recruitment", self.checked_recruitment, self.recruitment_rules()),
+            ("employees", _with_age(t.employees), self.employee_rules()),
+            ("absences", t.absences, self.absence_rules()),
+            ("recruitment", t.recruitment, self.recruitment_rules()),
             ("leavers", self.checked_leavers, self.leaver_rules()),
-            ("training", self.checked_training, self.training_rules()),
+            ("training", t.training, self.training_rules()),
         ]
-        return union(report(df, name, rules, RESOLUTION) for name, df, rules in parts)
+        return union(report(df, name, rules, RESOLUTION, known) for name, df, rules in parts)
+
+
+def _with_age(employees: DataFrame) -> DataFrame:
+    return employees.withColumn("age_at_hire", years_between(F.col("date_of_birth"), F.col("hire_date")))
 
 
 def report_totals(dq_report: DataFrame) -> DataFrame:

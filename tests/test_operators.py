@@ -151,6 +151,14 @@ def test_rules_report_and_flags(spark):
     assert rows(quality.report(df.limit(0), "t", rules, "kept"))[0][2:5] == (0, 0, 100.0)
 
 
+def test_report_on_a_reference_counts_rows_not_keys(spark):
+    df = spark.createDataFrame([("a", 1), ("z", 20), ("z", 3), (None, 30)], "k string, v int")
+    known = spark.createDataFrame([("a",), ("a",), ("b",)], "id string")
+    rules = [quality.Rule("known", F.col("unknown"), "gone", key="k"), quality.Rule("big", F.col("v") > 10)]
+    assert rows(quality.report(df, "t", rules, "kept", known)) == [("t", "known", 4, 2, 50.0, "kept"), ("t", "big", 4, 2, 50.0, "kept")]
+    assert [r[2:4] for r in rows(quality.report(df.limit(0), "t", rules, "kept", known))] == [(0, 0), (0, 0)]
+
+
 def test_checks_let_null_pass(spark):
     df = spark.createDataFrame([("a", 1), (None, None), ("z", -1)], "w string, n int")
     assert rows(df.select(quality.not_in("w", ["a"]), quality.unless(F.col("n") > 0))) == [
