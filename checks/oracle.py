@@ -1,5 +1,5 @@
-"""For each report, the SQL it must agree with, written without a look at the reports' plans: correlated subqueries,
-global windows, UNION ALL. Rounding is done on whole numbers, so it is exact."""
+"""For each report, the SQL it must agree with, in another shape than the report where one exists: correlated
+subqueries, global windows, UNION ALL. Rounding is done on whole numbers, so it is exact."""
 
 from __future__ import annotations
 
