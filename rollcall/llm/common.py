@@ -27,8 +27,8 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     context = spark.sparkContext
-    if context.applicationId not in _ready:
-        package = Path(__file__).resolve().parent.parent
+    package = Path(__file__).resolve().parent.parent
+    if context.applicationId not in _ready and package.is_dir():  # else it came as an archive already
         archive = Path(tempfile.mkdtemp(prefix="rollcall-")) / f"{package.name}.zip"
         with zipfile.ZipFile(archive, "w") as z:
             for file in sorted(package.rglob("*.py")):
@@ -116,6 +116,14 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def mix_one(x: int) -> int:
+    """`mix` of one number."""
+    x &= 0xFFFFFFFFFFFFFFFF
+    x = (x ^ (x >> 30)) * 0xBF58476D1CE4E5B9 & 0xFFFFFFFFFFFFFFFF
+    x = (x ^ (x >> 27)) * 0x94D049BB133111EB & 0xFFFFFFFFFFFFFFFF
+    return x ^ (x >> 31)
+
+
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound so that memory doesn't follow the vocabulary."""
 
@@ -135,6 +143,18 @@ class WordHashes:
         return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
+class Learned(dict):
+    """A dictionary that works out what it lacks."""
+
+    def __init__(self, learn) -> None:
+        super().__init__()
+        self.learn = learn
+
+    def __missing__(self, key):
+        found = self[key] = self.learn(key)
+        return found
+
+
 _kept: dict[str, tuple[str, object]] = {}
 
 

@@ -25,7 +25,19 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import WordHashes, bit_plane, chunks, col, free_name, in_plane, in_worker, keep_table, mix, prepare, text_of
+from rollcall.llm.common import (
+    WordHashes,
+    bit_plane,
+    chunks,
+    col,
+    free_name,
+    in_plane,
+    in_worker,
+    keep_table,
+    mix,
+    prepare,
+    text_of,
+)
 
 _WORD = re.compile(r"\w+")
 MATCH, MISS = 2, -1

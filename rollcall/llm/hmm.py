@@ -27,8 +27,11 @@ from pyspark.sql import functions as F
 from rollcall.llm.common import col, in_worker, keep_table, remainder, prepare, text_of
 
 END, RARE = 0, 1
-#: Texts run side by side, and the tokens of one such block at most (long texts run with fewer neighbours).
-SIDE, BLOCK = 512, 1 << 18
+#: Texts run side by side at the most, cells (position, text) of one block, and tokens gathered before they are put side
+#: by side, so that long texts find neighbours.
+SIDE, BLOCK, POOL = 1024, 1 << 18, 1 << 21
+#: Steps between two scalings. Probabilities of a step stay above 1e-12, so 16 of them are far from the smallest number.
+EVERY = 16
 
 
 @dataclass(frozen=True)
@@ -136,17 +139,16 @@ def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
                 classes.append(END)
                 ids = np.array(classes, np.uint16)
                 common = ids[ids != RARE]
-                rare_rows = [{"word": w, "tf": n} for w, n in rare.items()]
-                rows.append((uid, key, held, ids.tobytes(), len(ids), int(known[common].sum()),
-                             float(logs[common].sum()), rare_rows))
+                sums = int(known[common].sum()), float(logs[common].sum())
+                rows.append((uid, key, held, ids.tobytes(), len(ids), *sums, list(rare), list(rare.values())))
                 uid += 1
-            yield pd.DataFrame(rows, columns=["uid", "id", "held", "ids", "n", "known", "base", "rare"])
+            yield pd.DataFrame(rows, columns=["uid", "id", "held", "ids", "n", "known", "base", "rare", "times"])
 
     kind = docs.schema["id"].dataType.simpleString()
     return docs.mapInPandas(
         run,
         f"uid long, id {kind}, held boolean, ids binary, n long, known long, base double, "
-        "rare array<struct<word:binary,tf:long>>",
+        "rare array<binary>, times array<long>",
     )
 
 
@@ -174,51 +176,78 @@ def _active(lengths: np.ndarray, steps: int) -> list[int]:
     return np.searchsorted(-lengths, -np.arange(1, steps + 1), side="right").tolist()
 
 
+def _forward(model: Model, given: np.ndarray, active: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The forward variables (position, text, state), scaled now and then, and the logarithm of what was divided out.
+    `given` holds the emission of each cell's class; past a text's end all is 0."""
+    ahead = np.zeros_like(given)
+    logs = np.zeros(given.shape[1])
+    np.multiply(model.start, given[0], out=ahead[0])
+    for t in range(1, len(active)):
+        n = active[t]
+        if t % EVERY == 0:
+            scale = ahead[t - 1, :n].sum(1)
+            ahead[t - 1, :n] /= scale[:, None]
+            logs[:n] += np.log10(scale)
+        np.matmul(ahead[t - 1, :n], model.move, out=ahead[t, :n])
+        ahead[t, :n] *= given[t, :n]
+    return ahead, logs
+
+
 def log_likelihoods(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     """log10 of the probability of each sequence of classes, by the scaled forward recursion."""
     out = np.zeros(len(texts))
     for places, grid, lengths in side_by_side(texts):
-        total = np.zeros(len(places))
-        state = np.broadcast_to(model.start, (len(places), len(model.start)))
-        for t, n in enumerate(_active(lengths, len(grid))):
-            ahead = state[:n] if t == 0 else state[:n] @ model.move
-            ahead = ahead * model.emit[grid[t, :n]]
-            scale = ahead.sum(1)
-            state = ahead / scale[:, None]
-            total[:n] += np.log10(scale)
-        out[places] = total
+        ahead, logs = _forward(model, model.emit[grid], _active(lengths, len(grid)))
+        out[places] = logs + np.log10(ahead[lengths - 1, np.arange(len(places))].sum(1))
     return out
 
 
 def expected_counts(model: Model, texts: list[np.ndarray], start: np.ndarray, move: np.ndarray, emit: np.ndarray) -> None:
-    """Add the expected starts, moves and emissions of the texts (forward and backward, scaled)."""
+    """Add the expected starts, moves and emissions of the texts. Each position's state distribution is the product of
+    the forward and backward variables, whatever their scales, divided by its sum."""
     s = len(model.start)
     for _, grid, lengths in side_by_side(texts):
         active = _active(lengths, len(grid))
-        forward, scales = [], []
-        for t, n in enumerate(active):
-            ahead = np.broadcast_to(model.start, (n, s)) if t == 0 else forward[-1][:n] @ model.move
-            ahead = ahead * model.emit[grid[t, :n]]
-            scale = ahead.sum(1, keepdims=True)
-            forward.append(ahead / scale)
-            scales.append(scale)
-        back = np.ones((0, s))
-        gammas = [None] * len(grid)
-        for t in range(len(grid) - 1, -1, -1):
-            n, m = active[t], len(back)
-            here = np.ones((n, s))
-            if m:
-                follow = back * model.emit[grid[t + 1, :m]] / scales[t + 1]
-                here[:m] = follow @ model.move.T
-                move += model.move * (forward[t][:m].T @ follow)
-            gammas[t] = forward[t] * here
-            back = here
-        start += gammas[0].sum(0)
-        ids = np.concatenate([grid[t, :n] for t, n in enumerate(active)])
-        weights = np.concatenate(gammas)
-        seen, where = np.unique(ids, return_inverse=True)
+        given = model.emit[grid]
+        ahead, _ = _forward(model, given, active)
+        back = np.zeros_like(given)
+        back[lengths - 1, np.arange(len(lengths))] = 1
+        follow = given  # from here on: the emission of a cell times its backward variable
+        for t in range(len(active) - 1, 0, -1):
+            n = active[t]
+            follow[t, :n] *= back[t, :n]
+            if t % EVERY == 0:
+                follow[t, :n] /= follow[t, :n].max(1, keepdims=True)
+            # texts that end at t - 1 keep the 1 that was set
+            np.matmul(follow[t, :n], model.move.T, out=back[t - 1, :n])
+        weight = ahead * back
+        total = weight.sum(2)
+        real = total > 0
+        weight[real] /= total[real][:, None]
+        start += weight[0].sum(0)
+        # a move's weight is ahead[t] x move x follow[t + 1] over the same sum, for texts that go on
+        going = np.arange(len(active) - 1)[:, None] + 1 < lengths
+        before = (ahead[:-1] / np.where(real[:-1], total[:-1], 1)[:, :, None])[going]
+        move += model.move * (before.T @ follow[1:][going])
+        cells = np.arange(len(active))[:, None] < lengths
+        seen, where = np.unique(grid[cells], return_inverse=True)
+        weight = weight[cells]
         for k in range(s):
-            emit[seen, k] += np.bincount(where, weights[:, k], len(seen))
+            emit[seen, k] += np.bincount(where, weight[:, k], len(seen))
+
+
+def _pools(batches: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
+    """The batches' texts in lists of at least POOL tokens, but for the last."""
+    held, tokens = [], 0
+    for batch in batches:
+        for packed in batch["ids"]:
+            held.append(np.frombuffer(packed, np.uint16))
+            tokens += len(held[-1])
+        if tokens >= POOL:
+            yield held
+            held, tokens = [], 0
+    if held:
+        yield held
 
 
 def first_model(words: Vocabulary, settings: Settings) -> Model:
@@ -259,8 +288,8 @@ def baum_welch(training: DataFrame, words: Vocabulary, settings: Settings) -> Mo
         def run(batches: Iterator[pd.DataFrame], sent=sent) -> Iterator[pd.DataFrame]:
             model = sent.value
             start, move, emit = np.zeros(s), np.zeros((s, s)), np.zeros(model.emit.shape)
-            for batch in batches:
-                expected_counts(model, [np.frombuffer(b, np.uint16) for b in batch["ids"]], start, move, emit)
+            for texts in _pools(batches):
+                expected_counts(model, texts, start, move, emit)
             met = np.flatnonzero(emit.sum(1))
             if len(met):
                 table = np.concatenate([start[None], move, emit[met]]).astype(np.float32)
@@ -274,6 +303,12 @@ def baum_welch(training: DataFrame, words: Vocabulary, settings: Settings) -> Mo
     return model
 
 
+def _with_likelihood(model: Model, batches: list[pd.DataFrame]) -> pd.DataFrame:
+    rows = pd.concat(batches, ignore_index=True)
+    rows["hmm"] = log_likelihoods(model, [np.frombuffer(b, np.uint16) for b in rows.pop("ids")])
+    return rows
+
+
 def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int = 7, held_fold: int = 2,
            settings: Settings = Settings()) -> DataFrame:
     """Train on the rows whose crc32(key as text) mod `folds` isn't `held_fold`, and score all rows.
@@ -294,13 +329,19 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int
     model = baum_welch(table.where("not held"), words, settings)
     sent, rare_base, base = spark.sparkContext.broadcast(model), words.rare_base, words.base
 
-    @F.pandas_udf("double")
-    def likelihood(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def likelihoods(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, tokens = [], 0
         for batch in batches:
-            yield pd.Series(log_likelihoods(sent.value, [np.frombuffer(b, np.uint16) for b in batch]))
+            held.append(batch)
+            tokens += int(batch["n"].sum())
+            if tokens >= POOL:
+                yield _with_likelihood(sent.value, held)
+                held, tokens = [], 0
+        if held:
+            yield _with_likelihood(sent.value, held)
 
     rare = (
-        table.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.tf")
+        table.select("uid", F.inline(F.arrays_zip(F.col("rare").alias("word"), F.col("times").alias("tf"))))
         .join(counts, "word", "left").withColumn("n", F.coalesce("n", F.lit(0)))
         .groupBy("uid").agg(
             F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("rare_known"),
@@ -309,7 +350,10 @@ def scored(docs: DataFrame, key: str = "doc_id", text: str = "text", folds: int
         )
     )
     within = math.log10(base) - math.log10(rare_base)
-    head = table.select("uid", "id", "held", "n", "known", "base", likelihood("ids").alias("hmm"))
+    kind = table.schema["id"].dataType.simpleString()
+    head = table.select("uid", "id", "held", "n", "known", "base", "ids").mapInPandas(
+        likelihoods, f"uid long, id {kind}, held boolean, n long, known long, base double, hmm double"
+    )
     zero = F.lit(0)
     return head.join(rare, "uid", "left").select(
         F.col("id").alias(key),

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import prepare, text_of  # noqa: F401  (text_of is part of the interface)
+from rollcall.llm.common import prepare
 
 KINDS = ("email", "ip", "card", "phone", "iban")
 BASE_KINDS = KINDS[:4]
@@ -123,8 +123,10 @@ def spans(spark: SparkSession, text: Column) -> Column:
 
 def redacted(text: Column, found: Column, least_score: float = 0.0) -> Column:
     """The text with every span of at least that score replaced by its kind in brackets; of overlapping spans the first."""
-    ordered = F.array_sort(F.transform(F.filter(found, lambda s: s["score"] >= least_score),
-                                       lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k"))))
+    wanted = F.filter(found, lambda s: s["score"] >= least_score)
+    ordered = F.array_sort(
+        F.transform(wanted, lambda s: F.struct(s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("k")))
+    )
     start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
 
     def step(state: Column, s: Column) -> Column:

@@ -63,7 +63,8 @@ def op3_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
     found = html.extract(table(spark, folder, "pages"))
-    return found.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+    size = F.length("main_text").cast("long").alias("n_chars")
+    return found.select("page_id", "url", F.col("main_text").alias("text"), size)
 
 
 def op5_near_dedup(spark: SparkSession, folder: str) -> DataFrame:

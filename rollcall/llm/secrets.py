@@ -209,8 +209,10 @@ def joined_spans(found: Column, rules: tuple[Rule, ...]) -> Column:
     """kind:start:end of all spans of the rules, by start, then by the rules' order, joined by commas."""
 
     def placed(n: int, kind: str) -> Column:
+        name = F.lit(kind).alias("kind")
         return F.transform(
-            found[kind], lambda s: F.struct(s["start"].alias("start"), F.lit(n).alias("n"), s["end"].alias("end"), F.lit(kind).alias("kind"))
+            found[kind],
+            lambda s: F.struct(s["start"].alias("start"), F.lit(n).alias("n"), s["end"].alias("end"), name),
         )
 
     rows = F.array_sort(F.flatten(F.array(*[placed(n, r.kind) for n, r in enumerate(rules)])))
