@@ -34,7 +34,7 @@ class Settings:
     percent: int = 85  # of the union that the intersection must reach
     tokens: int = 96  # of a signature
     recall: float = 0.99995
-    leaf: int = 256  # classes of a node that are compared exhaustively
+    leaf: int = 4096  # classes of a node that are compared exhaustively
     leaf_shingles: int = 4_000_000  # and the shingles of them all, unless there are few classes
     depth: int = 4
     broadcast_rows: int = 1_000_000
@@ -58,7 +58,8 @@ class Settings:
 
 # Shingles and signatures ---------------------------------------------------------------------------------------------
 
-_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
+#: Odd multipliers.
+_FACTORS = mix(np.arange(101, 106, dtype=np.uint64)) | np.uint64(1)
 #: What sets the words of a shingle apart by their places.
 _ADDED = mix(np.arange(1, 65, dtype=np.uint64))
 
@@ -181,7 +182,8 @@ def _leaves(classes: DataFrame, s: Settings) -> DataFrame:
             break
         tokens, paths = _steps(F.col("size"), s)
         spread = large.withColumn("branch", F.explode(F.sequence(F.lit(1), paths)))
-        frontier = spread.select("rep", "n", _child(F.col("node"), F.col("branch"), tokens, F.col("signature"), s).alias("node"))
+        child = _child(F.col("node"), F.col("branch"), tokens, F.col("signature"), s)
+        frontier = spread.select("rep", "n", child.alias("node"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
@@ -203,28 +205,22 @@ def _blocks(large: DataFrame, member: Column, s: Settings) -> DataFrame:
     )
 
 
-def _joined(n: int, pairs: Iterator[tuple[int, int]]) -> list[int]:
-    """For each of n things the first of those that it is joined to, directly or through others."""
-    root = list(range(n))
+def _joined(n: int, near: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
+    """For each of n things the first of those that it is joined to, directly or through others. `near` gives a thing and
+    those that it is joined to."""
+    home = np.arange(n)
+    for i, others in near:
+        if len(others):
+            met = np.unique(home[np.append(others, i)])
+            if len(met) > 1:
+                home[np.isin(home, met[1:])] = met[0]
+    return home
 
-    def top(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
 
-    for a, b in pairs:
-        a, b = top(a), top(b)
-        if a != b:
-            root[max(a, b)] = min(a, b)
-    return [top(i) for i in range(n)]
-
-
-def _near_pairs(signed: np.ndarray, least: float) -> Iterator[tuple[int, int]]:
+def _near_rows(signed: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
     for i in range(len(signed) - 1):
-        same = (signed[i + 1 :] == signed[i]).sum(1)
-        for j in np.flatnonzero(same >= least * signed.shape[1]).tolist():
-            yield i, i + 1 + j
+        same = np.count_nonzero(signed[i + 1 :] == signed[i], axis=1)
+        yield i, i + 1 + np.flatnonzero(same >= least * signed.shape[1])
 
 
 def _clusters(leaves: DataFrame, s: Settings) -> DataFrame:
@@ -242,7 +238,8 @@ def _clusters(leaves: DataFrame, s: Settings) -> DataFrame:
                     continue
                 group: dict[int, list] = {}
                 signed = np.stack([np.frombuffer(r[1], np.uint32) for r in rows])
-                for (rep, _), first in zip(rows, _joined(len(rows), _near_pairs(signed, s.near)), strict=True):
+                firsts = _joined(len(rows), _near_rows(signed, s.near)).tolist()
+                for (rep, _), first in zip(rows, firsts, strict=True):
                     group.setdefault(first, []).append(rep)
                 for members in group.values():
                     if len(members) > 1:
@@ -259,31 +256,42 @@ def _clusters(leaves: DataFrame, s: Settings) -> DataFrame:
 
 def linked(sets: list[np.ndarray], percent: int) -> list[int]:
     """For each set the first one that it is linked to, directly or through others: 100 x intersection >= percent x
-    union. Sets that share no shingle are never compared: intersections are counted shingle by shingle, in slices."""
+    union. Intersections of many sets are counted at once, as products of their incidence matrix, in slices; shingles that
+    only one set has are left out, which in copies of one text are almost all that differ."""
     n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+
+    def enough(i: int, both: np.ndarray, others: slice) -> np.ndarray:
+        return 100 * both >= percent * (sizes[i] + sizes[others] - both)
+
     if n <= 12:
-        both = {}
-        for i in range(n):
-            for j in range(i + 1, n):
-                lo, hi = sorted((sizes[i], sizes[j]))
-                if 100 * lo >= percent * hi:
-                    both[i, j] = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-        pairs = [(i, j) for (i, j), k in both.items() if 100 * k >= percent * (sizes[i] + sizes[j] - k)]
-        return _joined(n, iter(pairs))
-    values, column = np.unique(np.concatenate(sets), return_inverse=True)
-    row = np.repeat(np.arange(n), sizes)
+
+        def rows() -> Iterator[tuple[int, np.ndarray]]:
+            for i in range(n - 1):
+                both = [len(np.intersect1d(sets[i], x, assume_unique=True)) for x in sets[i + 1 :]]
+                yield i, i + 1 + np.flatnonzero(enough(i, np.array(both), slice(i + 1, None)))
+
+        return _joined(n, rows()).tolist()
+    _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    row = np.repeat(np.arange(n, dtype=np.int32), sizes)
+    shared = times > 1
+    kept = shared[column]
+    number = np.cumsum(shared) - 1
+    row, column = row[kept], number[column[kept]]
     order = np.argsort(column, kind="stable")
     row, column = row[order], column[order]
-    shared = np.zeros((n, n), np.float32)
-    width = max(64, (1 << 23) // n)
-    for first in range(0, len(values), width):
+    both = np.zeros((n, n), np.float32)
+    width = max(64, (1 << 22) // n)
+    for first in range(0, int(shared.sum()), width):
         a, b = np.searchsorted(column, [first, first + width])
         part = np.zeros((n, width), np.float32)
         part[row[a:b], column[a:b] - first] = 1
-        shared += part @ part.T  # counts stay below 2^24 within a slice and are exact
-    k = np.rint(shared).astype(np.int64)
-    hit = np.argwhere(np.triu(100 * k >= percent * (sizes[:, None] + sizes[None, :] - k), 1))
-    return _joined(n, (tuple(p) for p in hit.tolist()))
+        both += part @ part.T  # whole numbers below 2^24, so exact
+
+    def counted() -> Iterator[tuple[int, np.ndarray]]:
+        for i in range(n - 1):
+            yield i, i + 1 + np.flatnonzero(enough(i, both[i, i + 1 :].astype(np.int64), slice(i + 1, None)))
+
+    return _joined(n, counted()).tolist()
 
 
 def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
@@ -303,7 +311,8 @@ def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                 at += len(part)
 
     sets = wanted.mapInPandas(shingled, f"rep {kind}, shingles binary")
-    grouped = clusters.join(sets, "rep").groupBy("cluster").agg(F.collect_list(F.struct("rep", "shingles")).alias("members"))
+    members = F.collect_list(F.struct("rep", "shingles")).alias("members")
+    grouped = clusters.join(sets, "rep").groupBy("cluster").agg(members)
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -353,7 +362,9 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", settin
     )
 
 
-def without_near_copies(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
+def without_near_copies(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()
+) -> DataFrame:
     """The rows of `docs`, one document of each group: that of the smallest key. All columns stay. The keys that go are
     broadcast when they are few after counting, else joined."""
     name = free_name(docs, "copy_id")
