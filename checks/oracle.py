@@ -110,8 +110,8 @@ O["C5_starters_and_leavers"] = f"SELECT year_month, starters, leavers FROM ({O['
 O["K5_turnover_by_department"] = f"""
 SELECT department, h AS total_headcount, g AS total_leavers, {pct("2 * g", "h + g", 1)} AS turnover_rate_pct,
   CAST(8.5 AS DOUBLE) AS sector_benchmark_pct
-FROM (SELECT department, COUNT(*) AS h, COUNT(*) FILTER (WHERE employee_id IN (SELECT employee_id FROM leavers)) AS g
-      FROM employees GROUP BY department) d"""
+FROM (SELECT department, COUNT(DISTINCT e.employee_id) AS h, COUNT(DISTINCT l.employee_id) AS g
+      FROM employees e LEFT JOIN leavers l ON l.employee_id = e.employee_id GROUP BY department) d"""
 
 O["K6_pay_by_gender"] = f"""
 SELECT gender, COUNT(*) AS headcount, {avg("salary", 2)} AS mean_salary,
@@ -155,10 +155,9 @@ def _rate(types, heads_name):
     only = f" AND absence_type IN {SICK}" if types == "sick" else ""
     tail = ", CAST(4.5 AS DOUBLE) AS public_sector_benchmark_pct" if types == "sick" else ""
     return f"""
-SELECT department, COUNT(*) AS {heads_name}, CAST(SUM(days) AS BIGINT) AS total_days_absent,
-  {pct("SUM(days)", "COUNT(*) * 230", 2)} AS absence_rate_pct{tail}
-FROM (SELECT department, COALESCE((SELECT SUM(days_absent) FROM absences a WHERE a.employee_id = e.employee_id{only}), 0) AS days
-      FROM employees e WHERE {ACTIVE}) p GROUP BY department"""
+SELECT department, h AS {heads_name}, CAST(days AS BIGINT) AS total_days_absent, {pct("days", "h * 230", 2)} AS absence_rate_pct{tail}
+FROM (SELECT department, COUNT(DISTINCT e.employee_id) AS h, COALESCE(SUM(a.days_absent), 0) AS days
+      FROM employees e LEFT JOIN absences a ON a.employee_id = e.employee_id{only} WHERE {ACTIVE} GROUP BY department) p"""
 
 
 O["K9_sick_rate_by_department"] = _rate("sick", "active_headcount")
@@ -175,10 +174,11 @@ def _top_scores(k):
 SELECT employee_id, concat(first_name, ' ', last_name) AS full_name, department, spells, days AS total_days_absent,
   CAST(score AS DOUBLE) AS bradford_factor,
   CASE WHEN score >= 450 THEN 'High — Review Recommended' WHEN score >= 100 THEN 'Medium' ELSE 'Low' END AS risk_band
-FROM (SELECT employee_id, COUNT(*) AS spells, CAST(SUM(days_absent) AS BIGINT) AS days,
-        CAST(COUNT(*) AS HUGEINT) * COUNT(*) * SUM(days_absent) AS score
-      FROM absences WHERE absence_type IN {SICK} GROUP BY employee_id) s
-JOIN employees USING (employee_id) WHERE {ACTIVE} ORDER BY score DESC, employee_id LIMIT {k}"""
+FROM (SELECT e.employee_id, first_name, last_name, department, COUNT(DISTINCT absence_id) AS spells, CAST(SUM(days_absent) AS BIGINT) AS days,
+        CAST(COUNT(DISTINCT absence_id) AS HUGEINT) * COUNT(DISTINCT absence_id) * SUM(days_absent) AS score
+      FROM employees e JOIN absences a ON a.employee_id = e.employee_id
+      WHERE absence_type IN {SICK} AND {ACTIVE} GROUP BY e.employee_id, first_name, last_name, department) s
+ORDER BY score DESC, employee_id LIMIT {k}"""
 
 
 O["K11_top_spell_scores"] = _top_scores(50)
@@ -228,10 +228,10 @@ r AS (SELECT *, {pct("fully_compliant", "active_staff", 1)} AS compliance_rate_p
 SELECT *, CASE WHEN compliance_rate_pct < 80 THEN 'RED' WHEN compliance_rate_pct < 95 THEN 'AMBER' ELSE 'GREEN' END AS rag_status FROM r"""
 
 O["K17_spend_per_head"] = f"""
-SELECT department, COUNT(*) AS active_headcount, {up(cents("spent"), "100", 0)} AS total_training_spend_eur,
-  {up(cents("spent"), "100 * COUNT(*)", 0)} AS spend_per_employee_eur, 1200 AS sector_benchmark_eur_per_head
-FROM (SELECT department, (SELECT SUM(cost_eur) FROM training t WHERE t.employee_id = e.employee_id) AS spent
-      FROM employees e WHERE {ACTIVE}) p GROUP BY department"""
+SELECT department, h AS active_headcount, {up("spent", "100", 0)} AS total_training_spend_eur,
+  {up("spent", "100 * h", 0)} AS spend_per_employee_eur, 1200 AS sector_benchmark_eur_per_head
+FROM (SELECT department, COUNT(DISTINCT e.employee_id) AS h, {cents("t.cost_eur")} AS spent
+      FROM employees e LEFT JOIN training t ON t.employee_id = e.employee_id WHERE {ACTIVE} GROUP BY department) p"""
 
 O["K18_without_mandatory_training"] = f"""
 SELECT employee_id, concat(first_name, ' ', last_name) AS full_name, department, job_title, hire_date,
@@ -316,7 +316,7 @@ SELECT *, CASE WHEN variance_vs_real < -20 THEN 'red' WHEN abs(variance_vs_real)
 FROM ({_SUMMARY}) s"""
 
 O["C1_department_headcount"] = f"SELECT department, COUNT(*) AS headcount FROM employees WHERE {ACTIVE} GROUP BY department"
-_GRADES = "('NATION_3','NATION_14','NATION_15','NATION_9','NATION_2','NATION_6','NATION_23','NATION_0')"
+_GRADES = "(SELECT n_name FROM nation)"
 O["C2_female_share_by_grade"] = f"""
 SELECT grade, {_WOMEN} AS "Female", COUNT(*) FILTER (WHERE {M}) AS "Male", COUNT(*) FILTER (WHERE {F} OR {M}) AS total,
   {pct(_WOMEN, f"COUNT(*) FILTER (WHERE {F} OR {M})")} AS pct_female,
@@ -620,7 +620,7 @@ SELECT employee_id, first_name, last_name, {_CLEAN_TEXT["gender"]} AS gender, da
 FROM employees"""
 O["D4_title_case"] = f"""
 SELECT employee_id, {", ".join(f"{title(c)} AS {c}" for c in _CLEAN_TEXT)} FROM employees"""
-_ORPHAN = f"employee_id NOT IN {_KNOWN}"
+_ORPHAN = f"(employee_id IS NULL OR employee_id NOT IN {_KNOWN})"
 _SPAN = "date_diff('day', start_date, end_date)"
 O["D_clean_absences"] = f"""
 SELECT absence_id, employee_id, absence_type, start_date, end_date, CAST({_SPAN} AS INTEGER) AS days_absent, approved, return_to_work_interview,
@@ -635,7 +635,7 @@ SELECT * REPLACE (CASE WHEN {_BAD_HIRE} THEN NULL ELSE hired_employee_id END AS
 FROM recruitment"""
 O["D_clean_leavers"] = f"""
 SELECT l.*, {_flag("e.employee_id IS NULL", "invalid_employee_id")} || {_flag("l.leaving_date <= e.hire_date", "leaving_before_hire")} AS dq_flag
-FROM leavers l LEFT JOIN employees e ON e.employee_id = l.employee_id"""
+FROM leavers l LEFT JOIN (SELECT employee_id, MIN(hire_date) AS hire_date FROM employees GROUP BY 1) e ON e.employee_id = l.employee_id"""
 O["D_clean_training"] = f"""
 SELECT * REPLACE (CASE WHEN provider = 'Internal' THEN CAST(0 AS DECIMAL(10,2)) ELSE cost_eur END AS cost_eur),
   {_flag(_ORPHAN, "invalid_employee_id")} AS dq_flag
@@ -693,6 +693,7 @@ def _violations(rules):
 
 O["D20_D22_check_violations"] = _violations(
     [
+        ("data_sources", "source_type domain", "source_type NOT IN ('Real', 'Synthetic')"),
         ("staff_profile", "gender domain", "gender NOT IN ('Female', 'Male', 'Unknown')"),
         ("staff_profile", "headcount >= 0", "NOT headcount >= 0"),
         ("employees", "gender domain", "gender NOT IN ('Female', 'Male', 'Non-Binary', 'Unknown')"),
@@ -716,9 +717,38 @@ _REQUIRED = {
     "leavers": "employee_id leaving_date reason_for_leaving exit_interview_completed rehire_eligible",
     "training": "training_id employee_id course_name category provider completion_date duration_hours passed cost_eur mandatory",
     "staff_profile": "institution year staff_category grade gender headcount",
+    "earnings": "year quarter sector",
+    "pay_gap": "sector metric",
+    "data_sources": "source_name source_type",
 }
 O["D23_required_values"] = _violations([(t, f"{c} not null", f"{c} IS NULL") for t, cs in _REQUIRED.items() for c in cs.split()])
 O["D23_defaults"] = "SELECT absence_id, COALESCE(approved, TRUE) AS approved, '' AS dq_flag FROM absences"
+O["D23_defaults_employees"] = "SELECT employee_id, COALESCE(is_academic, FALSE) AS is_academic, '' AS dq_flag FROM employees"
+O["D23_defaults_recruitment"] = "SELECT job_req_id, COALESCE(is_academic, FALSE) AS is_academic, '' AS dq_flag FROM recruitment"
+O["D23_defaults_leavers"] = """
+SELECT employee_id, COALESCE(exit_interview_completed, FALSE) AS exit_interview_completed, COALESCE(rehire_eligible, TRUE) AS rehire_eligible,
+  '' AS dq_flag FROM leavers"""
+O["D23_defaults_training"] = """
+SELECT training_id, COALESCE(passed, TRUE) AS passed, CAST(COALESCE(cost_eur, 0) AS DECIMAL(10,2)) AS cost_eur, COALESCE(mandatory, FALSE) AS mandatory,
+  '' AS dq_flag FROM training"""
+_LENGTHS = {
+    "employees": "employee_id 10 first_name 60 last_name 60 gender 10 nationality 60 department 80 job_title 100 employment_type 20 grade 80 "
+    "manager_id 10 campus 40 status 20",
+    "absences": "absence_id 10 employee_id 10 absence_type 40",
+    "recruitment": "job_req_id 10 job_title 100 department 80 source 60 outcome 20 hired_employee_id 10",
+    "leavers": "employee_id 10 reason_for_leaving 60 destination 60",
+    "training": "training_id 10 employee_id 10 course_name 120 category 60 provider 60",
+}
+_LONG = [(t, c, n) for t, words in _LENGTHS.items() for c, n in zip(words.split()[::2], words.split()[1::2], strict=True)]
+O["D20_length_violations"] = (
+    _violations([(t, f"{c} length <= {n}", f"length({c}) > {n}") for t, c, n in _LONG])
+    + " UNION ALL SELECT 'employees', 'benchmark_salary_band length <= 30', 0"
+)
+O["S11_active_view"] = f"""
+SELECT department, gender, COUNT(*) AS heads, MIN(hire_date) AS first_hire,
+  MAX(CAST(date_part('year', age({AS_OF}, hire_date)) AS INTEGER)) AS longest
+FROM employees WHERE {ACTIVE} GROUP BY department, gender"""
+O["S11_absence_view"] = O["V2_absence_rate_by_department"]
 O["D24_set_null"] = f"""
 SELECT job_req_id, outcome, CASE WHEN hired_employee_id IN (SELECT employee_id FROM employees WHERE {ACTIVE}) THEN hired_employee_id END
   AS hired_employee_id FROM recruitment"""

@@ -21,8 +21,8 @@ LEFT JOIN (SELECT o_custkey, CAST(MIN(o_orderdate) AS DATE) AS first_order FROM
 """
 
 ABSENCES = """
-SELECT CAST(o_orderkey AS VARCHAR) AS absence_id,
-       CASE WHEN o_orderkey % 997 = 0 THEN 'missing' ELSE CAST(o_custkey AS VARCHAR) END AS employee_id,
+SELECT CAST(CASE WHEN o_orderkey % 7 = 0 THEN o_custkey ELSE o_orderkey END AS VARCHAR) AS absence_id,
+       CASE WHEN o_orderkey % 997 = 0 THEN 'missing' WHEN o_orderkey % 1009 = 0 THEN NULL ELSE CAST(o_custkey AS VARCHAR) END AS employee_id,
        CASE o_orderpriority WHEN '1-URGENT' THEN 'Certified Sick Leave' WHEN '2-HIGH' THEN 'Uncertified Sick Leave'
             WHEN '3-MEDIUM' THEN 'Annual Leave' WHEN '4-NOT SPECIFIED' THEN 'Study Leave' ELSE 'Other' END AS absence_type,
        CAST(o_orderdate AS DATE) AS start_date,
@@ -65,7 +65,7 @@ FROM (SELECT c.c_custkey AS k, CAST(MAX(o.o_orderdate) AS DATE) AS last_order
 
 TRAINING = """
 SELECT concat(CAST(l.l_orderkey AS VARCHAR), '-', CAST(l.l_linenumber AS VARCHAR)) AS training_id,
-       CAST(o.o_custkey AS VARCHAR) AS employee_id, concat(p.p_type, ' ', p.p_brand) AS course_name, p.p_type AS category,
+       CASE WHEN l.l_orderkey % 1013 <> 0 THEN CAST(o.o_custkey AS VARCHAR) END AS employee_id, concat(p.p_type, ' ', p.p_brand) AS course_name, p.p_type AS category,
        CASE l.l_returnflag WHEN 'N' THEN 'Internal' WHEN 'A' THEN 'External' ELSE 'Skillnet Ireland' END AS provider,
        CAST(l.l_shipdate AS DATE) AS completion_date, CAST(l.l_quantity AS INT) AS duration_hours,
        l.l_discount < 0.095 AS passed, CAST(l.l_extendedprice AS DECIMAL(10,2)) AS cost_eur,
@@ -76,13 +76,12 @@ FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey JOIN part p ON l.l_
 STAFF_PROFILE = """
 SELECT 'Reference' AS institution, 2023 AS year,
        CASE WHEN n.n_regionkey < 2 THEN 'Academic' ELSE 'Professional & Support' END AS staff_category,
-       n.n_name AS grade, g.gender, CAST(COUNT(*) * g.w + k.w AS INT) AS headcount, k.contract_type,
+       CASE WHEN n.n_nationkey < 22 THEN n.n_name ELSE n.n_name || ' staff' END AS grade, g.gender, CAST(COUNT(*) * g.w + k.w AS INT) AS headcount, k.contract_type,
        CAST((COUNT(*) * g.w + k.w) * 0.8 AS DECIMAL(8,1)) AS fte
 FROM supplier s JOIN nation n ON s.s_nationkey = n.n_nationkey
 CROSS JOIN (SELECT 'Female' AS gender, 6 AS w UNION ALL SELECT 'Male', 5) g
 CROSS JOIN (SELECT 'Permanent' AS contract_type, 2 AS w UNION ALL SELECT 'Fixed-Term', 1) k
-WHERE n.n_nationkey < 22
-GROUP BY n.n_regionkey, n.n_name, g.gender, g.w, k.contract_type, k.w
+GROUP BY n.n_regionkey, n.n_nationkey, n.n_name, g.gender, g.w, k.contract_type, k.w
 """
 
 EARNINGS = """
@@ -95,6 +94,15 @@ SELECT * FROM (VALUES
 ) AS t(year, quarter, sector, avg_hourly_earnings_eur)
 """
 
+PAY_GAP = """
+SELECT * FROM (VALUES ('Higher Education', 'Mean GPG'), ('Higher Education', 'Median GPG'), ('All Sectors', 'Mean GPG'),
+  ('All Sectors', 'Median GPG'), ('Public Sector', 'Mean GPG'), ('Private Sector', 'Mean GPG')) AS t(sector, metric)
+"""
+
+DATA_SOURCES = """
+SELECT * FROM (VALUES ('a', 'Real'), ('b', 'Real'), ('c', 'Real'), ('d', 'Synthetic')) AS t(source_name, source_type)
+"""
+
 ROLES = {
     "employees": EMPLOYEES,
     "absences": ABSENCES,
@@ -103,4 +111,6 @@ ROLES = {
     "training": TRAINING,
     "staff_profile": STAFF_PROFILE,
     "earnings": EARNINGS,
+    "pay_gap": PAY_GAP,
+    "data_sources": DATA_SOURCES,
 }

@@ -19,13 +19,14 @@ from rollcall.plans import (
     recruitment,
     training,
     turnover,
+    views,
 )
 from rollcall.plans.cleaning import Cleaning, report_totals
 from rollcall.sources import files, roles, schemas
 from rollcall.sources.roles import AS_OF, FIRST_MONTH, LAST_MONTH, RoleTables
 
 # The derived tables use their own words, so the word lists of a report are given here.
-GRADES = ("NATION_3", "NATION_14", "NATION_15", "NATION_9", "NATION_2", "NATION_6", "NATION_23", "NATION_0")
+GRADES = tuple(f"NATION_{i}" for i in range(25))
 SHARES = {"NATION_3": 28, "NATION_14": 35, "NATION_15": 42, "NATION_9": 52, "NATION_23": 48}
 CHART_GRADES = ("NATION_3", "NATION_14", "NATION_15", "NATION_9", "NATION_23")
 CROSSWALK = {"NATION_20": "NATION_22", "NATION_21": "NATION_23"}
@@ -63,6 +64,18 @@ def _sliced(t: RoleTables):
     )
 
 
+def _defaults(t, name):
+    """A table's key and the columns that have a declared default."""
+    filled = constraints.with_defaults(getattr(t, name), name)
+    return filled.select(constraints.PRIMARY_KEYS[name], *constraints.DEFAULTS[name])
+
+
+def _view(t, query):
+    """A query over the named views, as SQL users ask them."""
+    views.register_views(t, AS_OF)
+    return t.spark.sql(query)
+
+
 REPORTS: dict[str, Callable[[RoleTables], DataFrame]] = {
     # Numbered business queries and views.
     "K1_headcount_by_contract": lambda t: headcount.headcount_by_contract(t.employees),
@@ -93,6 +106,12 @@ REPORTS: dict[str, Callable[[RoleTables], DataFrame]] = {
         headcount.with_salary_band(t.employees, roles.GRADE_BANDS), AS_OF
     ),
     "V2_absence_rate_by_department": lambda t: absence.absence_rate_by_department(t.employees, t.absences),
+    "S11_active_view": lambda t: _view(
+        t,
+        "SELECT department, gender, count(*) AS heads, min(hire_date) AS first_hire, max(years_of_service) AS longest "
+        "FROM v_active_workforce GROUP BY department, gender",
+    ),
+    "S11_absence_view": lambda t: _view(t, "SELECT * FROM v_absence_rate_by_dept WHERE headcount > 0"),
     "W1_quartile_of_employees": lambda t: pay.quartile_of_employees(t.employees),
     # Merge and chart frames.
     "B1_workforce_summary": lambda t: benchmark.workforce_summary(t.employees, t.staff_profile),
@@ -166,10 +185,15 @@ REPORTS: dict[str, Callable[[RoleTables], DataFrame]] = {
     "D20_D22_check_violations": lambda t: constraints.count_violations(
         t, constraints.domain_rules(roles.CAMPUSES), constraints.range_rules()
     ),
-    "D23_required_values": lambda t: constraints.count_violations(t, constraints.required_rules(t)),
-    "D23_defaults": lambda t: constraints.with_defaults(t.absences, "absences").select(
-        "absence_id", "approved", "dq_flag"
+    "D20_length_violations": lambda t: constraints.count_violations(
+        t, {name: constraints.length_rules(name, getattr(t, name)) for name in schemas.TEXT_LENGTHS}
     ),
+    "D23_required_values": lambda t: constraints.count_violations(t, constraints.required_rules(t)),
+    "D23_defaults": lambda t: _defaults(t, "absences"),
+    "D23_defaults_employees": lambda t: _defaults(t, "employees"),
+    "D23_defaults_recruitment": lambda t: _defaults(t, "recruitment"),
+    "D23_defaults_leavers": lambda t: _defaults(t, "leavers"),
+    "D23_defaults_training": lambda t: _defaults(t, "training"),
     "D24_set_null": lambda t: constraints.set_null_where_unknown(
         t.recruitment, "hired_employee_id", headcount.active(t.employees), "job_req_id"
     ).select("job_req_id", "outcome", "hired_employee_id"),

@@ -12,7 +12,8 @@ HALF_UP, HALF_EVEN = F.round, F.bround
 
 
 def _exact(c: Column) -> Column:
-    return c.cast("decimal(20,2)")
+    """Four decimals, as many as any pay or hours column here may have."""
+    return c.cast("decimal(20,4)")
 
 
 def percent(num: Column, den: Column, places: int | None = None, rounding=HALF_UP) -> Column:
@@ -28,8 +29,8 @@ def mean(c: Column) -> Column:
 
 
 def mean_of(total: Column, n: Column) -> Column:
-    """Exact mean from a total and a count."""
-    return F.try_divide(total.cast("decimal(30,2)"), n.cast("decimal(20,0)")).cast("decimal(38,10)")
+    """Exact mean from a total of at most four decimals and a count."""
+    return F.try_divide(total.cast("decimal(30,4)"), n.cast("decimal(20,0)")).cast("decimal(38,10)")
 
 
 def rounded(c: Column, places: int, rounding=HALF_UP) -> Column:

@@ -16,16 +16,13 @@ from pyspark.sql import functions as F
 from rollcall.functions.numbers import HALF_EVEN
 from rollcall.operators.rollup import ROWS
 
-# Unknown keys that may be sent to every task, and the tasks one key's rows are spread over when there are more.
-FEW_KEYS = 10_000
-SPREAD = 16
-
 
 @dataclass(frozen=True)
 class Rule:
     """What must not be: a condition on a row, the flag it leaves, and the rows it applies to (all by default).
 
-    A rule that a reference must exist names its key; its condition is the marker ``mark_orphans`` leaves.
+    A rule that a reference must exist names its key and whether a missing one breaks it; its condition is the marker
+    ``mark_orphans`` leaves.
     """
 
     name: str
@@ -33,6 +30,7 @@ class Rule:
     flag: str | None = None
     applies: Column | None = None
     key: str | None = None
+    null_breaks: bool = False
 
 
 def not_in(column: str, domain: Iterable[str]) -> Column:
@@ -82,9 +80,9 @@ def report(df: DataFrame, table: str, rules: list[Rule], resolution: str, known:
 
 def _add_up(per_key, key, rules, known):
     found = known.toDF(key).distinct().withColumn("is_known", F.lit(True))
-    unknown = F.col("is_known").isNull() & F.col(key).isNotNull()
     sums = []
     for i, rule in enumerate(rules):
+        unknown = F.col("is_known").isNull() & (F.lit(rule.null_breaks) | F.col(key).isNotNull())
         issues = F.col(f"issues_{i}") if rule.key is None else F.when(unknown, F.col(f"total_{i}"))
         for name, value in ((f"total_{i}", F.col(f"total_{i}")), (f"issues_{i}", issues)):
             sums.append(F.coalesce(F.sum(value), F.lit(0)).alias(name))
@@ -117,32 +115,21 @@ def orphan_keys(child: DataFrame, key: str, parent: DataFrame, parent_key: str)
 
 
 def mark_orphans(
-    child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str, spread_by: str
+    child: DataFrame, key: str, parent: DataFrame, parent_key: str, name: str, spread_by: str, null_breaks: bool = False
 ) -> DataFrame:
-    """Every child row with whether its key is unknown to the parent. NULL keys are no orphans.
+    """Every child row with whether its key is unknown to the parent; a NULL key counts as ``null_breaks`` says.
 
-    The unknown keys are looked up first, up to a bound. Within it, as a rule, they are sent to every task and the
-    child rows stay where they are; left to itself the join would shuffle the whole child before the size is known.
-    Beyond it the rows are shuffled, with those of one key spread over several tasks by ``spread_by``, a column that
-    differs from row to row, and those without a key over all.
+    One lazy plan: a left join to the distinct known keys, on the key and a hash that for rows without a key is one of
+    ``spread_by``, a column that differs from row to row; so these spread over all tasks. A very common key is left to
+    adaptive execution, which may split its rows over tasks: the second join column gives both sides an exchange of their
+    own, and nothing after the join asks for their partitioning.
     """
-    unknown = orphan_keys(child, key, parent, parent_key)
-    found = unknown.limit(FEW_KEYS + 1).collect()
-    if not found:
-        return child.withColumn(name, F.lit(False))
-    if len(found) <= FEW_KEYS:
-        few = child.sparkSession.createDataFrame(found, unknown.schema).withColumnRenamed(key, "unknown_key")
-        marked = child.join(F.broadcast(few), F.col(key) == F.col("unknown_key"), "left")
-    else:
-        marked = _spread_join(child, key, unknown, spread_by)
-    return marked.withColumn(name, F.col("unknown_key").isNotNull()).drop("unknown_key")
-
-
-def _spread_join(child, key, unknown, spread_by):
-    spread = F.xxhash64(spread_by)
-    salt = F.when(F.col(key).isNull(), spread).otherwise(F.pmod(spread, F.lit(SPREAD)))
-    copies = unknown.select(
-        F.col(key).alias("unknown_key"), F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("unknown_salt")
-    )
-    match = (F.col(key) == F.col("unknown_key")) & (F.col("salt") == F.col("unknown_salt"))
-    return child.withColumn("salt", salt).join(copies, match, "left").drop("salt", "unknown_salt")
+    salt = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(key))
+    known = parent.select(F.col(parent_key).alias("known_key")).filter("known_key is not null").distinct()
+    known = known.withColumn("known_salt", F.xxhash64("known_key"))
+    match = (F.col(key) == F.col("known_key")) & (F.col("salt") == F.col("known_salt"))
+    unknown = F.col("known_key").isNull() & (F.lit(null_breaks) | F.col(key).isNotNull())
+    return (
+        child.withColumn("salt", salt).join(known, match, "left")
+        .withColumn(name, unknown).drop("salt", "known_key", "known_salt")
+    )

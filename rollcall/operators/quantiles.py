@@ -12,6 +12,7 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, IntegralType
 
 from rollcall.operators.rollup import join_groups
 
@@ -20,15 +21,26 @@ NO_TOTAL = "CAST(NULL AS DECIMAL(20,2))"
 QUARTILES = {"q1": "0.25", "median": "0.5", "q3": "0.75"}
 
 
+def _scale(df: DataFrame, value: str) -> int:
+    """Decimals of a whole or decimal column. Others can't be added up and interpolated exactly, so they are refused."""
+    kind = df.select(value).schema[0].dataType
+    if isinstance(kind, IntegralType):
+        return 0
+    if isinstance(kind, DecimalType):
+        return kind.scale
+    raise TypeError(f"{value}: whole or decimal numbers are needed, not {kind.simpleString()}")
+
+
 def thousands(value: Column) -> Column:
     """Bucket for pay and day counts: at most 100,000 cents or 1,000 days fall into one."""
     return F.floor(value / 1000).cast("bigint")
 
 
 def leading_digits(value: Column) -> Column:
-    """Bucket for whole, non-negative, long-tailed values: their length and first four digits, in value order."""
-    digits = value.cast("decimal(38,0)").cast("string")
-    return F.length(digits) * 10000 + F.substring(digits, 1, 4).cast("int")
+    """Bucket for long-tailed values, in value order: length and first four digits of the whole part, mirrored below 0."""
+    digits = F.abs(value).cast("decimal(38,0)").cast("string")
+    size = F.length(digits) * 10000 + F.substring(digits, 1, 4).cast("int")
+    return F.when(value < 0, -size).otherwise(size)
 
 
 def _count(keyed: DataFrame) -> DataFrame:
@@ -87,14 +99,15 @@ def distribution(
 ) -> DataFrame:
     """Count, total, smallest, largest and interpolated percentiles of a numeric column, exact, per group.
 
-    NULL values are skipped; a group without values gives no row. Percentiles come out as decimals. Values too large to
-    be added up in 20 digits are taken without a total.
+    NULL values are skipped; a group without values gives no row. Percentiles come out as decimals, and no decimal of the
+    column is cut. Values too large to be added up in 20 digits are taken without a total.
     """
-    v = F.col(value)
+    v, scale = F.col(value), _scale(df, value)
     # A struct of the keys is one key in which NULL is a value like any other.
     group = F.struct(*by) if by else F.lit(0)
     keyed = df.filter(v.isNotNull()).select(group.alias("g"), bucket(v).alias("bucket"), v.alias("v"))
-    counts = _count(keyed).withColumn("v_total", F.expr("CAST(v AS DECIMAL(20,2)) * n" if with_total else NO_TOTAL))
+    total = f"CAST(v AS DECIMAL(20,{max(2, scale)})) * n" if with_total else NO_TOTAL
+    counts = _count(keyed).withColumn("v_total", F.expr(total))
 
     def position(n, p):
         return (n - 1).cast("decimal(20,0)") * F.lit(Decimal(p)).cast("decimal(6,5)")
@@ -107,9 +120,11 @@ def distribution(
             ends.append(F.struct(F.lit(f"{name} hi").alias("target"), F.ceil(at).cast("bigint").alias("rank")))
         return F.array(*ends)
 
+    exact = f"decimal(30,{max(2, scale)})"
+
     def interpolated(name, p):
-        lo = F.max(F.when(F.col("target") == f"{name} lo", F.col("v"))).cast("decimal(30,2)")
-        hi = F.max(F.when(F.col("target") == f"{name} hi", F.col("v"))).cast("decimal(30,2)")
+        lo = F.max(F.when(F.col("target") == f"{name} lo", F.col("v"))).cast(exact)
+        hi = F.max(F.when(F.col("target") == f"{name} hi", F.col("v"))).cast(exact)
         at = position(F.max("n_all"), p)
         part = (at - F.floor(at)).cast("decimal(6,5)")
         return (lo + (hi - lo) * part).alias(name)

@@ -24,18 +24,19 @@ def by_attribute(
     keys: Iterable[str] = (),
     how: str = "inner",
     id_col: str = "employee_id",
+    narrow: bool = False,
 ) -> DataFrame:
     """Totals of a fact by employee attributes and by its own keys.
 
     ``sums`` must be counts or sums. The fact is first added up per employee, joined one-to-one to the employees,
     and added up again; ``how='left'`` keeps facts of unknown employees under NULL attributes. Without attributes
-    no join is needed.
+    no join is needed, unless ``narrow`` says that only the facts of these employees count.
     """
     keys = list(keys)
-    if not attributes:
+    if not attributes and not narrow:
         return fact.groupBy(*keys).agg(*[value.alias(name) for name, value in sums.items()])
     small = per_employee(fact, sums, keys, id_col)
-    joined = small.join(_attributes(employees, attributes, id_col), id_col, how)
+    joined = attach(small, employees, attributes, "inner" if narrow else how, id_col)
     return joined.groupBy(*attributes, *keys).agg(*[F.sum(name).alias(name) for name in sums])
 
 
@@ -44,9 +45,17 @@ def with_totals(employees: DataFrame, fact: DataFrame, sums: dict[str, Column])
     return employees.join(per_employee(fact, sums), "employee_id", "left")
 
 
-def attach(small: DataFrame, employees: DataFrame, attributes: list[str], how: str = "inner") -> DataFrame:
+def distinct_heads(employees: DataFrame, attributes: list[str]) -> DataFrame:
+    """One row per employee and attributes, with the number of rows that hold them."""
+    return employees.groupBy("employee_id", *attributes).agg(F.count(ROWS).alias("copies"))
+
+
+def attach(
+    small: DataFrame, employees: DataFrame, attributes: list[str], how: str = "inner", id_col: str = "employee_id"
+) -> DataFrame:
     """Employee attributes for a frame that already has one row per employee (and few keys)."""
-    return small.join(_attributes(employees, attributes, "employee_id"), "employee_id", how)
+    people = _attributes(employees, attributes, id_col)
+    return small.join(people if attributes else people.distinct(), id_col, how)
 
 
 def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
@@ -59,8 +68,12 @@ def join_groups(left: DataFrame, right: DataFrame, keys: list[str], how: str = "
 def stitch(keys: list[str], *frames: DataFrame) -> DataFrame:
     """Put frames with one row per group side by side: a full outer join on the keys, NULL keys included.
 
-    The frames are small grouped results with different measures, so one union and one grouping does it.
+    The frames are small grouped results with different measures, so one union and one grouping does it. Two frames with
+    a measure of the same name would be merged unseen, so they are refused.
     """
+    named = [c for f in frames for c in f.columns if c not in keys]
+    if repeated := sorted({c for c in named if named.count(c) > 1}):
+        raise ValueError(f"measures in more than one frame: {', '.join(repeated)}")
     together = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
     measures = [c for c in together.columns if c not in keys]
     return together.groupBy(*keys).agg(*[F.max(c).alias(c) for c in measures])

@@ -13,7 +13,7 @@ from rollcall.functions.dates import MONTH_NAMES, month_of, month_spine
 from rollcall.functions.numbers import HALF_EVEN, mean, mean_of, percent, rounded, spell_score
 from rollcall.functions.text import full_name
 from rollcall.operators.quantiles import distribution, histogram, leading_digits
-from rollcall.operators.rollup import ROWS, attach, by_attribute, per_employee, stitch, with_totals
+from rollcall.operators.rollup import ROWS, attach, by_attribute, distinct_heads, per_employee, stitch, with_totals
 from rollcall.plans.headcount import active, is_active, with_share
 from rollcall.sources.schemas import SICK_TYPES
 
@@ -44,7 +44,7 @@ def sick_rate_by_department(employees: DataFrame, absences: DataFrame, working_d
         F.col("days").alias("total_days_absent"),
         _rate(F.col("days"), F.col("heads"), working_days).alias("absence_rate_pct"),
         F.lit(RATE_BENCHMARK).alias("public_sector_benchmark_pct"),
-    ).orderBy(F.desc_nulls_first("absence_rate_pct"))
+    ).orderBy(F.desc_nulls_first("absence_rate_pct"), "department")
 
 
 def absence_rate_by_department(employees: DataFrame, absences: DataFrame, working_days: int = WORKING_DAYS) -> DataFrame:
@@ -59,11 +59,12 @@ def absence_rate_by_department(employees: DataFrame, absences: DataFrame, workin
 
 
 def _active_days(employees, absences):
-    people = with_totals(
-        active(employees).select("employee_id", "department"), absences, {"days": F.sum("days_absent")}
-    )
-    return people.groupBy("department").agg(
-        F.count(ROWS).alias("heads"), F.coalesce(F.sum("days"), F.lit(0)).alias("days")
+    """Distinct active heads and days by department. Days are those of the joined rows, as a join in SQL gives them: an
+    employee held twice counts their days twice."""
+    people = distinct_heads(active(employees), ["department"])
+    days = with_totals(people, absences, {"days": F.sum("days_absent")})
+    return days.groupBy("department").agg(
+        F.count("employee_id").alias("heads"), F.coalesce(F.sum(F.col("days") * F.col("copies")), F.lit(0)).alias("days")
     )
 
 
@@ -94,19 +95,29 @@ def sick_leave_breakdown(employees: DataFrame, absences: DataFrame) -> DataFrame
 
 
 def spell_scores(absences: DataFrame) -> DataFrame:
-    """Spells, days and score (spells squared times days) per employee of the given absences."""
+    """Spells, days and score (spells squared times days) per employee of the given absences; every row is a spell."""
     totals = per_employee(absences, {"spells": F.count("absence_id"), "total_days": F.sum("days_absent")})
     return totals.withColumn("score", spell_score(F.col("spells"), F.col("total_days")))
 
 
+def distinct_spells(absences: DataFrame) -> DataFrame:
+    """Distinct absences and the days of all rows per employee, in two steps that both combine on the map side."""
+    each = absences.groupBy("employee_id", "absence_id").agg(F.sum("days_absent").alias("days"))
+    return per_employee(each, {"spells": F.count("absence_id"), "days": F.sum("days")})
+
+
 def top_spell_scores(employees: DataFrame, absences: DataFrame, k: int = 50) -> DataFrame:
-    """The active employees with the highest sick-leave score."""
-    people = active(employees).select(
+    """The active employees with the highest sick-leave score. A spell is a distinct absence."""
+    named = active(employees).select(
         "employee_id", full_name(F.col("first_name"), F.col("last_name")).alias("full_name"), "department"
     )
-    scored = spell_scores(sick(absences)).join(people, "employee_id")
+    people = distinct_heads(named, ["full_name", "department"])
+    joined = distinct_spells(sick(absences)).join(people, "employee_id")
+    scored = joined.withColumn("total_days", F.col("days") * F.col("copies")).withColumn(
+        "score", spell_score(F.col("spells"), F.col("total_days"))
+    )
     return (
-        scored.orderBy(F.desc_nulls_first("score"), "employee_id")
+        scored.orderBy(F.desc_nulls_first("score"), "employee_id", "full_name", "department")
         .limit(k)
         .select(
             "employee_id",
@@ -146,7 +157,7 @@ def interview_compliance(employees: DataFrame, absences: DataFrame) -> DataFrame
         "*",
         percent(F.col("rtw_completed"), F.col("eligible_absences"), 1).alias("compliance_rate_pct"),
         F.lit(INTERVIEW_TARGET).alias("target_pct"),
-    ).orderBy(F.asc_nulls_last("compliance_rate_pct"))
+    ).orderBy(F.asc_nulls_last("compliance_rate_pct"), "department")
 
 
 def rate_heat_map(employees: DataFrame, absences: DataFrame, working_days: int = WORKING_DAYS) -> DataFrame:

@@ -33,9 +33,8 @@ def _outside(c: Column, bounds) -> Column:
 
 
 class Cleaning:
-    """The checks and repairs of one bundle of tables.
-
-    Unknown references are looked up once per table, when its ``checked`` frame is first used.
+    """The checks and repairs of one bundle of tables. A NULL employee of an absence, leaver or training record is an
+    unknown one; a NULL manager or hire is none.
     """
 
     def __init__(
@@ -58,7 +57,7 @@ class Cleaning:
 
     def absence_rules(self) -> list[Rule]:
         return [
-            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id", key="employee_id"),
+            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id", None, "employee_id", True),
             Rule("start_date < end_date", F.col("start_date") >= F.col("end_date"), "start_after_end"),
             Rule(
                 "days_absent consistency",
@@ -85,7 +84,7 @@ class Cleaning:
 
     def training_rules(self) -> list[Rule]:
         return [
-            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id", key="employee_id"),
+            Rule("Employee FK validity", F.col("unknown_employee"), "invalid_employee_id", None, "employee_id", True),
             Rule("Internal training cost = 0", (F.col("provider") == "Internal") & (F.col("cost_eur") > 0)),
         ]
 
@@ -113,7 +112,10 @@ class Cleaning:
 
     @cached_property
     def checked_leavers(self) -> DataFrame:
-        hired = self.tables.employees.select("employee_id", "hire_date", F.lit(True).alias("hire_marker"))
+        # One row per employee, so that leavers never multiply: of several hire dates, the first.
+        hired = self.tables.employees.groupBy("employee_id").agg(
+            F.min("hire_date").alias("hire_date"), F.lit(True).alias("hire_marker")
+        )
         return self.tables.leavers.join(hired, "employee_id", "left")
 
     @cached_property
@@ -121,7 +123,7 @@ class Cleaning:
         return self._with_employee_marker(self.tables.training, "training_id")
 
     def _with_employee_marker(self, fact, spread_by):
-        return mark_orphans(fact, "employee_id", self.tables.employees, "employee_id", "unknown_employee", spread_by)
+        return mark_orphans(fact, "employee_id", self.tables.employees, "employee_id", "unknown_employee", spread_by, True)
 
     # Cleaned tables: as many rows as came in.
 

@@ -24,6 +24,9 @@ FOREIGN_KEYS = [
     ("leavers", "employee_id"),
     ("training", "employee_id"),
 ]
+REQUIRED_TABLES = (
+    "employees", "absences", "recruitment", "leavers", "training", "staff_profile", "earnings", "pay_gap", "data_sources",
+)
 DEFAULTS = {
     "employees": {"is_academic": False, "dq_flag": ""},
     "absences": {"approved": True, "dq_flag": ""},
@@ -98,22 +101,24 @@ def range_rules() -> dict[str, list[Rule]]:
 
 
 def required_rules(tables=None) -> dict[str, list[Rule]]:
-    """NULL where a value is required, for the columns a frame has."""
+    """NULL where a value is required. A required column that a frame lacks is broken by every row."""
     wanted = {}
-    for name in ("employees", "absences", "recruitment", "leavers", "training", "staff_profile"):
+    for name in REQUIRED_TABLES:
         present = None if tables is None else set(getattr(tables, name).columns)
         wanted[name] = [
-            Rule(f"{field.name} not null", F.col(field.name).isNull())
-            for field in schemas.SCHEMAS[name].fields
-            if not field.nullable and (present is None or field.name in present)
+            Rule(f"{c} not null", F.col(c).isNull() if present is None or c in present else F.lit(True))
+            for c in (field.name for field in schemas.SCHEMAS[name].fields if not field.nullable)
         ]
     return wanted
 
 
-def length_rules(name: str) -> list[Rule]:
-    """Text longer than its declared column."""
-    lengths = schemas.TEXT_LENGTHS[name]
-    return [Rule(f"{c} length <= {n}", unless(F.length(c) <= n)) for c, n in lengths.items()]
+def length_rules(name: str, df: DataFrame | None = None) -> list[Rule]:
+    """Text longer than its declared column. A column that the frame lacks holds no text."""
+    present = None if df is None else set(df.columns)
+    return [
+        Rule(f"{c} length <= {n}", unless(F.length(c) <= n) if present is None or c in present else F.lit(False))
+        for c, n in schemas.TEXT_LENGTHS[name].items()
+    ]
 
 
 def business_rules(id_patterns: dict[str, str] = schemas.ID_PATTERNS, mandatory_courses=schemas.MANDATORY_COURSES,
@@ -167,12 +172,13 @@ def tenure_mismatches(tables) -> DataFrame:
 
 
 def count_violations(tables, *rule_sets: dict[str, list[Rule]]) -> DataFrame:
-    """Rows breaking each rule: one pass per table over all its rules."""
+    """Rows breaking each rule: one pass per table over all its rules. A table that the bundle lacks is an error."""
     merged: dict[str, list[Rule]] = {}
     for rules in rule_sets:
         for name, some in rules.items():
-            if getattr(tables, name, None) is not None:
-                merged.setdefault(name, []).extend(some)
+            if getattr(tables, name, None) is None:
+                raise ValueError(f"no table {name} to check: {', '.join(r.name for r in some)}")
+            merged.setdefault(name, []).extend(some)
     return union(violations(getattr(tables, name), name, rules) for name, rules in merged.items() if rules)
 
 

@@ -59,7 +59,7 @@ def gender_by_grade(employees: DataFrame) -> DataFrame:
             percent(women(), heads, 1).alias("pct_female"),
             rounded(mean(F.col("salary")), 0).alias("avg_salary"),
         )
-        .orderBy(F.desc_nulls_first("is_academic"), F.desc_nulls_first("avg_salary"))
+        .orderBy(F.desc_nulls_first("is_academic"), F.desc_nulls_first("avg_salary"), "grade")
     )
 
 

@@ -21,17 +21,18 @@ from rollcall.sources.schemas import FEMALE, FILLED, MALE, ONGOING
 def measures(tables, by: list[str] | None = None, working_days: int = WORKING_DAYS) -> DataFrame:
     """One row of measures per group of employees; ratios are unrounded."""
     by = by or []
+    gone = {"leavers_count": F.count(ROWS)}
     one = stitch(
         by,
         _heads(tables.employees, by),
         gender_pay(tables.employees, by),
-        by_attribute(tables.leavers, tables.employees, by, {"leavers_count": F.count(ROWS)}, how="left"),
+        by_attribute(_facts(tables).leavers, tables.employees, by, gone, how="left", narrow=_is_narrow(tables)),
         _absence(tables, by),
         _recruitment(tables, by),
         _training(tables, by),
     )
     counts = ["total_headcount", "active_headcount", "female_headcount", "male_headcount", "leavers_count", "covered"]
-    one = one.fillna(0, subset=counts)
+    one = one.fillna(0, subset=counts if by else [*counts, "open_vacancies"])
     c = F.col
     now, gone = c("active_headcount"), c("leavers_count")
     absence_pct = percent(c("total_sick_days"), now * working_days)
@@ -79,6 +80,21 @@ def _double(name):
     return F.col(name).cast("double")
 
 
+def _is_narrow(tables):
+    return getattr(tables, "whole", None) is not None
+
+
+def _facts(tables):
+    """The child tables to add up per employee; of a narrowed bundle, those before the employees were narrowed."""
+    return tables.whole if _is_narrow(tables) else tables
+
+
+def _placed(people, tables, by):
+    if _is_narrow(tables):
+        return attach(people, tables.employees, by)
+    return attach(people, tables.employees, by, how="left") if by else people
+
+
 def _heads(employees, by):
     now = is_active()
     return employees.groupBy(*by).agg(
@@ -92,7 +108,7 @@ def _heads(employees, by):
 def _absence(tables, by):
     due = is_sick() & (F.col("days_absent") >= INTERVIEW_DAYS)
     people = per_employee(
-        tables.absences,
+        _facts(tables).absences,
         {
             "spells": F.count(ROWS),
             "days": F.sum("days_absent"),
@@ -101,7 +117,7 @@ def _absence(tables, by):
             "held": F.count_if(due & F.col("return_to_work_interview")),
         },
     ).withColumn("score", spell_score(F.col("spells"), F.col("days")))
-    grouped = attach(people, tables.employees, by, how="left") if by else people
+    grouped = _placed(people, tables, by)
     return grouped.groupBy(*by).agg(
         F.sum("sick_days").alias("total_sick_days"),
         F.sum("score").alias("score_sum"),
@@ -123,12 +139,14 @@ def _recruitment(tables, by):
     for suffix, role in roles.items():
         sums[f"fill_days{suffix}"] = F.sum(F.when(role, days))
         sums[f"fill_n{suffix}"] = F.count(F.when(role, days))
-    return by_attribute(tables.recruitment, tables.employees, by, sums, how="left", id_col="hired_employee_id")
+    return by_attribute(
+        _facts(tables).recruitment, tables.employees, by, sums, "", "left", "hired_employee_id", _is_narrow(tables)
+    )
 
 
 def _training(tables, by):
     people = per_employee(
-        tables.training,
+        _facts(tables).training,
         {
             "records": F.count(ROWS),
             "passed": F.count_if("passed"),
@@ -136,7 +154,7 @@ def _training(tables, by):
             "any_pass": F.max((F.col("mandatory") & F.col("passed")).cast("int")),
         },
     )
-    grouped = attach(people, tables.employees, by, how="left") if by else people
+    grouped = _placed(people, tables, by)
     return grouped.groupBy(*by).agg(
         F.sum("records").alias("training_records"),
         F.sum("passed").alias("training_passed"),

@@ -26,6 +26,11 @@ from rollcall.sources.schemas import FEMALE, GRADE_ORDER, MALE
 HOURS_PER_WEEK, WEEKS_PER_YEAR = Decimal("37.5"), 52
 MEAN_BONUS_GAP, MEDIAN_BONUS_GAP = 8.5, 6.2
 MEAN_GAP_BENCHMARK, MEDIAN_GAP_BENCHMARK = 16.2, 12.8
+MEAN_GAP, MEDIAN_GAP = "Mean Hourly Pay Gap %", "Median Hourly Pay Gap %"
+MEAN_BONUS, MEDIAN_BONUS = "Mean Bonus Gap %", "Median Bonus Gap %"
+MEN_MORE = "Men earn more"
+MEN_MORE_BONUS = "Men earn more (limited bonus schemes in Irish HEIs)"
+MEN_MORE_BONUS_SHORT = "Men earn more (limited bonus schemes)"
 QUARTILE_LABELS = {
     1: "Lower Quartile (Q1 — lowest paid)",
     2: "Lower Middle Quartile (Q2)",
@@ -50,7 +55,7 @@ def pay_by_gender(employees: DataFrame) -> DataFrame:
         rounded(mean(F.when(~F.col("is_academic"), pay)), 2).alias("mean_salary_support"),
     )
     medians = distribution(now, ["gender"], "salary").select("gender", rounded(F.col("median"), 2).alias("median_salary"))
-    return join_groups(means, medians, ["gender"], "left").orderBy(F.desc_nulls_first("mean_salary"))
+    return join_groups(means, medians, ["gender"], "left").orderBy(F.desc_nulls_first("mean_salary"), "gender")
 
 
 def gender_pay(employees: DataFrame, by: list[str] | None = None) -> DataFrame:
@@ -88,7 +93,8 @@ def pay_gap_by(employees: DataFrame, by: list[str]) -> DataFrame:
         .filter("f is not null and m is not null")
     )
     f, m = F.col("f"), F.col("m")
-    return grouped.orderBy(F.desc_nulls_first(F.abs((m - f).cast("double") / F.nullif(m, F.lit(1)).cast("double")))).select(
+    size = F.abs((m - f).cast("double") / F.nullif(m, F.lit(1)).cast("double"))
+    return grouped.orderBy(F.desc_nulls_first(size), *by).select(
         *by,
         rounded(f, 0).alias("mean_salary_female"),
         rounded(m, 0).alias("mean_salary_male"),
@@ -134,7 +140,7 @@ def pay_vs_sector(employees: DataFrame, earnings: DataFrame) -> DataFrame:
         sector.cast("double").alias("cso_edu_sector_equiv"),
         rounded(pay - sector, 0).alias("variance_vs_cso"),
         over_percent(pay, sector, 1).alias("pct_above_below_cso"),
-    ).orderBy(F.desc_nulls_first("mean_salary"))
+    ).orderBy(F.desc_nulls_first("mean_salary"), "grade", "is_academic")
 
 
 def statutory_gaps(employees: DataFrame, mean_bonus_gap=MEAN_BONUS_GAP, median_bonus_gap=MEDIAN_BONUS_GAP) -> DataFrame:
@@ -145,10 +151,10 @@ def statutory_gaps(employees: DataFrame, mean_bonus_gap=MEAN_BONUS_GAP, median_b
         pay,
         names,
         [
-            ("Mean Hourly Pay Gap %", gap_percent(F.col("mean_m"), F.col("mean_f"), 2), "Men earn more"),
-            ("Median Hourly Pay Gap %", gap_percent(F.col("median_m"), F.col("median_f"), 2), "Men earn more"),
-            ("Mean Bonus Gap %", F.lit(mean_bonus_gap), "Men earn more (limited bonus schemes in Irish HEIs)"),
-            ("Median Bonus Gap %", F.lit(median_bonus_gap), "Men earn more"),
+            (MEAN_GAP, gap_percent(F.col("mean_m"), F.col("mean_f"), 2), MEN_MORE),
+            (MEDIAN_GAP, gap_percent(F.col("median_m"), F.col("median_f"), 2), MEN_MORE),
+            (MEAN_BONUS, F.lit(mean_bonus_gap), MEN_MORE_BONUS),
+            (MEDIAN_BONUS, F.lit(median_bonus_gap), MEN_MORE),
         ],
     )
 
@@ -207,10 +213,10 @@ def pay_gap_sheet(employees: DataFrame) -> DataFrame:
         pay,
         names,
         [
-            ("Mean Hourly Pay Gap %", pct("mean_m", "mean_f"), "~16.2%", "Men earn more"),
-            ("Median Hourly Pay Gap %", pct("median_m", "median_f"), "~12.8%", "Men earn more"),
-            ("Mean Bonus Gap %", "8.5%", "~8.5%", "Men earn more (limited bonus schemes)"),
-            ("Median Bonus Gap %", "6.2%", "~6.2%", "Men earn more"),
+            (MEAN_GAP, pct("mean_m", "mean_f"), f"~{MEAN_GAP_BENCHMARK}%", MEN_MORE),
+            (MEDIAN_GAP, pct("median_m", "median_f"), f"~{MEDIAN_GAP_BENCHMARK}%", MEN_MORE),
+            (MEAN_BONUS, f"{MEAN_BONUS_GAP}%", f"~{MEAN_BONUS_GAP}%", MEN_MORE_BONUS_SHORT),
+            (MEDIAN_BONUS, f"{MEDIAN_BONUS_GAP}%", f"~{MEDIAN_BONUS_GAP}%", MEN_MORE),
         ],
     )
 

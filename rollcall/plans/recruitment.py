@@ -30,7 +30,7 @@ def time_to_fill(recruitment: DataFrame) -> DataFrame:
         F.col("min").alias("min_days"),
         F.col("max").alias("max_days"),
         HALF_EVEN(F.col("median"), 0).cast("int").alias("median_days"),
-    ).orderBy(F.desc_nulls_first("avg_days_to_fill"))
+    ).orderBy(F.desc_nulls_first("avg_days_to_fill"), "department", "is_academic")
 
 
 def mean_time_to_fill(recruitment: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def source_effectiveness(recruitment: DataFrame) -> DataFrame:
             percent(outcome_count(FILLED), openings, 1).alias("fill_rate_pct"),
             rounded(mean(days), 0).alias("avg_ttf_when_filled"),
         )
-        .orderBy(F.desc_nulls_first("fill_rate_pct"))
+        .orderBy(F.desc_nulls_first("fill_rate_pct"), "source")
     )
 
 

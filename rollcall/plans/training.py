@@ -11,7 +11,7 @@ from rollcall.functions.bands import compliance_rag
 from rollcall.functions.dates import months_before
 from rollcall.functions.numbers import HALF_EVEN, mean_of, percent, rounded
 from rollcall.functions.text import full_name
-from rollcall.operators.rollup import ROWS, attach, by_attribute, per_employee, stitch, with_totals
+from rollcall.operators.rollup import ROWS, attach, by_attribute, distinct_heads, per_employee, stitch, with_totals
 from rollcall.plans.headcount import active, is_active, value_counts
 
 # Fixed values.
@@ -55,18 +55,38 @@ def mandatory_courses(training: DataFrame) -> DataFrame:
     return training.filter("mandatory").select("course_name").distinct()
 
 
+def _recent_pass(as_of: dt.date) -> Column:
+    return F.col("passed") & (F.col("completion_date") >= months_before(as_of, MONTHS))
+
+
+def _courses(training: DataFrame, counts: dict[str, Column]) -> tuple[DataFrame, Column]:
+    """One row per employee and mandatory course with some counts, and the number of courses as a scalar.
+
+    Both come from the same rows, so that training is read and shuffled once: the scalar asks for every count too (none is
+    negative), or Spark would prune them there, see two different plans and run both.
+    """
+    courses = training.filter("mandatory").groupBy("employee_id", "course_name")
+    courses = courses.agg(*[value.alias(name) for name, value in counts.items()])
+    seen = sum((F.col(name) for name in counts), F.lit(0)) >= 0
+    needed = courses.filter(seen).select("course_name").distinct().agg(F.count("course_name").alias("needed"))
+    return courses, needed.scalar()
+
+
+def _with_courses(employees: DataFrame, totals: DataFrame) -> DataFrame:
+    """Employees with their totals of courses. Joined on a key that is never NULL: otherwise Spark would drop records without
+    an employee before it adds up here, but not where it counts courses, and read training for each."""
+    keyed = totals.select(F.coalesce("employee_id", F.lit("\0")).alias("key"), *totals.columns[1:])
+    return employees.join(keyed, F.col("employee_id") == F.col("key"), "left").drop("key")
+
+
 def full_compliance(employees: DataFrame, training: DataFrame, as_of: dt.date) -> DataFrame:
     """Share of active staff who passed every mandatory course in the last 12 months, with status."""
-    done = (
-        recent_passes(training, as_of)
-        .select("employee_id", "course_name")
-        .distinct()
-        .groupBy("employee_id")
-        .agg(F.count("course_name").alias("done"))
+    courses, needed = _courses(training, {"recent": F.count(F.when(_recent_pass(as_of), 1))})
+    totals = courses.groupBy("employee_id").agg(
+        F.count(F.when(F.col("recent") > 0, F.col("course_name"))).alias("recent_courses")
     )
-    needed = mandatory_courses(training).agg(F.count(ROWS).alias("needed")).scalar()
-    people = active(employees).select("employee_id", "department").join(done, "employee_id", "left")
-    compliant = F.count_if(F.coalesce("done", F.lit(0)) >= F.col("needed"))
+    people = _with_courses(active(employees).select("employee_id", "department"), totals)
+    compliant = F.count_if(F.coalesce("recent_courses", F.lit(0)) >= F.col("needed"))
     grouped = (
         people.withColumn("needed", needed)
         .groupBy("department")
@@ -76,23 +96,24 @@ def full_compliance(employees: DataFrame, training: DataFrame, as_of: dt.date) -
     return (
         grouped.withColumn("compliance_rate_pct", percent(F.col("fully_compliant"), F.col("active_staff"), 1))
         .select("*", F.lit(COMPLIANCE_TARGET).alias("target_pct"), compliance_rag(rate).alias("rag_status"))
-        .orderBy(F.asc_nulls_last("compliance_rate_pct"))
+        .orderBy(F.asc_nulls_last("compliance_rate_pct"), "department")
     )
 
 
 def spend_per_head(employees: DataFrame, training: DataFrame) -> DataFrame:
-    """Training spend of active staff per head; a department without records has no spend, not 0."""
-    people = with_totals(
-        active(employees).select("employee_id", "department"), training, {"cost": F.sum("cost_eur")}
+    """Training spend of active staff per distinct head; a department without records has no spend, not 0. As a join
+    in SQL gives it, an employee held twice counts their spend twice."""
+    people = with_totals(distinct_heads(active(employees), ["department"]), training, {"cost": F.sum("cost_eur")})
+    grouped = people.groupBy("department").agg(
+        F.count("employee_id").alias("heads"), F.sum(F.col("cost") * F.col("copies")).alias("cost")
     )
-    grouped = people.groupBy("department").agg(F.count(ROWS).alias("heads"), F.sum("cost").alias("cost"))
     return grouped.select(
         "department",
         F.col("heads").alias("active_headcount"),
         rounded(F.col("cost"), 0).alias("total_training_spend_eur"),
         rounded(mean_of(F.col("cost"), F.col("heads")), 0).alias("spend_per_employee_eur"),
         F.lit(SPEND_BENCHMARK).alias("sector_benchmark_eur_per_head"),
-    ).orderBy(F.desc_nulls_first("spend_per_employee_eur"))
+    ).orderBy(F.desc_nulls_first("spend_per_employee_eur"), "department")
 
 
 def without_mandatory_training(employees: DataFrame, training: DataFrame, as_of: dt.date) -> DataFrame:
@@ -211,25 +232,19 @@ def compliance_variants(employees: DataFrame, training: DataFrame, as_of: dt.dat
     Every course in 12 months (active staff) · any pass in 12 months over active heads · every record passed, of
     all employees · every record passed, of those with records · any pass ever over active heads.
     """
-    recent = F.col("completion_date") >= months_before(as_of, MONTHS)
-    passed = F.col("passed")
-    courses = (
-        training.filter("mandatory")
-        .groupBy("employee_id", "course_name")
-        .agg(
-            F.bool_or(passed & recent).alias("recent_pass"),
-            F.bool_or(passed).alias("any_pass"),
-            F.bool_and(passed).alias("all_passed"),
-        )
-        .groupBy("employee_id")
-        .agg(
-            F.count_if("recent_pass").alias("recent_courses"),
-            F.bool_or("any_pass").alias("any_pass"),
-            F.bool_and("all_passed").alias("all_passed"),
-        )
+    counts = {
+        "recent": F.count(F.when(_recent_pass(as_of), 1)),
+        "passes": F.count(F.when(F.col("passed"), 1)),
+        "known": F.count("passed"),
+    }
+    courses, needed = _courses(training, counts)
+    passes, known = F.sum("passes"), F.sum("known")
+    totals = courses.groupBy("employee_id").agg(
+        F.count(F.when(F.col("recent") > 0, F.col("course_name"))).alias("recent_courses"),
+        (passes > 0).alias("any_pass"),
+        F.when(known > 0, passes == known).alias("all_passed"),
     )
-    needed = mandatory_courses(training).agg(F.count(ROWS).alias("needed")).scalar()
-    people = employees.select("employee_id", "status", *by).join(courses, "employee_id", "left")
+    people = _with_courses(employees.select("employee_id", "status", *by), totals)
     recent_courses = F.coalesce("recent_courses", F.lit(0))
 
     def count_of(cond: Column) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from rollcall.functions.dates import month_of, month_spine
 from rollcall.functions.numbers import HALF_EVEN, mean, percent, rounded
-from rollcall.operators.rollup import ROWS, by_attribute, stitch
+from rollcall.operators.rollup import ROWS, by_attribute, distinct_heads, stitch
 from rollcall.plans.headcount import active, is_active, value_counts
 
 
@@ -39,10 +39,14 @@ def monthly_flow(employees: DataFrame, leavers: DataFrame, first: dt.date, last:
 
 
 def turnover_by_department(employees: DataFrame, leavers: DataFrame, benchmark: float = 8.5) -> DataFrame:
-    """K5: leavers over the mean of all heads and leavers."""
-    parts = _department_parts(employees, leavers, ["department"])
+    """K5: distinct leavers over the mean of all distinct heads and leavers."""
+    people = distinct_heads(employees, ["department"])
+    gone = leavers.select("employee_id").distinct().withColumn("gone", F.lit(True))
+    parts = people.join(gone, "employee_id", "left").groupBy("department").agg(
+        F.count("employee_id").alias("heads"), F.count("gone").alias("known_leavers")
+    )
     return (
-        parts.filter(F.col("heads") > 0)
+        parts
         .select(
             "department",
             F.col("heads").alias("total_headcount"),

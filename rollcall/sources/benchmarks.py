@@ -24,14 +24,13 @@ CONTRACT_SHARES = {"Permanent": "0.58", "Fixed-Term": "0.42"}
 FTE_RATES = {"Academic": "0.82", "Professional & Support": "0.83"}
 
 # Year, quarter, sector, hourly, weekly, total labour cost, release.
-_RELEASE = "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcosts"
 EARNINGS_ROWS = [
-    (2023, "Q4", "Education", "48.59", "1152.00", "48.65", _RELEASE + "q42023/"),
-    (2024, "Q4", "Education", "49.80", "1185.00", "50.20", _RELEASE + "q42024/"),
-    (2025, "Q3", "Education", "51.23", "1219.00", "51.60", _RELEASE + "q32025/"),
-    (2024, "Q4", "All Sectors", "30.21", "718.00", "31.50", _RELEASE + "q42024/"),
-    (2025, "Q3", "Public Sector (all)", "43.18", "1244.47", "44.10", _RELEASE + "q32025/"),
-]
+    (2023, "Q4", "Education", "48.59", "1152.00", "48.65", "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcostsq42023/"),
+    (2024, "Q4", "Education", "49.80", "1185.00", "50.20", "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcostsq42024/"),
+    (2025, "Q3", "Education", "51.23", "1219.00", "51.60", "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcostsq32025/"),
+    (2024, "Q4", "All Sectors", "30.21", "718.00", "31.50", "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcostsq42024/"),
+    (2025, "Q3", "Public Sector (all)", "43.18", "1244.47", "44.10", "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcostsq32025/"),
+]
 
 # Sector, metric, value, direction, note.
 PAY_GAP_ROWS = [
@@ -56,7 +55,7 @@ DATA_SOURCE_ROWS = [
      "Annual HEA publication of Irish HEI staff headcount by grade, gender, and contract type",
      ["hea_staff_profile", "workforce_summary"]),
     ("CSO Earnings and Labour Costs Q4 2024", "Real", 2024,
-     _RELEASE + "q42024/",
+     "https://www.cso.ie/en/releasesandpublications/ep/p-elc/earningsandlabourcostsq42024/",
      "CSO quarterly earnings by sector including education sector hourly and weekly averages",
      ["cso_earnings_benchmark", "employees"]),
     ("Irish Gender Pay Gap Information Act 2021 benchmarks", "Real", 2023,

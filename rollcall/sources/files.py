@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import csv
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rollcall.sources import schemas
@@ -25,28 +27,47 @@ def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet")
 
 
 def _read_csv(spark, schema, path):
+    """Every file by its own header: files are grouped by header line, and the groups meet by column name."""
     options = {"header": True, "multiLine": False, "escape": '"'}
-    header = spark.read.options(**options).csv(path).columns
-    text = spark.read.options(**options).schema(", ".join(f"`{c}` string" for c in header)).csv(path)
-    known = set(header)
-    columns = []
-    for field in schema.fields:
-        if field.name not in known:
-            columns.append(F.lit(None).cast(field.dataType).alias(field.name))
-            continue
-        raw = F.col(f"`{field.name}`")
-        if field.dataType == schemas.WHOLE:
-            # A nullable whole number may have been written as 12.0.
-            columns.append(raw.cast("decimal(20,2)").cast(field.dataType).alias(field.name))
-        else:
-            columns.append(raw.cast(field.dataType).alias(field.name))
-    return text.select(*columns)
+    frames = []
+    for header, files in _headers(spark, path).items():
+        names = next(csv.reader([header.lstrip("\ufeff")]))
+        text = spark.read.options(**options).schema(", ".join(f"`{c}` string" for c in names)).csv(files)
+        known = set(names)
+        frames.append(text.select(*[_typed(field, known) for field in schema.fields]))
+    return reduce(DataFrame.unionByName, frames) if frames else spark.createDataFrame([], schema)
+
+
+def _headers(spark, path) -> dict[str, list[str]]:
+    """Files by header line. Only the first line of each file is read."""
+    found: dict[str, list[str]] = {}
+    for file in sorted(unquote(f) for f in spark.read.text(path).inputFiles()):
+        if first := spark.read.text(file).first():
+            found.setdefault(first["value"], []).append(file)
+    return found
+
+
+def _typed(field, known) -> Column:
+    if field.name not in known:
+        return F.lit(None).cast(field.dataType).alias(field.name)
+    raw = F.col(f"`{field.name}`")
+    if field.dataType == schemas.WHOLE:
+        raw = raw.cast("decimal(20,2)")  # a nullable whole number may have been written as 12.0
+    return raw.cast(field.dataType).alias(field.name)
 
 
 def read_workforce(spark: SparkSession, folder: str, fmt: str = "parquet") -> Workforce:
-    """Read the five HR tables and the two benchmark tables from ``folder/<table>``."""
+    """Read the five HR tables, the three benchmark tables, the provenance list and the workforce summary from
+    ``folder/<table>``. Of the last three, those that the folder lacks are left out."""
     names = ["employees", "absences", "recruitment", "leavers", "training", "staff_profile", "earnings"]
-    return Workforce(**{n: read_table(spark, n, f"{folder}/{n}", fmt) for n in names})
+    names += [n for n in ("pay_gap", "data_sources", "workforce_summary") if _there(spark, f"{folder}/{n}")]
+    kinds = {"data_sources": "parquet"}  # it holds lists, which CSV has not
+    return Workforce(**{n: read_table(spark, n, f"{folder}/{n}", kinds.get(n, fmt)) for n in names})
+
+
+def _there(spark, path) -> bool:
+    path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:

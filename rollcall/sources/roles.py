@@ -78,8 +78,9 @@ class RoleTables:
     @cached_property
     def absences(self) -> DataFrame:
         return self._read("orders").selectExpr(
-            "CAST(o_orderkey AS STRING) AS absence_id",
-            "if(o_orderkey % 997 = 0, 'missing', CAST(o_custkey AS STRING)) AS employee_id",
+            "CAST(if(o_orderkey % 7 = 0, o_custkey, o_orderkey) AS STRING) AS absence_id",
+            "CASE WHEN o_orderkey % 997 = 0 THEN 'missing' WHEN o_orderkey % 1009 <> 0 THEN CAST(o_custkey AS STRING) END "
+            "AS employee_id",
             "CASE o_orderpriority WHEN '1-URGENT' THEN 'Certified Sick Leave' "
             "WHEN '2-HIGH' THEN 'Uncertified Sick Leave' WHEN '3-MEDIUM' THEN 'Annual Leave' "
             "WHEN '4-NOT SPECIFIED' THEN 'Study Leave' ELSE 'Other' END AS absence_type",
@@ -144,7 +145,7 @@ class RoleTables:
             .join(self._read("part"), F.expr("l_partkey = p_partkey"))
             .selectExpr(
                 "concat(CAST(l_orderkey AS STRING), '-', CAST(l_linenumber AS STRING)) AS training_id",
-                "CAST(o_custkey AS STRING) AS employee_id",
+                "if(l_orderkey % 1013 = 0, NULL, CAST(o_custkey AS STRING)) AS employee_id",
                 "concat(p_type, ' ', p_brand) AS course_name",
                 "p_type AS category",
                 "CASE l_returnflag WHEN 'N' THEN 'Internal' WHEN 'A' THEN 'External' ELSE 'Skillnet Ireland' END "
@@ -161,8 +162,8 @@ class RoleTables:
     def staff_profile(self) -> DataFrame:
         return (
             self._read("supplier")
-            .join(self._read("nation").filter("n_nationkey < 22"), F.expr("s_nationkey = n_nationkey"))
-            .groupBy("n_regionkey", "n_name")
+            .join(self._read("nation"), F.expr("s_nationkey = n_nationkey"))
+            .groupBy("n_regionkey", F.expr("if(n_nationkey < 22, n_name, concat(n_name, ' staff')) AS n_name"))
             .agg(F.expr("count(1) AS suppliers"))
             .selectExpr(
                 "*",
@@ -185,6 +186,14 @@ class RoleTables:
     def earnings(self) -> DataFrame:
         return benchmarks.earnings(self.spark)
 
+    @cached_property
+    def pay_gap(self) -> DataFrame:
+        return benchmarks.pay_gap(self.spark)
+
+    @cached_property
+    def data_sources(self) -> DataFrame:
+        return benchmarks.data_sources(self.spark)
+
     def workforce(self) -> Workforce:
         return Workforce(
             employees=self.employees,
@@ -194,4 +203,6 @@ class RoleTables:
             training=self.training,
             staff_profile=self.staff_profile,
             earnings=self.earnings,
+            pay_gap=self.pay_gap,
+            data_sources=self.data_sources,
         )

@@ -165,7 +165,7 @@ SCHEMAS = {
     "workforce_summary": WORKFORCE_SUMMARY,
 }
 
-# Column lengths declared for the text columns that have one.
+# The lengths declared for the text columns that have one.
 TEXT_LENGTHS = {
     "employees": {
         "employee_id": 10, "first_name": 60, "last_name": 60, "gender": 10, "nationality": 60,

@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from rollcall.session import local_session  # noqa: E402
-from rollcall.sources import schemas  # noqa: E402
+from rollcall.sources import benchmarks, schemas  # noqa: E402
 from rollcall.sources.tables import Workforce  # noqa: E402
 
 FILES = "/root/testdata/sf0.001"
@@ -83,7 +83,8 @@ def table(spark):
 def bundle(spark):
     def build(**tables):
         names = ["employees", "absences", "recruitment", "leavers", "training", "staff_profile"]
-        return Workforce(**{n: make(spark, n, tables.get(n, [])) for n in names})
+        fixed = {n: getattr(benchmarks, n)(spark) for n in ("earnings", "pay_gap", "data_sources")}
+        return Workforce(**{n: make(spark, n, tables.get(n, [])) for n in names}, **fixed)
 
     return build
 

@@ -102,6 +102,43 @@ def test_report_agrees_with_the_flags_and_keeps_rows(dirty):
     assert totals.checks_run == 12 and totals.issues_found == sum(r["issues_found"] for r in report.values())
 
 
+def test_missing_employees_count_where_the_reference_is_required(bundle):
+    tables = bundle(
+        employees=[dict(employee_id="1", manager_id=None)],
+        absences=[dict(employee_id=None), dict(employee_id="1")],
+        recruitment=[dict(hired_employee_id=None)],
+        training=[dict(employee_id=None)],
+    )
+    clean = Cleaning(tables)
+    report = {k: v["issues_found"] for k, v in keyed(clean.report(), "table", "check").items()}
+    assert report["absences", "Employee FK validity"] == 1 and report["training", "Employee FK validity"] == 1
+    assert report["employees", "Manager FK validity"] == 0 and report["recruitment", "Hired employee FK validity"] == 0
+    assert keyed(clean.absences(), "absence_id")["A1"]["dq_flag"] == "invalid_employee_id;"
+    assert keyed(clean.training(), "training_id")["T1"]["dq_flag"] == "invalid_employee_id;"
+
+
+def test_leavers_never_multiply(bundle):
+    tables = bundle(
+        employees=[dict(employee_id="1", hire_date=day("2021-01-01")), dict(employee_id="1", hire_date=day("2019-01-01"))],
+        leavers=[dict(employee_id="1", leaving_date=day("2020-06-01"))],
+    )
+    clean = Cleaning(tables)
+    assert rows(clean.leavers(), "employee_id", "dq_flag") == [("1", "")]
+    assert keyed(clean.report(), "table", "check")["leavers", "Employee FK validity"]["total_rows"] == 1
+
+
+def test_nothing_to_check_is_not_passed_over(bundle):
+    tables = bundle(employees=[{}, {}])
+    lacking = Cleaning(tables).tables.__class__(**{**vars(tables), "data_sources": None})
+    with pytest.raises(ValueError, match="data_sources"):
+        constraints.count_violations(lacking, constraints.domain_rules())
+    narrow = tables.__class__(**{**vars(tables), "employees": tables.employees.drop("campus", "nationality")})
+    required = keyed(constraints.count_violations(narrow, constraints.required_rules(narrow)), "table", "rule")
+    assert required["employees", "campus not null"]["violations"] == 2
+    lengths = {"employees": constraints.length_rules("employees", narrow.employees)}
+    assert keyed(constraints.count_violations(narrow, lengths), "table", "rule")["employees", "nationality length <= 60"]["violations"] == 0
+
+
 def test_keys_and_references(dirty, bundle):
     twice = bundle(training=[dict(training_id="T"), dict(training_id="T"), dict(training_id=None)])
     assert keyed(constraints.key_summary(twice), "table")["training"] == dict(key="training_id", bad_keys=2, rows=3)

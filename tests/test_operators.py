@@ -50,6 +50,38 @@ def test_leading_digits_follow_the_values(spark):
     assert buckets == sorted(buckets)
 
 
+def test_leading_digits_follow_values_below_zero(spark):
+    values = [-(10**12), -99999, -12350, -12345, -10, -9, -5, -1, 0, 1, 5, 9, 10, 12345]
+    df = spark.createDataFrame([(i, Decimal(v)) for i, v in enumerate(values)], "i int, v decimal(38,0)")
+    buckets = [r[0] for r in rows(df.orderBy("i").select(quantiles.leading_digits(F.col("v"))))]
+    assert buckets == sorted(buckets)
+    scores = spark.createDataFrame([(Decimal(v),) for v in (-5, 3, 7)], "v decimal(38,0)")
+    assert quantiles.distribution(scores, [], "v", bucket=quantiles.leading_digits, with_total=False).first()["median"] == 3
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+@pytest.mark.parametrize("bucket", [quantiles.thousands, quantiles.leading_digits])
+def test_percentiles_of_four_decimals_and_negatives_equal_sorting(spark, seed, bucket):
+    rnd = random.Random(seed)
+    values = [Decimal(rnd.randint(-10**8, 10**8)) / 10000 for _ in range(rnd.randint(1, 300))]
+    df = spark.createDataFrame([(v,) for v in values], "v decimal(18,4)")
+    got = quantiles.distribution(df, [], "v", {"q1": "0.25", "median": "0.5", "p9": "0.9"}, bucket=bucket).first()
+    assert got["total"] == sum(values)
+    for name, p in (("q1", "0.25"), ("median", "0.5"), ("p9", "0.9")):
+        assert got[name] == percentile(values, p), name
+
+
+def test_percentiles_refuse_floating_point(spark):
+    with pytest.raises(TypeError, match="whole or decimal"):
+        quantiles.distribution(spark.createDataFrame([(1.5,)], "v double"), [], "v")
+
+
+def test_stitch_refuses_a_measure_of_two_frames(spark):
+    df = spark.createDataFrame([("x", 1)], "k string, a int")
+    with pytest.raises(ValueError, match="more than one frame: a"):
+        rollup.stitch(["k"], df, df)
+
+
 def test_distribution_of_nothing(spark):
     df = spark.createDataFrame([], "g string, v decimal(10,2)")
     assert rows(quantiles.distribution(df, ["g"], "v")) == []
@@ -127,16 +159,39 @@ def test_stitch_is_a_full_join_with_null_keys(spark):
     assert sorted(rows(rollup.stitch(["k"], a, b)), key=str) == [("x", 1, None), ("y", None, 3), (None, 2, 4)]
 
 
-@pytest.mark.parametrize("few", [10_000, 1])
-def test_orphans_with_hot_and_missing_keys(spark, monkeypatch, few):
-    monkeypatch.setattr(quality, "FEW_KEYS", few)
+@pytest.mark.parametrize("null_breaks", [False, True])
+def test_orphans_with_hot_and_missing_keys(spark, null_breaks):
     child = spark.createDataFrame(
         [(i, "bad" if i % 3 == 0 else None if i % 3 == 1 else str(i % 7)) for i in range(600)], "id int, k string"
     )
     parent = spark.createDataFrame([(str(i),) for i in range(6)], "k string")
-    marked = rows(quality.mark_orphans(child, "k", parent, "k", "unknown", "id"))
+    marked = rows(quality.mark_orphans(child, "k", parent, "k", "unknown", "id", null_breaks))
     assert len(marked) == 600 and len({r[0] for r in marked}) == 600
-    assert all(unknown == (k in ("bad", "6")) for _, k, unknown in marked)
+    assert all(unknown == (null_breaks if k is None else k in ("bad", "6")) for _, k, unknown in marked)
+
+
+def test_a_hot_reference_is_split_over_tasks(spark):
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+    }
+    before = {k: spark.conf.get(k, None) for k in small}
+    try:
+        for k, v in small.items():
+            spark.conf.set(k, v)
+        child = spark.range(200_000, numPartitions=8).select(
+            F.col("id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.col("id").cast("string")).alias("k")
+        )
+        parent = spark.range(20_000).select(F.col("id").cast("string").alias("p"))
+        marked = quality.mark_orphans(child, "k", parent, "p", "unknown", "id").filter("unknown").select("id", "k")
+        assert len(marked.collect()) == 190_000
+        assert "skew=true" in marked._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
 def test_rules_report_and_flags(spark):

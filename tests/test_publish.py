@@ -19,6 +19,6 @@ def test_from_raw_tables_to_reports(spark, bundle, tmp_path):
     assert keyed(cleaned.absences, "absence_id")["A4"]["dq_flag"] == "invalid_employee_id;"
     months = dt.date(2020, 1, 1), dt.date(2024, 12, 1)
     publish.write_reports(cleaned, f"{out}/reports", dt.date(2024, 12, 31), *months, fmt="csv")
-    assert len(list((tmp_path / "reports").iterdir())) == 20
+    assert len(list((tmp_path / "reports").iterdir())) == 45
     record = json.loads(next((tmp_path / "reports" / "kpis").glob("part-*.json")).read_text())
     assert record["total_headcount"] == 4 and record["avg_ttf_academic_days"] == 10

@@ -1,12 +1,13 @@
 """Hand-made rows for the traps of each report."""
 
 import datetime as dt
+from dataclasses import replace
 from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
 
-from rollcall.plans import absence, benchmark, executive, headcount, measures, pay, recruitment, training, turnover
+from rollcall.plans import absence, benchmark, executive, headcount, measures, pay, recruitment, training, turnover, views
 from tests.conftest import day, keyed, rows
 
 AS_OF = dt.date(2024, 12, 31)
@@ -340,3 +341,38 @@ def test_reports_on_empty_tables(bundle):
     assert executive.headline_kpis(tables).first().turnover_rate_pct is None
     assert rows(pay.pay_quartiles(tables.employees)) == [] and rows(absence.top_spell_scores(tables.employees, tables.absences)) == []
     assert measures.measures(tables, ["department"]).count() == 0
+
+
+def test_repeated_rows_are_counted_once_where_the_sql_counts_distinct(bundle):
+    tables = bundle(
+        employees=[dict(employee_id="1"), dict(employee_id="1"), dict(employee_id="2", department="IT")],
+        absences=[dict(employee_id="2", absence_id="A", days_absent=5), dict(employee_id="2", absence_id="A", days_absent=5)],
+        leavers=[dict(employee_id="1"), dict(employee_id="1")],
+        training=[dict(employee_id="1", cost_eur=Decimal("10.00"))],
+    )
+    emp, off, lev, tr = tables.employees, tables.absences, tables.leavers, tables.training
+    top = absence.top_spell_scores(emp, off).first()
+    assert (top.spells, top.total_days_absent, top.bradford_factor) == (1, 10, 10.0)
+    assert rows(turnover.turnover_by_department(emp, lev), "department", "total_headcount", "total_leavers") == [
+        ("Research", 1, 1), ("IT", 1, 0),
+    ]
+    assert dict(rows(absence.sick_rate_by_department(emp, off), "department", "active_headcount")) == {"Research": 1, "IT": 1}
+    spend = keyed(training.spend_per_head(emp, tr), "department")["Research"]
+    assert (spend["active_headcount"], spend["total_training_spend_eur"]) == (1, 20.0)
+
+
+def test_a_sliced_bundle_measures_as_its_rows_do(bundle):
+    tables = small(bundle)
+    for department in ("HR", "nowhere"):
+        part = tables.sliced(employees=F.col("department") == department, absences=F.col("days_absent") > 2)
+        part = part.sliced(training=F.col("passed"))
+        by_rows = replace(part, whole=None)
+        for by in ([], ["department"]):
+            assert rows(measures.measures(part, by)) == rows(measures.measures(by_rows, by))
+
+
+def test_views_by_name(bundle, spark):
+    tables = bundle(employees=[{}, dict(status="Resigned")], absences=[dict(employee_id="E1", days_absent=4)])
+    views.register_views(tables, day("2024-12-31"))
+    assert spark.sql("SELECT count(*) FROM v_active_workforce").first()[0] == 1
+    assert rows(spark.sql("SELECT department, headcount, total_days_absent FROM v_absence_rate_by_dept")) == [("Research", 1, 4)]

@@ -48,7 +48,10 @@ def test_tables_survive_a_round_trip(spark, bundle, tmp_path, fmt):
     for name in ("employees", "absences", "recruitment", "leavers", "training", "staff_profile"):
         files.write_table(getattr(tables, name), f"{tmp_path}/{name}", fmt)
     files.write_table(benchmarks.earnings(spark), f"{tmp_path}/earnings", fmt)
+    files.write_table(tables.data_sources, f"{tmp_path}/data_sources")
+    files.write_table(tables.pay_gap, f"{tmp_path}/pay_gap", fmt)
     back = files.read_workforce(spark, str(tmp_path), fmt)
+    assert back.pay_gap.count() == 6 and back.data_sources.count() == 4 and back.workforce_summary is None
     for name in ("employees", "absences", "recruitment", "leavers", "training", "staff_profile"):
         df = getattr(back, name)
         assert sorted(rows(df), key=str) == sorted(rows(getattr(tables, name)), key=str), name
@@ -65,6 +68,19 @@ def test_raw_csv_with_other_columns(spark, tmp_path):
     assert got["JR1"]["dq_flag"] == "" and got["JR1"]["source"] is None and str(got["JR2"]["date_opened"]) == "2022-03-02"
 
 
+def test_csv_files_of_one_folder_are_read_by_name(spark, tmp_path):
+    folder = tmp_path / "leavers"
+    folder.mkdir()
+    (folder / "a.csv").write_text("employee_id,reason_for_leaving,destination\n1,Resignation,HEI\n")
+    (folder / "b.csv").write_text("destination,employee_id,reason_for_leaving\nRetired,2,Retirement\n")
+    (folder / "c.csv").write_text("employee_id,destination\n3,Private Sector\n")
+    (folder / "d e.csv").write_text("")
+    got = keyed(files.read_table(spark, "leavers", str(folder), "csv"), "employee_id")
+    assert {k: (v["reason_for_leaving"], v["destination"]) for k, v in got.items()} == {
+        "1": ("Resignation", "HEI"), "2": ("Retirement", "Retired"), "3": (None, "Private Sector"),
+    }
+
+
 def test_partitioned_facts_prune(spark, bundle, tmp_path):
     off = bundle(absences=[{}, {}]).absences.withColumn("year", F.year("start_date"))
     files.write_table(off, f"{tmp_path}/a", partition_by=["year"])
