@@ -192,10 +192,16 @@ class Page:
         return self.paths[top], score
 
     def text_at(self, path: str) -> str | None:
-        """The text of all containers at the path, in page order; None if there is none."""
+        """The text of all containers at the path, in page order, but for menus: those that are links for the most part,
+        unless all are. None if there is no container."""
         wanted = {k for k, p in enumerate(self.paths) if p == path}
         if not wanted:
             return None
+        weight = dict.fromkeys(wanted, 0)
+        for b in self.blocks:
+            for k in wanted.intersection(b.inside):
+                weight[k] += b.length - 2 * b.linked
+        wanted = {k for k, w in weight.items() if w >= 0} or wanted
         found = (b.text() for b in self.blocks if not b.dropped and not wanted.isdisjoint(b.inside))
         return "\n".join(t for t in found if t)
 
