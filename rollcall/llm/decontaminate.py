@@ -180,7 +180,7 @@ def passages(docs: DataFrame, plane: np.ndarray, n: int, reach: int, least: int)
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text", item_key: str = "item_id",
                  item_text: str = "text", n: int = 3, spread: int = 4, least_rare: int = 10, least_seeds: int = 2,
-                 least_score: float = 0.5, max_bits: int = 1 << 26) -> DataFrame:
+                 least_score: float = 0.4, max_bits: int = 1 << 26) -> DataFrame:
     """A row for each document and item that it holds a copy of: the key, the item's key, score (0 to 1), seeds (distinct
     ones in the passage), first_word and end_word of the aligned passage's end in the document.
 

@@ -45,8 +45,8 @@ def test_any_text_as_the_library(text):
     definition = queries.tokenizer_definition()
     global _coder
     coder = globals().setdefault("_coder", tf.PieceCoder(definition, 2))
-    for t in (text, f"Été {text}, don't\n{text}."):
-        assert np.frombuffer(coder(t), "<u4").tolist() == [*coder.tokenizer.encode(t, add_special_tokens=False).ids, 2]
+    for t in (text, f"Été {text}, don't\n{text}.", f"{'q' * 300}{text} J{text}", f"A{text},\nÀ. ×. ÿ, x. {text}"):
+        assert np.frombuffer(coder([t])[0], "<u4").tolist() == [*coder.tokenizer.encode(t, add_special_tokens=False).ids, 2]
 
 
 def test_whole_table_as_the_library(spark, library):
@@ -70,6 +70,18 @@ def test_any_sizes_cross_block_edges(spark, planes, block):
     assert got == [(i, starts[i], (np.arange(n) + 1000 * i).tolist()) for i, n in enumerate(sizes)]
 
 
+def test_numbers_of_hashes():
+    rng = np.random.default_rng(1)
+    keys = rng.choice(np.arange(1, 10**6, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15), 3000, replace=False)
+    crowded = np.concatenate([keys, np.arange(1, 500, dtype=np.uint64)])  # small keys all want the same place
+    table = tf.HashNumbers(3500)
+    for part in np.array_split(crowded, 7):
+        assert (table.find(part) < 0).all()
+        table.add(part)
+    assert np.array_equal(table.find(crowded), np.arange(len(crowded)))
+    assert table.find(np.array([10**17 + 1], np.uint64))[0] == -1 and len(table.find(np.zeros(0, np.uint64))) == 0
+
+
 def test_blocks_of_one_partition():
     batch = pd.DataFrame({"id": [4, 5], "ids": [np.arange(5, dtype="<u4").tobytes(), b""]})
     found = list(tf.blocks_of(iter([batch]), 3, 2, "byte"))
