@@ -84,6 +84,13 @@ def remainder(key: Column, n: int) -> Column:
     return F.crc32(key.cast("string").cast("binary")) % n
 
 
+def is_small(df: DataFrame, most_rows: int, most_bytes: int = 32 << 20) -> bool:
+    """Whether a table may be broadcast: its rows, and the bytes of its values as text, are counted and within bounds."""
+    size = sum((F.coalesce(F.octet_length(col(c).cast("string")), F.lit(0)) for c in df.columns), F.lit(0))
+    found = df.agg(F.count("*").alias("rows"), F.sum(size).alias("bytes")).first()
+    return found["rows"] <= most_rows and (found["bytes"] or 0) <= most_bytes
+
+
 def bit_plane(cells: DataFrame, n: int) -> np.ndarray:
     """A bit map of n bits (a power of two), as 32-bit words: those in the column cell are set. What comes to the driver
     is bounded by n, whatever the number of rows; n is the caller's bound."""
@@ -124,6 +131,24 @@ def mix_one(x: int) -> int:
     return x ^ (x >> 31)
 
 
+#: Bytes of a run that are told apart by their places when runs are hashed.
+PLACES = 256
+_WEIGHTS = mix(np.arange(1, PLACES + 1, dtype=np.uint64)) | np.uint64(1)
+
+
+def hash_runs(text: np.ndarray, inside: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of runs of bytes, all at once. `inside` marks the bytes that belong to runs. Of runs of more than
+    PLACES bytes, the rest counts without its order."""
+    if not len(begins):
+        return np.zeros(0, np.uint64)
+    first = np.zeros(len(text), np.int64)
+    first[begins] = begins
+    place = np.arange(len(text)) - np.maximum.accumulate(first)
+    weighed = _WEIGHTS[np.minimum(place, PLACES - 1)] * (text.astype(np.uint64) + np.uint64(1))
+    weighed[~inside] = 0
+    return mix(np.add.reduceat(weighed, begins) + (ends - begins).astype(np.uint64))
+
+
 class WordHashes:
     """64-bit hashes of words, remembered up to a bound so that memory doesn't follow the vocabulary."""
 

@@ -16,8 +16,6 @@ Texts meet the benchmark through a bit map of n-gram hashes whose size is set by
 
 from __future__ import annotations
 
-import re
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,27 +24,51 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import (
-    WordHashes,
     bit_plane,
     chunks,
     col,
     free_name,
+    hash_runs,
     in_plane,
-    in_worker,
+    is_small,
     keep_table,
     mix,
     prepare,
     text_of,
 )
 
-_WORD = re.compile(r"\w+")
 MATCH, MISS = 2, -1
 #: What sets the words of an n-gram apart by their places.
 _ADDED = mix(np.arange(1, 65, dtype=np.uint64))
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_IN_WORD = np.zeros(256, bool)
+_IN_WORD[[*range(48, 58), *range(65, 91), 95, *range(97, 123), *range(128, 256)]] = True
+
+
+class Words:
+    """The words of some texts, cut and hashed in bytes: runs of ASCII letters, digits and underscores and of whatever is not
+    ASCII, in lower case (A-Z and the capitals from U+00C0 to U+00DE)."""
+
+    def __init__(self, texts: list[str]) -> None:
+        raw = [t.encode() for t in texts]
+        self.bytes = _LOWER[np.frombuffer(b"\n".join(raw), np.uint8)]
+        after = np.flatnonzero(self.bytes[:-1] == 0xC3) + 1
+        capital = after[(self.bytes[after] >= 0x80) & (self.bytes[after] <= 0x9E) & (self.bytes[after] != 0x97)]
+        self.bytes[capital] += 0x20
+        inside = _IN_WORD[self.bytes]
+        edge = np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8))
+        self.begins, self.ends = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
+        self.hashes = hash_runs(self.bytes, inside, self.begins, self.ends)
+        #: The first word of each text, and the number of all words.
+        self.first = np.searchsorted(self.begins, np.cumsum([0, *(len(r) + 1 for r in raw)]))
+
+    def __getitem__(self, words: slice) -> list[str]:
+        return [self.bytes[a:b].tobytes().decode() for a, b in zip(self.begins[words], self.ends[words], strict=True)]
 
 
 def words_of(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return Words([text])[:]
 
 
 def grams(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -77,41 +99,27 @@ def alignment(passage: list[str], item: list[str]) -> tuple[int, int]:
     return best, end
 
 
-class _Finder:
-    """Finds benchmark n-grams in texts; word hashes are remembered."""
-
-    def __init__(self, plane: np.ndarray, n: int) -> None:
-        self.plane, self.n, self.hashes = plane, n, WordHashes()
-        self.mask = np.uint64(len(plane) * 32 - 1)
-
-    def __call__(self, texts: list[str]) -> list[tuple[list[str], np.ndarray, np.ndarray]]:
-        """For each text its words, the positions of n-grams that the bit map has, and their hashes."""
-        words = [words_of(t) for t in texts]
-        flat = self.hashes([w.encode() for part in words for w in part])
-        hashed = grams(flat, self.n)
-        hit = np.flatnonzero(in_plane(self.plane, (hashed & self.mask).astype(np.int64)))
-        ends = np.cumsum([0, *map(len, words)])
-        cuts = np.searchsorted(hit, ends)
-        out = []
-        for k, part in enumerate(words):
-            at = hit[cuts[k] : cuts[k + 1]]
-            at = at[at + self.n <= ends[k + 1]]  # an n-gram ends within its text
-            out.append((part, at - ends[k], hashed[at].view(np.int64)))
-        return out
-
+class Hits:
+    """The n-grams of some texts that a bit map has: the words, the position of each hit among them, its text, its hash."""
 
-def _finder(sent, token: str, n: int) -> _Finder:
-    return in_worker("benchmark_grams", token, lambda: _Finder(sent.value, n))
+    def __init__(self, texts: list[str], plane: np.ndarray, n: int) -> None:
+        self.words = Words(texts)
+        hashed = grams(self.words.hashes, n)
+        mask = np.uint64(len(plane) * 32 - 1)
+        at = np.flatnonzero(in_plane(plane, (hashed & mask).astype(np.int64)))
+        text = np.searchsorted(self.words.first, at, side="right") - 1
+        whole = at + n <= self.words.first[text + 1]  # an n-gram ends within its text
+        self.at, self.text = at[whole], text[whole]
+        self.hashes = hashed[self.at].view(np.int64)
 
 
 def item_grams(benchmark: DataFrame, n: int) -> DataFrame:
     """(item, gram), distinct. Items of fewer than n words have none."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
         for batch in batches:
             for item, text in zip(batch["item"], batch["text"], strict=True):
-                found = np.unique(grams(hashes([w.encode() for w in words_of(text)]), n)).view(np.int64)
+                found = np.unique(grams(Words([text]).hashes, n)).view(np.int64)
                 yield pd.DataFrame({"item": [item] * len(found), "gram": found})
 
     kind = benchmark.schema["item"].dataType.simpleString()
@@ -126,17 +134,20 @@ def gram_plane(found: DataFrame, max_bits: int) -> np.ndarray:
 
 def gram_counts(docs: DataFrame, plane: np.ndarray, n: int) -> DataFrame:
     """Pass 1: (gram, n), how many texts hold each n-gram that the bit map has."""
-    sent, token = docs.sparkSession.sparkContext.broadcast(plane), uuid.uuid4().hex
+    sent = docs.sparkSession.sparkContext.broadcast(plane)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        find = _finder(sent, token, n)
         for batch in batches:
-            held = []
-            for part in chunks(batch["text"], len, 1 << 19):
-                held += [np.unique(g) for _, _, g in find(part) if len(g)]
-            if held:
-                found, times = np.unique(np.concatenate(held), return_counts=True)
-                yield pd.DataFrame({"gram": found, "n": times})
+            held = [np.zeros(0, np.int64)]
+            for part in chunks(batch["text"], len, 1 << 18):
+                hits = Hits(part, sent.value, n)
+                order = np.lexsort((hits.hashes, hits.text))
+                text, gram = hits.text[order], hits.hashes[order]
+                again = np.zeros(len(order), bool)
+                again[1:] = (text[1:] == text[:-1]) & (gram[1:] == gram[:-1])
+                held.append(gram[~again])
+            found, times = np.unique(np.concatenate(held), return_counts=True)
+            yield pd.DataFrame({"gram": found, "n": times})
 
     return docs.select("text").mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
 
@@ -154,25 +165,30 @@ def rare_seeds(found: DataFrame, counts: DataFrame, spread: int, least_rare: int
 def passages(docs: DataFrame, plane: np.ndarray, n: int, reach: int, least: int) -> DataFrame:
     """Pass 2: (uid, id, first, words, grams), the passages around `least` seeds or more that lie within `reach` words of
     their neighbours; `reach` words on either side come along."""
-    sent, token = docs.sparkSession.sparkContext.broadcast(plane), uuid.uuid4().hex
+    sent = docs.sparkSession.sparkContext.broadcast(plane)
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
-        find, uid = _finder(sent, token, n), TaskContext.get().partitionId() << 40
+        uid = TaskContext.get().partitionId() << 40
         for batch in batches:
-            rows = []
-            keys = iter(batch["id"])
-            for part in chunks(batch["text"], len, 1 << 19):
-                for (words, at, found), key in zip(find(part), keys, strict=False):
-                    for group in np.split(np.arange(len(at)), np.flatnonzero(np.diff(at) > reach) + 1):
-                        distinct = np.unique(found[group])
-                        if len(distinct) < max(1, least):
-                            continue
-                        a, b = max(0, int(at[group[0]]) - reach), int(at[group[-1]]) + n + reach
-                        rows.append((uid, key, a, " ".join(words[a:b]), distinct.tolist()))
-                        uid += 1
+            rows, keys, done = [], batch["id"].tolist(), 0
+            for part in chunks(batch["text"], len, 1 << 18):
+                hits = Hits(part, sent.value, n)
+                apart = (np.diff(hits.at) > reach) | (np.diff(hits.text) > 0)
+                for group in np.split(np.arange(len(hits.at)), np.flatnonzero(apart) + 1):
+                    distinct = np.unique(hits.hashes[group])
+                    if len(distinct) < max(1, least):
+                        continue
+                    text = hits.text[group[0]]
+                    begin, end = hits.words.first[text], hits.words.first[text + 1]
+                    a = max(begin, hits.at[group[0]] - reach)
+                    b = min(end, hits.at[group[-1]] + n + reach)
+                    passage = " ".join(hits.words[a:b])
+                    rows.append((uid, keys[done + text], int(a - begin), passage, distinct.tolist()))
+                    uid += 1
+                done += len(part)
             yield pd.DataFrame(rows, columns=["uid", "id", "first", "words", "grams"])
 
     return docs.mapInPandas(run, f"uid long, id {kind}, first int, words string, grams array<long>")
@@ -239,5 +255,5 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_
     `broadcast_rows` after counting, else joined. Rows without a key go together: all, if one of them holds a copy."""
     name = free_name(docs, "leak_id")
     ids = keep_table(contaminated(docs, benchmark, key=key, **how).select(col(key).alias(name)).distinct(), "leaks")
-    few = ids.count() <= broadcast_rows
+    few = is_small(ids, broadcast_rows)
     return docs.join(F.broadcast(ids) if few else ids, col(key).eqNullSafe(col(name)), "left_anti")
