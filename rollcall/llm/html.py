@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import col, free_name, keep_table, prepare, text_of
+from rollcall.llm.common import col, free_name, is_small, keep_table, prepare, text_of
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -256,7 +256,7 @@ def extract(pages: DataFrame, url: str = "url", html: str = "html", broadcast_ro
     host, salt, path = (free_name(pages, n) for n in ("page_host", "page_salt", "page_path"))
     winners = winners.select(F.col("host").alias(host), F.col("path").alias(path))
     placed = pages.withColumn(host, host_of(col(url)))
-    if winners.count() <= broadcast_rows:
+    if is_small(winners, broadcast_rows):
         joined = placed.join(F.broadcast(winners), host, "left")
     else:
         spread = winners.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))

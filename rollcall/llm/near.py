@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import WordHashes, chunks, col, free_name, keep_table, mix, prepare, text_of
+from rollcall.llm.common import WordHashes, chunks, col, free_name, is_small, keep_table, mix, prepare, text_of
 from rollcall.llm.components import components
 
 
@@ -297,7 +297,7 @@ def linked(sets: list[np.ndarray], percent: int) -> list[int]:
 def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     """(a, b): links that span the linked classes of each cluster. `texts` (rep, text) holds one text a class."""
     reps = keep_table(clusters.select("rep").distinct(), "near_reps")
-    few = reps.count() <= s.broadcast_rows
+    few = is_small(reps, s.broadcast_rows)
     wanted = texts.join(F.broadcast(reps) if few else reps, "rep")
     kind = texts.schema["rep"].dataType.simpleString()
 
@@ -370,5 +370,5 @@ def without_near_copies(
     name = free_name(docs, "copy_id")
     gone = near_groups(docs, key, text, settings).where("not kept").select(col(key).alias(name)).distinct()
     gone = keep_table(gone, "near_copies")
-    few = gone.count() <= settings.broadcast_rows
+    few = is_small(gone, settings.broadcast_rows)
     return docs.join(F.broadcast(gone) if few else gone, col(key) == col(name), "left_anti")

@@ -19,7 +19,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import col, free_name, keep_table, text_of
+from rollcall.llm.common import col, free_name, is_small, keep_table, text_of
 
 SPANS = "array<struct<start:int,end:int>>"
 _PARSE = re._parser.parse
@@ -190,7 +190,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     if asked:
         index = keep_table(postings(docs, names, key, text), "postings")
         chosen = keep_table(candidates(index, asked), "candidates")
-        few = chosen.count() <= broadcast_rows
+        few = is_small(chosen, broadcast_rows)
         chosen = chosen.select(F.col("id").alias(name), F.col("rules").alias(rules_of))
         source = docs.join(F.broadcast(chosen) if few else chosen, col(key) == col(name), "left")
     body = text_of(text)
