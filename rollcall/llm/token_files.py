@@ -11,18 +11,19 @@ task leaves no half file behind.
 from __future__ import annotations
 
 import os
+import re
 import struct
-import unicodedata
 import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import chunks, col, in_worker, keep_table, prepare, text_of
+from rollcall.llm.common import PLACES, chunks, col, hash_runs, in_worker, keep_table, prepare, ragged, text_of
 
 BLOCK_IDS = 1 << 16
 #: One row a block. `first` is its place in the part's stream; the arrays list every document that has ids in the block:
@@ -67,7 +68,9 @@ def unpack_block(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw).view("<u4").ravel()
 
 
-def blocks_of(batches: Iterator[pd.DataFrame], part: int, block_ids: int, planes: str) -> Iterator[tuple]:
+def blocks_of(
+    batches: Iterator[pd.DataFrame], part: int, block_ids: int, planes: str, id_bytes: int = 4
+) -> Iterator[tuple]:
     """Block rows of one partition's documents (id, ids), in order. A document without ids stands in the block where it
     would begin. What is held is a block, one batch and one document."""
     held, open_docs = [], []
@@ -85,7 +88,7 @@ def blocks_of(batches: Iterator[pd.DataFrame], part: int, block_ids: int, planes
 
     for batch in batches:
         for key, packed in zip(batch["id"], batch["ids"], strict=True):
-            ids = np.frombuffer(packed, "<u4")
+            ids = np.frombuffer(packed, f"<u{id_bytes}")
             open_docs.append((None if pd.isna(key) else key, seen, len(ids)))
             held.append(ids)
             seen += len(ids)
@@ -98,9 +101,9 @@ def blocks_of(batches: Iterator[pd.DataFrame], part: int, block_ids: int, planes
 
 
 def write_token_files(docs: DataFrame, ids: str, key: str, name: str = "tokens", parts: int | None = None,
-                      block_ids: int = BLOCK_IDS, planes: str = "byte") -> DataFrame:
-    """Write packed ids (little-endian unsigned 32 bits) in ascending order of the key, null keys first, and return the
-    block table as read back. Rows of an equal key go in the order of their ids."""
+                      block_ids: int = BLOCK_IDS, planes: str = "byte", id_bytes: int = 4) -> DataFrame:
+    """Write packed ids (little-endian, unsigned, of `id_bytes` bytes) in ascending order of the key, null keys first, and
+    return the block table as read back. Rows of an equal key go in the order of their ids."""
     spark = docs.sparkSession
     prepare(spark)
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -110,7 +113,7 @@ def write_token_files(docs: DataFrame, ids: str, key: str, name: str = "tokens",
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part = TaskContext.get().partitionId()
-        for row in blocks_of(batches, part, block_ids, planes):
+        for row in blocks_of(batches, part, block_ids, planes, id_bytes):
             yield pd.DataFrame([row], columns=names)
 
     ordered = (
@@ -128,19 +131,19 @@ def read_token_files(blocks: DataFrame) -> DataFrame:
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
     schema = f"part int, doc_start long, id {kind}, size long, block int, ids binary"
 
-    def pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def pieces(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for r in batch.itertuples(index=False):
-                found, rows = unpack_block(r.payload), []
+                found, rows, stop = unpack_block(r.payload), [], r.first + r.n_ids
                 for key, start, size in zip(r.doc_ids, r.doc_starts, r.doc_sizes, strict=True):
-                    part = found[max(0, start - r.first) : max(0, start + size - r.first)]
-                    rows.append((r.part, start, key, size, r.block, part.tobytes()))
+                    if whole == (start >= r.first and start + size <= stop):
+                        part = found[max(0, start - r.first) : max(0, start + size - r.first)]
+                        rows.append((r.part, start, key, size, r.block, part.tobytes()))
                 yield pd.DataFrame(rows, columns=["part", "doc_start", "id", "size", "block", "ids"])
 
-    cut = blocks.mapInPandas(pieces, schema)
-    whole = F.octet_length("ids") == F.col("size") * 4
+    whole = blocks.mapInPandas(lambda batches: pieces(batches, True), schema)
     joined = (
-        cut.where(~whole).groupBy("part", "doc_start", "id", "size")
+        blocks.mapInPandas(lambda batches: pieces(batches, False), schema).groupBy("part", "doc_start", "id", "size")
         .agg(F.array_sort(F.collect_list(F.struct("block", "ids"))).alias("pieces"))
         .withColumn("ids", F.aggregate("pieces", F.lit(b""), lambda done, p: F.concat(done, p["ids"])))
     )
@@ -149,74 +152,162 @@ def read_token_files(blocks: DataFrame) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
     return (
-        cut.where(whole).select(columns).unionByName(joined.select(columns)).join(bases, "part")
+        whole.select(columns).unionByName(joined.select(columns)).join(bases, "part")
         .select("id", (F.col("base") + F.col("doc_start")).alias("start"), "ids")
     )
 
 
-# Encoding with a tokenizer file --------------------------------------------------------------------------------------
+#: Marks that join a letter into one, in bytes: a capital may have a joined form where its small letter has none.
+_JOINING = re.compile("[\u0300-\u036f]")
+#: Letters whose lower case or composed form could depend on more than themselves.
+_OTHER = re.compile("[\u0130\u0250-\U0010ffff]")
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+_BLANK = np.zeros(256, bool)
+_BLANK[[10, 32]] = True
+_PLAIN = np.zeros(256, bool)  # ASCII letters and digits
+_PLAIN[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+_STOP = np.zeros(256, bool)
+_STOP[[44, 46]] = True
+
+
+def cut_pieces(low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where pieces begin and end in UTF-8 bytes: runs between spaces and line feeds, a full stop or comma at the end of a
+    plain word apart."""
+    blank = _BLANK[low]
+    last = np.append(blank[1:], True)
+    plain = _PLAIN[low]
+    # of two-byte letters, those from U+00C0 to U+00FF but the signs for multiplying and dividing
+    latin = np.zeros(len(low), bool)
+    latin[1:] = (low[:-1] == 0xC3) & (low[1:] >= 0x80) & (low[1:] < 0xC0) & (low[1:] != 0x97) & (low[1:] != 0xB7)
+    apart = np.zeros(len(low), bool)
+    apart[1:] = (plain | latin)[:-1] & _STOP[low[1:]] & last[1:]
+    begins = ~blank & (np.append(True, blank[:-1]) | apart)
+    ends = ~blank & (last | np.append(begins[1:], True))
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+class HashNumbers:
+    """Numbers keys (64-bit hashes) in the order in which they are added; finds many at once by open addressing."""
+
+    def __init__(self, most: int) -> None:
+        bits = max(4, (2 * most).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.numbers, self.count = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32), 0
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The number of each key, or -1. No key is 0, the mark of a free place."""
+        out = np.full(len(keys), -1, np.int64)
+        left, at = np.arange(len(keys)), (keys >> self.shift).astype(np.int64)
+        while len(left):
+            there = self.keys[at]
+            hit = there == keys[left]
+            out[left[hit]] = self.numbers[at[hit]]
+            on = ~hit & (there != 0)
+            left, at = left[on], (at[on] + 1) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Distinct keys that aren't known."""
+        numbers = np.arange(self.count, self.count + len(keys), dtype=np.int32)
+        self.count += len(keys)
+        at = (keys >> self.shift).astype(np.int64)
+        while len(keys):
+            free = np.flatnonzero(self.keys[at] == 0)
+            _, first = np.unique(at[free], return_index=True)  # of those that want a place, one gets it
+            won = free[first]
+            self.keys[at[won]], self.numbers[at[won]] = keys[won], numbers[won]
+            on = np.ones(len(keys), bool)
+            on[won] = False
+            keys, numbers, at = keys[on], numbers[on], (at[on] + 1) & self.mask
 
 
 class PieceCoder:
     """Encodes texts with a tokenizer whose tokens never reach across a space or a line feed, and which lower-cases, puts
     punctuation apart and maps bytes to letters. Each piece between spaces is encoded once by the library and remembered,
-    up to a bound. Plain words, with or without a full stop or comma, go to the library's model directly; every other
-    piece goes through the whole tokenizer."""
+    up to a bound, under a 64-bit hash of its bytes. So that fewer pieces differ, A-Z is lower-cased and a full stop or
+    comma at a word's end put apart beforehand, as the tokenizer does anyway. Pieces that are a word go to the library's
+    model directly, all others through the whole tokenizer; so do whole texts with joining marks."""
 
-    def __init__(self, definition: str, end_id: int | None, most: int = 600_000) -> None:
+    def __init__(self, definition: str, end_id: int | None, most: int = 1_000_000, id_bytes: int = 4) -> None:
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_str(definition)
         self.model = self.tokenizer.model.tokenize
+        self.kind = np.dtype(f"<u{id_bytes}")
+        if self.tokenizer.get_vocab_size() > 1 << 8 * id_bytes:
+            raise ValueError(f"ids of this tokenizer need more than {id_bytes} bytes")
         level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters = {b: level.pre_tokenize_str(chr(b))[0][0][0] for b in range(33, 127)}
-        high = {c: level.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xC0, 0x250))}
-        for c, two in high.items():
-            self.letters.update(zip(c.encode(), two, strict=True))
-        self.end = b"" if end_id is None else struct.pack("<I", end_id)
-        self.marks = {m: self._packed(self.tokenizer.encode(m, add_special_tokens=False).ids) for m in ".,"}
-        self.most, self.known, self.words = most, {}, {}
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
-
-    def _word(self, piece: str) -> bytes | None:
-        """The ids of a plain word of Latin letters in lower case, if it is one."""
-        found = self.words.get(piece)
-        if found is None and piece.isalpha() and max(piece) < "\u0250" and "\u0130" not in piece:
-            if unicodedata.is_normalized("NFC", piece):
-                spelled = piece.lower().encode().decode("latin-1").translate(self.letters)
-                found = self.words[piece] = self._packed([t.id for t in self.model(spelled)])
-        return found
-
-    def _learn(self, pieces: list[str]) -> None:
-        others = []
-        for p in pieces:
-            core, mark = (p[:-1], self.marks[p[-1]]) if p[-1:] in self.marks else (p, b"")
-            ids = self._word(core) if core else None
-            if ids is None:
-                others.append(p)
-            else:
-                self.known[p] = ids + mark
-        for i in range(0, len(others), 1_000):
-            part = others[i : i + 1_000]
-            for p, e in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[p] = self._packed(e.ids)
+        self.letters: dict[int, str] = {}
+        for c in map(chr, range(0xC0, 0x250)):
+            self.letters.update(zip(c.encode(), level.pre_tokenize_str(c)[0][0], strict=True))
+        self.end = [] if end_id is None else [end_id]
+        self.most = most
+        self._forget()
+
+    def _forget(self) -> None:
+        """`known` numbers the pieces by hash; `ids` holds their ids one after another."""
+        self.known = HashNumbers(2 * self.most)
+        self.ids, self.size = np.zeros(0, self.kind), np.zeros(0, np.int64)
+        self.first = np.zeros(0, np.int64)
+
+    def _ids(self, piece: str) -> list[int]:
+        if piece.isalpha() and piece.islower():
+            if piece.isascii():
+                return [t.id for t in self.model(piece)]
+            if not _OTHER.search(piece):
+                return [t.id for t in self.model(piece.encode().decode("latin-1").translate(self.letters))]
+        return self.tokenizer.encode(piece, add_special_tokens=False).ids
+
+    def _learn(self, keys: np.ndarray, pieces: list[bytes]) -> None:
+        found, sizes = [], []
+        for piece in pieces:
+            ids = self._ids(piece.decode())
+            found.extend(ids)
+            sizes.append(len(ids))
+        self.known.add(keys)
+        self.ids = np.concatenate([self.ids, np.array(found, self.kind)])
+        self.size = np.concatenate([self.size, np.array(sizes, np.int64)])
+        self.first = np.cumsum(self.size) - self.size
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        if len(self.known) > self.most:
-            self.known, self.words = {}, {}
-        known, fresh = self.known, set()
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        for pieces in cut:
-            fresh.update(set(pieces).difference(known))
-        if fresh:
-            self._learn(list(fresh))
-        return [b"".join([known[p] for p in pieces]) + self.end for pieces in cut]
-
-
-def encode_with(spark: SparkSession, definition: str, end_id: int | None = None) -> Callable:
+        """The packed ids of each text."""
+        odd = [i for i, t in enumerate(texts) if not t.isascii() and _JOINING.search(t)]
+        out = self._plain(["" if i in odd else t for i, t in enumerate(texts)] if odd else texts)
+        for i in odd:
+            found = self.tokenizer.encode(texts[i], add_special_tokens=False).ids
+            out[i] = np.array([*found, *self.end], self.kind).tobytes()
+        return out
+
+    def _plain(self, texts: list[str]) -> list[bytes]:
+        if self.known.count > self.most:
+            self._forget()
+        end = np.array(self.end, self.kind).tobytes()
+        raw = [t.encode() for t in texts]
+        joined = b"\n".join(raw)
+        low = _LOWER[np.frombuffer(joined, np.uint8)]
+        begins, ends = cut_pieces(low) if len(low) else (np.zeros(0, np.int64),) * 2
+        if not len(begins):
+            return [end] * len(texts)
+        hashed = hash_runs(low, ~_BLANK[low], begins, ends)
+        for k in np.flatnonzero(ends - begins > PLACES).tolist():
+            hashed[k] = xxhash.xxh3_64_intdigest(low[begins[k] : ends[k]].tobytes())
+        hashed[hashed == 0] = 1  # 0 is no key
+        code = self.known.find(hashed)
+        unknown = np.flatnonzero(code < 0)
+        if len(unknown):
+            keys, which = np.unique(hashed[unknown], return_index=True)
+            self._learn(keys, [low[begins[k] : ends[k]].tobytes() for k in unknown[which].tolist()])
+            code[unknown] = self.known.find(hashed[unknown])
+        sizes = self.size[code]
+        ids = self.ids[ragged(self.first[code], sizes)]
+        before = np.concatenate([[0], np.cumsum(sizes)])
+        edges = np.cumsum([0, *(len(r) + 1 for r in raw)])
+        stops = before[np.searchsorted(begins, edges)].tolist()
+        return [ids[a:b].tobytes() + end for a, b in zip(stops, stops[1:], strict=False)]
+
+
+def encode_with(spark: SparkSession, definition: str, end_id: int | None = None, id_bytes: int = 4) -> Callable:
     """A column function: the packed ids of each whole text by a tokenizer's JSON definition, then the end id."""
     prepare(spark)
     sent, token = spark.sparkContext.broadcast(definition), uuid.uuid4().hex
@@ -224,9 +315,9 @@ def encode_with(spark: SparkSession, definition: str, end_id: int | None = None)
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        coder = in_worker("pieces", token, lambda: PieceCoder(sent.value, end_id))
+        coder = in_worker("pieces", token, lambda: PieceCoder(sent.value, end_id, id_bytes=id_bytes))
         for batch in batches:
-            yield pd.Series([ids for part in chunks(batch, len, 1 << 17) for ids in coder(part)], dtype=object)
+            yield pd.Series([ids for part in chunks(batch, len, 1 << 18) for ids in coder(part)], dtype=object)
 
     return run
 
@@ -236,8 +327,12 @@ def tokenized(docs: DataFrame, definition: str, key: str = "doc_id", text: str =
     """Encode all texts, write them as token files in key order, and read the documents back (id, start, ids).
 
     Null counts as empty and gives the end id alone; other columns are never looked at. Ids are written once, zstandard-
-    compressed, before they are ordered, so that the range partitioner's sample doesn't encode all texts again."""
+    compressed, before they are ordered, so that the range partitioner's sample doesn't encode all texts again. Ids travel
+    in two bytes where the vocabulary allows it."""
+    from tokenizers import Tokenizer
+
     spark = docs.sparkSession
-    encode = encode_with(spark, definition, end_id)
+    id_bytes = 2 if max(Tokenizer.from_str(definition).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
+    encode = encode_with(spark, definition, end_id, id_bytes)
     ids = keep_table(docs.select(col(key).alias("id"), encode(text_of(text)).alias("ids")), "ids")
-    return read_token_files(write_token_files(ids, "ids", "id", block_ids=block_ids, planes=planes))
+    return read_token_files(write_token_files(ids, "ids", "id", block_ids=block_ids, planes=planes, id_bytes=id_bytes))
