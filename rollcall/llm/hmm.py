@@ -18,6 +18,7 @@ import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -39,7 +40,8 @@ class Settings:
     states: int = 8
     head: int = 60_000  # classes fit 16 bits
     iterations: int = 3
-    prior: float = 200.0
+    prior: float = 1000.0  # emissions of the unigram distribution that each state starts with
+    stay: float = 0.999  # of the first model: states keep to themselves, so that kinds of text part before words do
     seed: int = 11
 
 
@@ -68,7 +70,7 @@ def word_counts(texts: DataFrame) -> DataFrame:
         for batch in batches:
             for text in batch["text"]:
                 seen.update(words_of(text))
-                if len(seen) > 300_000:
+                if len(seen) > 500_000:
                     yield pd.DataFrame({"word": list(seen), "n": list(seen.values())})
                     seen = Counter()
         if seen:
@@ -104,17 +106,27 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
-    """The `head` most frequent words (ties: smallest word) come to the driver; of the others, only their sums."""
-    total = counts.agg(F.count("*").alias("v"), F.sum("n").alias("n")).first()
-    top = counts.orderBy(F.desc("n"), "word").limit(head).toPandas()
-    words, n = [bytes(w) for w in top["word"]], top["n"].to_numpy(np.int64)
-    mass, kept = int(total["n"] or 0), int(n.sum())
+    """The most frequent words, `head` at the most, come to the driver; of the others, only their sums.
+
+    Words are chosen by how often they occur, in steps of 4 in 100: a histogram of some hundred steps says from which step
+    on there are no more than `head`. So no task sends more than its share of them."""
+    step = F.floor(F.log2("n") * 16).cast("int")
+    steps = counts.groupBy(step.alias("step")).agg(F.count("*").alias("words"), F.sum("n").alias("n")).collect()
+    distinct, mass, taken, least = sum(r["words"] for r in steps), sum(r["n"] for r in steps), 0, None
+    for r in sorted(steps, key=lambda r: -r["step"]):
+        taken += r["words"]
+        if taken > head:
+            break
+        least = r["step"]
+    found = [] if least is None else [(bytes(r["word"]), r["n"]) for r in counts.where(step >= least).collect()]
+    found.sort(key=lambda r: (-r[1], r[0]))
+    kept = sum(n for _, n in found)
     return Vocabulary(
-        {w: k + 2 for k, w in enumerate(words)},
-        np.concatenate([[texts, mass - kept], n]).astype(np.float64),
+        {w: k + 2 for k, (w, _) in enumerate(found)},
+        np.array([texts, mass - kept, *(n for _, n in found)], np.float64),
         mass + texts,
-        int(total["v"]) + (texts > 0),
-        int(total["v"]) - len(words),
+        distinct + (texts > 0),
+        distinct - len(found),
     )
 
 
@@ -134,11 +146,10 @@ def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
             rows = []
             for key, held, text in zip(batch["id"], batch["held"], batch["text"], strict=True):
                 found = words_of(text)
-                classes = [class_of(w, RARE) for w in found]
-                rare = Counter([w for w, c in zip(found, classes, strict=True) if c == RARE])
-                classes.append(END)
-                ids = np.array(classes, np.uint16)
-                common = ids[ids != RARE]
+                ids = np.array([*map(class_of, found, repeat(RARE)), END], np.uint16)
+                is_rare = ids == RARE
+                rare = Counter([found[i] for i in np.flatnonzero(is_rare).tolist()])
+                common = ids[~is_rare]
                 sums = int(known[common].sum()), float(logs[common].sum())
                 rows.append((uid, key, held, ids.tobytes(), len(ids), *sums, list(rare), list(rare.values())))
                 uid += 1
@@ -216,24 +227,21 @@ def expected_counts(model: Model, texts: list[np.ndarray], start: np.ndarray, mo
         for t in range(len(active) - 1, 0, -1):
             n = active[t]
             follow[t, :n] *= back[t, :n]
+            follow[t, n:] = 0
             if t % EVERY == 0:
                 follow[t, :n] /= follow[t, :n].max(1, keepdims=True)
             # texts that end at t - 1 keep the 1 that was set
             np.matmul(follow[t, :n], model.move.T, out=back[t - 1, :n])
-        weight = ahead * back
-        total = weight.sum(2)
-        real = total > 0
-        weight[real] /= total[real][:, None]
-        start += weight[0].sum(0)
-        # a move's weight is ahead[t] x move x follow[t + 1] over the same sum, for texts that go on
-        going = np.arange(len(active) - 1)[:, None] + 1 < lengths
-        before = (ahead[:-1] / np.where(real[:-1], total[:-1], 1)[:, :, None])[going]
-        move += model.move * (before.T @ follow[1:][going])
-        cells = np.arange(len(active))[:, None] < lengths
-        seen, where = np.unique(grid[cells], return_inverse=True)
-        weight = weight[cells]
+        total = np.einsum("tns,tns->tn", ahead, back)
+        total[total == 0] = 1  # past the end of a text all is 0
+        ahead /= total[:, :, None]
+        # a move's weight is ahead[t] x move x follow[t + 1] over the same sum
+        move += model.move * (ahead[:-1].reshape(-1, s).T @ follow[1:].reshape(-1, s))
+        ahead *= back
+        start += ahead[0].sum(0)
+        classes = grid.ravel()
         for k in range(s):
-            emit[seen, k] += np.bincount(where, weight[:, k], len(seen))
+            emit[:, k] += np.bincount(classes, ahead[:, :, k].ravel(), len(emit))
 
 
 def _pools(batches: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
@@ -251,11 +259,11 @@ def _pools(batches: Iterator[pd.DataFrame]) -> Iterator[list[np.ndarray]]:
 
 
 def first_model(words: Vocabulary, settings: Settings) -> Model:
-    """The unigram distribution in every state, disturbed so that states can part."""
+    """The unigram distribution in every state, disturbed so that states can part, and states that seldom change."""
     rng, s = np.random.default_rng(settings.seed), settings.states
     emit = words.unigram[:, None] * rng.uniform(0.3, 1.7, (len(words.counts), s))
-    move = rng.uniform(0.5, 1.5, (s, s))
-    return Model(settings, np.full(s, 1 / s), move / move.sum(1, keepdims=True), emit / emit.sum(0))
+    move = settings.stay * np.eye(s) + (1 - settings.stay) / s
+    return Model(settings, np.full(s, 1 / s), move, emit / emit.sum(0))
 
 
 def improved(model: Model, words: Vocabulary, counted: pd.DataFrame) -> Model:
