@@ -12,7 +12,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import struct
 import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -22,7 +21,7 @@ import pandas as pd
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import chunks, in_worker, mix, ragged, prepare
+from rollcall.llm.common import Learned, chunks, in_worker, mix, mix_one, prepare, ragged
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -99,13 +98,6 @@ class Vocabulary:
         tokens = [a for a, _ in pairs]
         return cls(tokens, np.array([b for _, b in pairs], np.int64), PerfectHash.of(hash_bytes(tokens)), pattern)
 
-    def find(self, words: list[bytes]) -> list[int]:
-        """The id of each word that is a token, or -1."""
-        if not words or not self.tokens:
-            return [-1] * len(words)
-        at = self.hashed.find(hash_bytes(words)).tolist()
-        return [int(self.ids[k]) if self.tokens[k] == w else -1 for k, w in zip(at, words, strict=True)]
-
 
 def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Ids of one pre-token: join the adjacent pair of the lowest rank, the leftmost of equals, until none has a rank."""
@@ -133,39 +125,50 @@ def merge(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Lookup:
+    """The first tier: the id of a pre-token that is a token, or -1."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        import xxhash
+
+        self.digest = xxhash.xxh3_64_intdigest
+        self.tokens, self.ids = vocabulary.tokens, vocabulary.ids.tolist()
+        self.shift, self.slot = vocabulary.hashed.shift.tolist(), vocabulary.hashed.slot.tolist()
+
+    def __call__(self, word: bytes) -> int:
+        if not self.slot:
+            return -1
+        h = self.digest(word)
+        d = self.shift[h % len(self.shift)]
+        k = self.slot[-1 - d if d < 0 else mix_one(h + d * int(_STEP)) % len(self.slot)]
+        return self.ids[k] if self.tokens[k] == word else -1
+
+
 class Coder:
     """Encodes and decodes in a worker. `known` holds the packed ids of the pre-tokens met so far, `most` at the most."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 600_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int = 800_000) -> None:
         import regex
 
-        self.vocabulary, self.most = vocabulary, most
+        self.find, self.most = Lookup(vocabulary), most
         self.cut = regex.compile(vocabulary.pattern).findall
         self.ranks = dict(zip(vocabulary.tokens, vocabulary.ids.tolist(), strict=True))
-        self.known: dict[str, bytes] = {}
+        self.known = Learned(self._learn)
         by_id = dict(zip(vocabulary.ids.tolist(), vocabulary.tokens, strict=True))
         ordered = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
         self.sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
         self.begins = np.cumsum(self.sizes) - self.sizes
         self.letters = np.frombuffer(b"".join(ordered), np.uint8)
 
-    def _learn(self, words: set[str]) -> None:
-        fresh = list(words)
-        raw = [w.encode() for w in fresh]
-        for w, b, i in zip(fresh, raw, self.vocabulary.find(raw), strict=True):
-            ids = [i] if i >= 0 else merge(b, self.ranks)
-            self.known[w] = struct.pack(f"<{len(ids)}I", *ids)
+    def _learn(self, word: str) -> bytes:
+        raw = word.encode()
+        found = self.find(raw)
+        return np.array([found] if found >= 0 else merge(raw, self.ranks), "<u4").tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, text: str) -> bytes:
         if len(self.known) > self.most:
-            self.known = {}
-        known, fresh = self.known, set()
-        cut = [self.cut(t) for t in texts]
-        for words in cut:
-            fresh.update(set(words).difference(known))
-        if fresh:
-            self._learn(fresh)
-        return [b"".join([known[w] for w in words]) for words in cut]
+            self.known.clear()
+        return b"".join(map(self.known.__getitem__, self.cut(text)))
 
     def decode(self, packed: list[bytes]) -> list[bytes]:
         ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
@@ -182,11 +185,12 @@ def _bytes_udf(spark: SparkSession, vocabulary: Vocabulary, which: str):
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         coder = in_worker("bpe", token, lambda: Coder(sent.value))
-        code = coder.encode if which == "encode" else coder.decode
-        empty = "" if which == "encode" else b""
         for batch in batches:
-            parts = chunks((empty if x is None else x for x in batch), len, 1 << 17)
-            yield pd.Series([out for part in parts for out in code(part)], dtype=object)
+            if which == "encode":
+                yield pd.Series([coder.encode(text) for text in batch], dtype=object)
+            else:
+                parts = chunks((b"" if x is None else x for x in batch), len, 1 << 18)
+                yield pd.Series([out for part in parts for out in coder.decode(part)], dtype=object)
 
     return run
 
