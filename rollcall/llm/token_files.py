@@ -246,10 +246,11 @@ class PieceCoder:
         self._forget()
 
     def _forget(self) -> None:
-        """`known` numbers the pieces by hash; `ids` holds their ids one after another."""
+        """`known` numbers the pieces by hash; `ids` holds their ids one after another, `used` of them, from `first` on.
+        The arrays are longer than what they hold, so that learning doesn't copy them each time."""
         self.known = HashNumbers(2 * self.most)
-        self.ids, self.size = np.zeros(0, self.kind), np.zeros(0, np.int64)
-        self.first = np.zeros(0, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, self.kind), 0
+        self.first, self.size = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
     def _ids(self, piece: str) -> list[int]:
         if piece.isalpha() and piece.islower():
@@ -265,10 +266,16 @@ class PieceCoder:
             ids = self._ids(piece.decode())
             found.extend(ids)
             sizes.append(len(ids))
+        a, b = self.known.count, self.known.count + len(keys)
         self.known.add(keys)
-        self.ids = np.concatenate([self.ids, np.array(found, self.kind)])
-        self.size = np.concatenate([self.size, np.array(sizes, np.int64)])
-        self.first = np.cumsum(self.size) - self.size
+        while self.used + len(found) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while b > len(self.size):
+            self.first, self.size = (np.concatenate([x, np.zeros_like(x)]) for x in (self.first, self.size))
+        self.ids[self.used : self.used + len(found)] = found
+        self.size[a:b] = sizes
+        self.first[a:b] = self.used + np.cumsum(self.size[a:b]) - self.size[a:b]
+        self.used += len(found)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text."""
