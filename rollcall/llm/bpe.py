@@ -144,21 +144,16 @@ class Lookup:
         return self.ids[k] if self.tokens[k] == word else -1
 
 
-class Coder:
-    """Encodes and decodes in a worker. `known` holds the packed ids of the pre-tokens met so far, `most` at the most."""
+class Encoder:
+    """Encodes in a worker. `known` holds the packed ids of the pre-tokens met so far, `most` at the most."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 800_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int = 400_000) -> None:
         import regex
 
         self.find, self.most = Lookup(vocabulary), most
         self.cut = regex.compile(vocabulary.pattern).findall
         self.ranks = dict(zip(vocabulary.tokens, vocabulary.ids.tolist(), strict=True))
         self.known = Learned(self._learn)
-        by_id = dict(zip(vocabulary.ids.tolist(), vocabulary.tokens, strict=True))
-        ordered = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
-        self.sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
-        self.begins = np.cumsum(self.sizes) - self.sizes
-        self.letters = np.frombuffer(b"".join(ordered), np.uint8)
 
     def _learn(self, word: str) -> bytes:
         raw = word.encode()
@@ -170,7 +165,18 @@ class Coder:
             self.known.clear()
         return b"".join(map(self.known.__getitem__, self.cut(text)))
 
-    def decode(self, packed: list[bytes]) -> list[bytes]:
+
+class Decoder:
+    """Decodes packed ids: the letters of all tokens in a row, and where each begins."""
+
+    def __init__(self, vocabulary: Vocabulary) -> None:
+        by_id = dict(zip(vocabulary.ids.tolist(), vocabulary.tokens, strict=True))
+        ordered = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+        self.sizes = np.fromiter(map(len, ordered), np.int64, len(ordered))
+        self.begins = np.cumsum(self.sizes) - self.sizes
+        self.letters = np.frombuffer(b"".join(ordered), np.uint8)
+
+    def __call__(self, packed: list[bytes]) -> list[bytes]:
         ids = np.frombuffer(b"".join(packed), "<u4").astype(np.int64)
         sizes = self.sizes[ids]
         letters = self.letters[ragged(self.begins[ids], sizes)].tobytes()
@@ -184,13 +190,15 @@ def _bytes_udf(spark: SparkSession, vocabulary: Vocabulary, which: str):
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        coder = in_worker("bpe", token, lambda: Coder(sent.value))
-        for batch in batches:
-            if which == "encode":
-                yield pd.Series([coder.encode(text) for text in batch], dtype=object)
-            else:
+        if which == "encode":
+            encoder = in_worker(token, lambda: Encoder(sent.value))
+            for batch in batches:
+                yield pd.Series([encoder.encode(text) for text in batch], dtype=object)
+        else:
+            decode = Decoder(sent.value)
+            for batch in batches:
                 parts = chunks((b"" if x is None else x for x in batch), len, 1 << 18)
-                yield pd.Series([out for part in parts for out in coder.decode(part)], dtype=object)
+                yield pd.Series([out for part in parts for out in decode(part)], dtype=object)
 
     return run
 

@@ -180,15 +180,16 @@ class Learned(dict):
         return found
 
 
-_kept: dict[str, tuple[str, object]] = {}
+_kept: dict[str, object] = {}
 
 
-def in_worker(kind: str, token: str, make):
+def in_worker(token: str, make):
     """What `make` gives, once a worker and token: a worker that runs many tasks of a job keeps what it has worked out.
-    Only the latest of a kind is kept."""
-    if _kept.get(kind, ("",))[0] != token:
-        _kept[kind] = (token, make())
-    return _kept[kind][1]
+    Only the latest is kept, so that stages that follow each other in a worker don't add up."""
+    if token not in _kept:
+        _kept.clear()
+        _kept[token] = make()
+    return _kept[token]
 
 
 def chunks(items: Iterable, weight, most: int):

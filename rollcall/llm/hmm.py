@@ -14,7 +14,6 @@ logarithms add up to the exact log probability of the text under the model.
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, replace
@@ -25,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import col, in_worker, keep_table, remainder, prepare, text_of
+from rollcall.llm.common import col, keep_table, prepare, remainder, text_of
 
 END, RARE = 0, 1
 #: Texts run side by side at the most, cells (position, text) of one block, and tokens gathered before they are put side
@@ -133,13 +132,13 @@ def vocabulary(counts: DataFrame, texts: int, head: int) -> Vocabulary:
 def encoded(docs: DataFrame, words: Vocabulary) -> DataFrame:
     """A row a text (id, held, text): a number of its own, its classes as 16-bit integers, its tokens, what its head
     words add to n_known and base_score, and its other words with their counts."""
-    sent, token = docs.sparkSession.sparkContext.broadcast(words), uuid.uuid4().hex
+    sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyspark import TaskContext
 
         words = sent.value
-        logs = in_worker("hmm_logs", token, lambda: np.log10((words.counts + 1) / words.base))
+        logs = np.log10((words.counts + 1) / words.base)
         class_of, uid = words.head.get, TaskContext.get().partitionId() << 40
         known = words.counts > 0
         for batch in batches:

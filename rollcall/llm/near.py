@@ -16,6 +16,7 @@ is still large after `depth` rounds is compared in blocks, all against all, so n
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -24,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rollcall.llm.common import WordHashes, chunks, col, free_name, is_small, keep_table, mix, prepare, text_of
+from rollcall.llm.common import WordHashes, chunks, col, free_name, in_worker, is_small, keep_table, mix, prepare, text_of
 from rollcall.llm.components import components
 
 
@@ -104,10 +105,10 @@ def signatures(sets: list[np.ndarray], tokens: int) -> np.ndarray:
 def _sets_of(rows: DataFrame, s: Settings) -> DataFrame:
     """(id, n, key1, key2, signature): the size of each text's set, 128 bits that stand for it, and its minwise tokens
     of 32 bits, packed; empty sets have no signature."""
-    kind = rows.schema["id"].dataType.simpleString()
+    kind, token = rows.schema["id"].dataType.simpleString(), uuid.uuid4().hex
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = in_worker(token, WordHashes)
         for batch in batches:
             ids = batch["id"].tolist()
             at = 0
@@ -299,10 +300,10 @@ def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
     reps = keep_table(clusters.select("rep").distinct(), "near_reps")
     few = is_small(reps, s.broadcast_rows)
     wanted = texts.join(F.broadcast(reps) if few else reps, "rep")
-    kind = texts.schema["rep"].dataType.simpleString()
+    kind, token = texts.schema["rep"].dataType.simpleString(), uuid.uuid4().hex
 
     def shingled(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes = WordHashes()
+        hashes = in_worker(token, WordHashes)
         for batch in batches:
             ids, at = batch["rep"].tolist(), 0
             for part in chunks(batch["text"], len, 1 << 20):

@@ -322,7 +322,7 @@ def encode_with(spark: SparkSession, definition: str, end_id: int | None = None,
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        coder = in_worker("pieces", token, lambda: PieceCoder(sent.value, end_id, id_bytes=id_bytes))
+        coder = in_worker(token, lambda: PieceCoder(sent.value, end_id, id_bytes=id_bytes))
         for batch in batches:
             yield pd.Series([ids for part in chunks(batch, len, 1 << 18) for ids in coder(part)], dtype=object)
 
