@@ -147,7 +147,7 @@ class Lookup:
 class Encoder:
     """Encodes in a worker. `known` holds the packed ids of the pre-tokens met so far, `most` at the most."""
 
-    def __init__(self, vocabulary: Vocabulary, most: int = 400_000) -> None:
+    def __init__(self, vocabulary: Vocabulary, most: int = 200_000) -> None:
         import regex
 
         self.find, self.most = Lookup(vocabulary), most
@@ -184,18 +184,22 @@ class Decoder:
         return [letters[a:b] for a, b in zip(stops, stops[1:], strict=False)]
 
 
-def _bytes_udf(spark: SparkSession, vocabulary: Vocabulary, which: str):
+def _bytes_udf(spark: SparkSession, vocabulary: Vocabulary, which: str, verify: bool = False):
     prepare(spark)
     sent, token = spark.sparkContext.broadcast(vocabulary), uuid.uuid4().hex
 
     @F.pandas_udf("binary")
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         if which == "encode":
-            encoder = in_worker(token, lambda: Encoder(sent.value))
+            encoder, decode = in_worker(token, lambda: (Encoder(sent.value), Decoder(sent.value)))
             for batch in batches:
-                yield pd.Series([encoder.encode(text) for text in batch], dtype=object)
+                packed = [encoder.encode(text) for text in batch]
+                for text, ids in zip(batch, packed, strict=True) if verify else ():
+                    if decode([ids])[0] != text.encode():
+                        raise ValueError("ids don't decode to the text they encode")
+                yield pd.Series(packed, dtype=object)
         else:
-            decode = Decoder(sent.value)
+            decode = in_worker(token, lambda: Decoder(sent.value))
             for batch in batches:
                 parts = chunks((b"" if x is None else x for x in batch), len, 1 << 18)
                 yield pd.Series([out for part in parts for out in decode(part)], dtype=object)
@@ -203,9 +207,10 @@ def _bytes_udf(spark: SparkSession, vocabulary: Vocabulary, which: str):
     return run
 
 
-def encode(spark: SparkSession, vocabulary: Vocabulary, text: Column) -> Column:
-    """The ids of each whole text, packed; null and empty texts have none."""
-    return _bytes_udf(spark, vocabulary, "encode")(F.coalesce(text.cast("string"), F.lit("")))
+def encode(spark: SparkSession, vocabulary: Vocabulary, text: Column, verify: bool = False) -> Column:
+    """The ids of each whole text, packed; null and empty texts have none. With `verify` the ids are decoded at once, and
+    the job fails if they don't give the text's bytes."""
+    return _bytes_udf(spark, vocabulary, "encode", verify)(F.coalesce(text.cast("string"), F.lit("")))
 
 
 def decode(spark: SparkSession, vocabulary: Vocabulary, ids: Column) -> Column:

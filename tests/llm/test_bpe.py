@@ -65,6 +65,8 @@ def test_odd_rows(spark, odd, nothing, words):
     for text, again, n in rows(back):
         assert again == (text or "") and (n > 0) == bool(text)
     assert rows(nothing.select(bpe.encode(spark, words, F.col("text")))) == []
+    verified = odd.select(bpe.encode(spark, words, F.col("text"), verify=True))
+    assert sorted(rows(verified)) == sorted(rows(coded.select("packed")))
 
 
 def test_ragged():
