@@ -1,11 +1,12 @@
 """Benchmark decontamination: rare n-gram seeds join passages to test items, Smith-Waterman alignment scores them.
 
-Seeds are the word n-grams of the benchmark that are rare in the corpus. An n-gram's rarity is judged within its item: it
-is a seed if the corpus holds it no more than `spread` times as often as the item's first quartile of n-grams (at least
-`least_rare` times). So a phrase that is common anywhere is never a seed, and an item that leaked a thousand times, whose
-n-grams are all frequent, keeps its seeds.
+Seeds are the word n-grams of the benchmark that are rare in the corpus but for copies of their item. So an n-gram is
+counted by the texts in which it stands alone: without another n-gram of the same item in the item's order near it. It is
+a seed if these are no more than `spread` times the item's first quartile of n-grams (at least `least_rare`), or no more
+than half of the texts that hold it. An n-gram that is common anywhere is no seed, and an item that leaked a thousand
+times keeps its seeds, be the copies whole or all edited or cut in the same way.
 
-Pass 1 counts the benchmark's n-grams in all texts. Pass 2 finds the seeds in every whole text, cuts passages around
+Pass 1 counts the benchmark's n-grams in all texts, in all and alone. Pass 2 finds the seeds in every whole text, cuts passages around
 them, and joins passages to items by seed. A passage with `least_seeds` distinct seeds of an item (or all of a shorter
 item's) is aligned with it: matching words +2, others and gaps -1, local, so that edited and paraphrased copies score
 as well. The score is the alignment's, divided by that of the item against itself.
@@ -38,6 +39,8 @@ from rollcall.llm.common import (
 )
 
 MATCH, MISS = 2, -1
+#: N-grams of an item are neighbours up to so many words apart, and in a text up to twice as many.
+NEAR = 64
 #: What sets the words of an n-gram apart by their places.
 _ADDED = mix(np.arange(1, 65, dtype=np.uint64))
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -126,39 +129,78 @@ def item_grams(benchmark: DataFrame, n: int) -> DataFrame:
     return benchmark.mapInPandas(run, f"item {kind}, gram long").distinct()
 
 
+def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(mix(first) + second)
+
+
+def item_pairs(benchmark: DataFrame, n: int) -> DataFrame:
+    """(gram): a hash of each pair of n-grams that an item holds one after the other, up to NEAR words apart."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for text in batch["text"]:
+                held = grams(Words([text]).hashes, n)
+                for first in range(0, len(held), 1 << 12):  # so that a long item's pairs come in parts
+                    part = held[first : first + (1 << 12) + NEAR]
+                    pairs = [pair_hashes(part[:-j], part[j:])[: 1 << 12] for j in range(1, min(NEAR + 1, len(part)))]
+                    if pairs:
+                        yield pd.DataFrame({"gram": np.unique(np.concatenate(pairs)).view(np.int64)})
+
+    return benchmark.select("text").mapInPandas(run, "gram long").distinct()
+
+
+def in_company(hits: Hits, pairs: np.ndarray) -> np.ndarray:
+    """For each hit, whether it makes a pair of an item with another hit near it in the text."""
+    paired = np.zeros(len(hits.at), bool)
+    mask, hashed = np.uint64(len(pairs) * 32 - 1), hits.hashes.view(np.uint64)
+    for j in range(1, min(2 * NEAR, len(paired) - 1) + 1):
+        close = (hits.at[j:] - hits.at[:-j] <= 2 * NEAR) & (hits.text[j:] == hits.text[:-j])
+        if not close.any():
+            break
+        i = np.flatnonzero(close & ~(paired[j:] & paired[:-j]) & (hits.hashes[j:] != hits.hashes[:-j]))
+        i = i[in_plane(pairs, (pair_hashes(hashed[i], hashed[i + j]) & mask).astype(np.int64))]
+        paired[i] = paired[i + j] = True
+    return paired
+
+
 def gram_plane(found: DataFrame, max_bits: int) -> np.ndarray:
     """The bit map of a table's grams: 32 bits a gram, within the bound."""
     bits = min(max_bits, 1 << max(12, (32 * found.count()).bit_length()))
     return bit_plane(found.select((F.col("gram").bitwiseAND(F.lit(bits - 1))).alias("cell")), bits)
 
 
-def gram_counts(docs: DataFrame, plane: np.ndarray, n: int) -> DataFrame:
-    """Pass 1: (gram, n), how many texts hold each n-gram that the bit map has."""
-    sent = docs.sparkSession.sparkContext.broadcast(plane)
+def gram_counts(docs: DataFrame, plane: np.ndarray, pairs: np.ndarray, n: int) -> DataFrame:
+    """Pass 1: (gram, n, alone), how many texts hold each n-gram that the bit map has, and in how many it never stands
+    with another one of its item. What the map of pairs takes for a pair by mistake makes seeds, never loses any."""
+    sent, sent_pairs = (docs.sparkSession.sparkContext.broadcast(x) for x in (plane, pairs))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            held = [np.zeros(0, np.int64)]
+            held, alone = [np.zeros(0, np.int64)], [np.zeros(0, bool)]
             for part in chunks(batch["text"], len, 1 << 18):
                 hits = Hits(part, sent.value, n)
-                order = np.lexsort((hits.hashes, hits.text))
+                paired = in_company(hits, sent_pairs.value)
+                order = np.lexsort((~paired, hits.hashes, hits.text))  # of a text's equal ones, one in company first
                 text, gram = hits.text[order], hits.hashes[order]
                 again = np.zeros(len(order), bool)
                 again[1:] = (text[1:] == text[:-1]) & (gram[1:] == gram[:-1])
                 held.append(gram[~again])
-            found, times = np.unique(np.concatenate(held), return_counts=True)
-            yield pd.DataFrame({"gram": found, "n": times})
+                alone.append(~paired[order][~again])
+            found, which, times = np.unique(np.concatenate(held), return_inverse=True, return_counts=True)
+            single = np.bincount(which, np.concatenate(alone), len(found)).astype(np.int64)
+            yield pd.DataFrame({"gram": found, "n": times, "alone": single})
 
-    return docs.select("text").mapInPandas(run, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInPandas(run, "gram long, n long, alone long")
+    return counted.groupBy("gram").agg(F.sum("n").alias("n"), F.sum("alone").alias("alone"))
 
 
 def rare_seeds(found: DataFrame, counts: DataFrame, spread: int, least_rare: int) -> DataFrame:
     """(item, gram, seeds): the n-grams of each item that are rare by the item's measure, and their number."""
-    counted = found.join(counts, "gram", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    counted = found.join(counts, "gram", "left").fillna(0, ["n", "alone"])
     limits = counted.groupBy("item").agg(
         F.greatest(F.lit(least_rare), F.lit(spread) * F.percentile("n", F.lit(0.25))).alias("limit")
     )
-    seeds = counted.join(limits, "item").where("n <= limit").select("item", "gram")
+    seeds = counted.join(limits, "item").where("alone <= greatest(limit, n / 2)").select("item", "gram")
     return seeds.join(seeds.groupBy("item").agg(F.count("*").alias("seeds")), "item")
 
 
@@ -208,7 +250,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", tex
     texts = docs.select(col(key).alias("id"), text_of(text).alias("text")).where("text <> ''")
     items = benchmark.select(col(item_key).alias("item"), text_of(item_text).alias("text")).where("text <> ''")
     found = keep_table(item_grams(items, n), "item_grams")
-    counts = gram_counts(texts, gram_plane(found, max_bits), n)
+    pairs = gram_plane(keep_table(item_pairs(items, n), "item_pairs"), max_bits)
+    counts = gram_counts(texts, gram_plane(found, max_bits), pairs, n)
     seeds = keep_table(rare_seeds(found, counts, spread, least_rare), "seeds")
     reach = items.select(F.max(F.size(F.split("text", r"\W+"))).alias("n")).first()["n"] or 1
     least = seeds.agg(F.min(F.least("seeds", F.lit(least_seeds))).alias("n")).first()["n"] or least_seeds

@@ -83,6 +83,24 @@ def test_a_common_phrase_is_no_seed(spark):
     assert dc.contaminated(docs, bench).count() == 0
 
 
+@pytest.mark.parametrize("copies", [25, 400])
+def test_one_edited_copy_in_many_documents(spark, copies):
+    rnd = random.Random(5)
+    items = [words(rnd, 38) for _ in range(12)]
+    edited = [[w if rnd.random() > 0.2 else "changed" for w in item] for item in items]
+    edited[0] = [w if k % 5 != 4 else "changed" for k, w in enumerate(items[0])]
+    edited[1] = items[1][:20]
+    docs = [(100 * copies + i, " ".join(words(rnd, 60))) for i in range(50)]
+    docs += [(i * copies + k, " ".join(words(rnd, 9) + e + words(rnd, 9))) for i, e in enumerate(edited) for k in range(copies)]
+    docs += [(200 * copies + i, " ".join(words(rnd, 9) + item + words(rnd, 9))) for i, item in enumerate(items)]
+    bench = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(items)], "item_id long, text string")
+    found = dc.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), bench)
+    got = {(r["doc_id"], r["item_id"]) for r in found.collect()}
+    want = {(i * copies + k, i) for i in range(12) for k in range(copies)} | {(200 * copies + i, i) for i in range(12)}
+    assert all(plain_alignment(e, i) >= 0.4 * 2 * 38 for e, i in zip(edited, items, strict=True))
+    assert got == want
+
+
 def test_odd_rows(spark, odd, nothing):
     bench = spark.createDataFrame(
         [(1, "two three four five six"), (1, "two three four five six"), (2, None), (3, ""), (4, "ab"), (None, "text without an id")],
