@@ -9,20 +9,22 @@ recall up to `recall`.
 
 Comparison is in two steps. Within a node, signatures are compared and classes whose estimate comes near the threshold
 form a cluster; clusters met in several trees are kept once. Then the full shingle sets of a cluster's classes are
-brought together and compared exactly; a cluster gives links that span its linked classes, never all pairs. A node that
-is still large after `depth` rounds is compared in blocks, all against all, so nothing is lost to a bound.
+brought together and compared exactly; a cluster gives links that span its linked classes, never all pairs. Of a cluster
+of more than `leaf_shingles` shingles, slices of the shingles by value are brought together instead, and what its classes
+share in each slice is added up. A node that is still large after `depth` rounds is compared in blocks, all against all,
+so nothing is lost to a bound.
 """
 
 from __future__ import annotations
 
 import math
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rollcall.llm.common import WordHashes, chunks, col, free_name, in_worker, is_small, keep_table, mix, prepare, text_of
@@ -36,7 +38,7 @@ class Settings:
     tokens: int = 96  # of a signature
     recall: float = 0.99995
     leaf: int = 4096  # classes of a node that are compared exhaustively
-    leaf_shingles: int = 4_000_000  # and the shingles of them all, unless there are few classes
+    leaf_shingles: int = 4_000_000  # and the shingles of them all, unless there are few classes; those compared at once
     depth: int = 4
     broadcast_rows: int = 1_000_000
 
@@ -260,18 +262,23 @@ def linked(sets: list[np.ndarray], percent: int) -> list[int]:
     union. Intersections of many sets are counted at once, as products of their incidence matrix, in slices; shingles that
     only one set has are left out, which in copies of one text are almost all that differ."""
     n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
+    if n <= 12:
+        shared = (np.array([len(np.intersect1d(sets[i], x, assume_unique=True)) for x in sets[i + 1 :]]) for i in range(n - 1))
+    else:
+        both = overlaps(sets)
+        shared = (both[i, i + 1 :].astype(np.int64) for i in range(n - 1))
+    return _joined(n, _enough(sizes, shared, percent)).tolist()
 
-    def enough(i: int, both: np.ndarray, others: slice) -> np.ndarray:
-        return 100 * both >= percent * (sizes[i] + sizes[others] - both)
 
-    if n <= 12:
+def _enough(sizes: np.ndarray, shared: Iterable[np.ndarray], percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each set those after it that it is linked to; `shared` gives its intersections with them."""
+    for i, both in enumerate(shared):
+        yield i, i + 1 + np.flatnonzero(100 * both >= percent * (sizes[i] + sizes[i + 1 :] - both))
 
-        def rows() -> Iterator[tuple[int, np.ndarray]]:
-            for i in range(n - 1):
-                both = [len(np.intersect1d(sets[i], x, assume_unique=True)) for x in sets[i + 1 :]]
-                yield i, i + 1 + np.flatnonzero(enough(i, np.array(both), slice(i + 1, None)))
 
-        return _joined(n, rows()).tolist()
+def overlaps(sets: list[np.ndarray]) -> np.ndarray:
+    """The sizes of all intersections of two of the sets."""
+    n, sizes = len(sets), np.array([len(x) for x in sets], np.int64)
     _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
     row = np.repeat(np.arange(n, dtype=np.int32), sizes)
     shared = times > 1
@@ -287,16 +294,92 @@ def linked(sets: list[np.ndarray], percent: int) -> list[int]:
         part = np.zeros((n, width), np.float32)
         part[row[a:b], column[a:b] - first] = 1
         both += part @ part.T  # whole numbers below 2^24, so exact
+    return both
+
+
+def _heavy_links(members: DataFrame, sets: DataFrame, s: Settings) -> DataFrame:
+    """(a, b) as _links, for clusters whose sets are too much for one row. `members` (cluster, rep, n, slices) says in how
+    many slices a cluster's shingles are compared; a row holds one slice of all its sets, about `leaf_shingles`."""
+    kind = sets.schema["rep"].dataType.simpleString()
+    of = Window.partitionBy("cluster")
+    placed = members.withColumns({
+        "i": F.row_number().over(of.orderBy("rep")) - 1,
+        "size": F.count("*").over(of).cast("int"),
+    })
+    placed = keep_table(placed, "heavy_members")
 
-    def counted() -> Iterator[tuple[int, np.ndarray]]:
-        for i in range(n - 1):
-            yield i, i + 1 + np.flatnonzero(enough(i, both[i, i + 1 :].astype(np.int64), slice(i + 1, None)))
+    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for cluster, i, size, slices, held in zip(*(batch[c] for c in batch), strict=True):
+                flat = np.frombuffer(held, np.uint64)
+                ends = [(k << 64) // slices for k in range(1, slices)]
+                at = [0, *np.searchsorted(flat, np.array(ends, np.uint64)).tolist(), len(flat)]
+                rows = [(cluster, k, size, i, flat[at[k] : at[k + 1]].tobytes()) for k in range(slices) if at[k] < at[k + 1]]
+                yield pd.DataFrame(rows, columns=["cluster", "slice", "size", "i", "part"])
+
+    parts = (
+        placed.join(sets, "rep").select("cluster", "i", "size", "slices", "shingles")
+        .mapInPandas(cut, "cluster long, slice int, size int, i int, part binary")
+        .groupBy("cluster", "slice", "size").agg(F.collect_list(F.struct("i", "part")).alias("parts"))
+    )
+
+    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for cluster, size, parts in zip(batch["cluster"], batch["size"], batch["parts"], strict=True):
+                held = sorted(((m["i"], m["part"]) for m in parts), key=lambda m: m[0])
+                at = np.array([m[0] for m in held])
+                both = overlaps([np.frombuffer(m[1], np.uint64) for m in held])
+                for some in np.array_split(np.arange(len(at)), math.ceil(len(at) / 256)):
+                    rows = []
+                    for k in some.tolist():
+                        row = np.zeros(size, np.int32)
+                        row[at] = both[k]
+                        rows.append(row[at[k] + 1 :].tobytes())
+                    yield pd.DataFrame({"cluster": cluster, "i": at[some], "counts": rows})
+
+    shared = parts.select("cluster", "size", "parts").mapInPandas(counted, "cluster long, i int, counts binary")
+    shared = shared.groupBy("cluster", "i").agg(F.collect_list("counts").alias("counts"))
+
+    def added(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            sums = []
+            for counts in batch["counts"]:
+                total = np.frombuffer(counts[0], np.int32).astype(np.int64)
+                for more in counts[1:]:
+                    total += np.frombuffer(more, np.int32)
+                sums.append(total.astype(np.int32).tobytes())
+            yield pd.DataFrame({"cluster": batch["cluster"], "i": batch["i"], "counts": pd.Series(sums, dtype=object)})
+
+    whole = (
+        shared.mapInPandas(added, "cluster long, i int, counts binary").join(placed, ["cluster", "i"])
+        .groupBy("cluster").agg(F.collect_list(F.struct("i", "rep", "n", "counts")).alias("members"))
+    )
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            a, b = [], []
+            for members in batch["members"]:
+                rows = sorted(members, key=lambda m: m["i"])
+                sizes = np.array([m["n"] for m in rows], np.int64)
+                both = (np.frombuffer(m["counts"], np.int32).astype(np.int64) for m in rows)
+                firsts = _joined(len(rows), _enough(sizes, both, s.percent)).tolist()
+                for i, first in enumerate(firsts):
+                    if i != first:
+                        a.append(rows[first]["rep"])
+                        b.append(rows[i]["rep"])
+            yield pd.DataFrame({"a": a, "b": b})
 
-    return _joined(n, counted()).tolist()
+    return whole.select("members").mapInPandas(compared, f"a {kind}, b {kind}")
 
 
-def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
-    """(a, b): links that span the linked classes of each cluster. `texts` (rep, text) holds one text a class."""
+def _links(clusters: DataFrame, classes: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
+    """(a, b): links that span the linked classes of each cluster. `classes` (rep, n) has the sizes of the sets, `texts`
+    (rep, text) holds one text a class."""
+    sized = clusters.join(classes.select("rep", "n"), "rep")
+    heavy = sized.groupBy("cluster").agg(F.ceil(F.sum("n") / F.lit(s.leaf_shingles)).cast("int").alias("slices"))
+    heavy = keep_table(heavy.where("slices > 1"), "heavy_clusters")
+    none_heavy = heavy.isEmpty()
+    light = clusters if none_heavy else clusters.join(heavy, "cluster", "left_anti")
     reps = keep_table(clusters.select("rep").distinct(), "near_reps")
     few = is_small(reps, s.broadcast_rows)
     wanted = texts.join(F.broadcast(reps) if few else reps, "rep")
@@ -313,7 +396,7 @@ def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
 
     sets = wanted.mapInPandas(shingled, f"rep {kind}, shingles binary")
     members = F.collect_list(F.struct("rep", "shingles")).alias("members")
-    grouped = clusters.join(sets, "rep").groupBy("cluster").agg(members)
+    grouped = light.join(sets, "rep").groupBy("cluster").agg(members)
 
     def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -327,7 +410,8 @@ def _links(clusters: DataFrame, texts: DataFrame, s: Settings) -> DataFrame:
                         b.append(rows[i][0])
             yield pd.DataFrame({"a": a, "b": b})
 
-    return grouped.select("members").mapInPandas(compared, f"a {kind}, b {kind}")
+    links = grouped.select("members").mapInPandas(compared, f"a {kind}, b {kind}")
+    return links if none_heavy else links.unionByName(_heavy_links(sized.join(heavy, "cluster"), sets, s))
 
 
 def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", settings: Settings = Settings()) -> DataFrame:
@@ -350,7 +434,7 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", settin
     )
     clusters = keep_table(_clusters(_leaves(classes, s), s), "clusters")
     texts = rows.where("id is not null").withColumnRenamed("id", "rep")
-    found = components(keep_table(_links(clusters, texts, s), "links"))
+    found = components(keep_table(_links(clusters, classes, texts, s), "links"))
     homes = classes.select("key1", "key2", "n", "rep").join(found, F.col("rep") == F.col("id"), "left")
     homes = homes.select("key1", "key2", "n", F.coalesce("component", "rep").alias("component"))
     placed = full.select("id", "key1", "key2", "n").join(homes, ["key1", "key2", "n"]).select("id", "n", "component")

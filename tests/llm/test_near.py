@@ -70,6 +70,20 @@ def family(seed, size, edits, length=120):
     return out
 
 
+@pytest.mark.parametrize("settings", [near.Settings(leaf_shingles=3000), near.Settings(leaf=16, depth=0, leaf_shingles=3000)])
+def test_a_heavy_cluster_is_never_in_one_row(spark, monkeypatch, settings):
+    whole = near.linked
+
+    def bounded(sets, percent):
+        assert sum(map(len, sets)) <= 3000
+        return whole(sets, percent)
+
+    monkeypatch.setattr(near, "linked", bounded)
+    texts = dict(enumerate(family(1, 40, 8, 400) + family(2, 60, 3) + family(3, 9, 3)))
+    want = check(spark.createDataFrame(list(texts.items()), "doc_id long, text string"), texts, settings)
+    assert len({c for _, c in want.values()}) < len(texts) / 2
+
+
 @pytest.mark.parametrize(
     "settings",
     [near.Settings(), near.Settings(leaf=16), near.Settings(leaf=16, depth=0), near.Settings(leaf_shingles=500, depth=1)],
