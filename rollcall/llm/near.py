@@ -49,8 +49,8 @@ class Settings:
     @property
     def trees(self) -> int:
         """So many that a pair at the threshold is lost by all with probability 1 - recall. In one tree it is kept by the
-        first token, and, should its nodes be large, by two further rounds that keep 93 of 100."""
-        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.similarity * 0.93**2))
+        first token, and, should its nodes be large, by `depth` further rounds that keep 93 of 100."""
+        return math.ceil(math.log(1 - self.recall) / math.log(1 - self.similarity * 0.93**self.depth))
 
     @property
     def near(self) -> float:

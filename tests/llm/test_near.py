@@ -70,6 +70,12 @@ def family(seed, size, edits, length=120):
     return out
 
 
+@pytest.mark.parametrize("depth", [0, 2, 4, 6])
+def test_trees_reach_the_recall_at_full_depth(depth):
+    s = near.Settings(depth=depth)
+    assert (1 - s.similarity * 0.93**depth) ** s.trees <= 1 - s.recall
+
+
 @pytest.mark.parametrize("settings", [near.Settings(leaf_shingles=3000), near.Settings(leaf=16, depth=0, leaf_shingles=3000)])
 def test_a_heavy_cluster_is_never_in_one_row(spark, monkeypatch, settings):
     whole = near.linked
