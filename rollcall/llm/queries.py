@@ -10,7 +10,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rollcall.llm import bpe, decontaminate, exact, hmm, html, near, pii, secrets, token_files, toxicity
+from rollcall.llm import (
+    alignment,
+    bpe,
+    decontaminate,
+    exact,
+    hmm,
+    html,
+    lexical,
+    near,
+    neighbours,
+    pii,
+    secrets,
+    token_files,
+    toxicity,
+)
 from rollcall.llm.common import keep_table, remainder, text_of
 
 
@@ -37,6 +51,17 @@ def tokenizer_definition(path: str | None = None) -> str:
         return file.read()
 
 
+def aligned_tokenizers(a: str | None = None, b: str | None = None) -> tuple[str, bytes]:
+    """The definition of the byte-level tokenizer and the sentencepiece model, by default the public files."""
+    if a is None or b is None:
+        import public_tokenizers
+
+        a = a or public_tokenizers.path("byte_bpe_50k.json")
+        b = b or public_tokenizers.path("piece_bpe_32k.model")
+    with open(a, encoding="utf-8") as definition, open(b, "rb") as model:
+        return definition.read(), model.read()
+
+
 def op1_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     model = toxicity.learn(docs, table(spark, folder, "labels"))
@@ -121,6 +146,18 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(table(spark, folder, "documents"), *aligned_tokenizers())
+
+
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    return lexical.ranked(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_nearest_vectors(spark: SparkSession, folder: str) -> DataFrame:
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -134,6 +171,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_token_files,
         op9_hmm_score,
         op10_decontaminate,
+        op11_token_alignment,
+        op12_ranked_search,
+        op13_nearest_vectors,
     )
 }
 
@@ -143,4 +183,22 @@ SQL: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
                doc_id IS NOT DISTINCT FROM max(doc_id) OVER same AS kept, sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))""",
+    "op12_ranked_search": r"""
+        WITH found AS (
+          SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+        tf AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+        sizes AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY ALL),
+        total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS terms FROM sizes),
+        df AS (SELECT term, count(*) AS df FROM tf GROUP BY ALL),
+        factor AS (SELECT doc_id, 75 + (25 * n * docs) // terms AS m FROM sizes, total),
+        asked AS (
+          SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark),
+        scores AS (
+          SELECT item_id, doc_id,
+                 sum(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+          FROM asked JOIN df USING (term) JOIN tf USING (term) JOIN factor USING (doc_id), total GROUP BY ALL),
+        ranks AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank FROM scores WHERE score > 0)
+        SELECT item_id, rank, doc_id, score FROM ranks WHERE rank <= 20""",
 }
