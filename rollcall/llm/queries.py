@@ -129,13 +129,9 @@ def op7_personal_data(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_token_files(spark: SparkSession, folder: str) -> DataFrame:
-    read = token_files.tokenized(table(spark, folder, "documents"), tokenizer_definition())
-    return read.select(
-        F.col("id").alias("doc_id"),
-        "start",
-        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
-        F.crc32("ids").alias("ids_crc32"),
-    )
+    blocks = token_files.write_tokenized(table(spark, folder, "documents"), tokenizer_definition())
+    sums = token_files.read_sums(blocks)
+    return sums.select(F.col("id").alias("doc_id"), "start", F.col("n_ids").alias("n_tokens"), F.col("crc").alias("ids_crc32"))
 
 
 def op9_hmm_score(spark: SparkSession, folder: str) -> DataFrame:

@@ -14,18 +14,25 @@ import os
 import re
 import struct
 import uuid
+import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from rollcall.llm.common import PLACES, chunks, col, hash_runs, in_worker, keep_table, prepare, ragged, text_of
 
 BLOCK_IDS = 1 << 16
+#: A file holds about so many bytes of ids, unless there would be more than MOST_FILES.
+FILE_BYTES, MOST_FILES = 32 << 20, 100_000
 #: One row a block. `first` is its place in the part's stream; the arrays list every document that has ids in the block:
 #: its key, where it begins in the part's stream, and all its ids' number.
 BLOCK_SCHEMA = (
@@ -68,11 +75,9 @@ def unpack_block(payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(raw).view("<u4").ravel()
 
 
-def blocks_of(
-    batches: Iterator[pd.DataFrame], part: int, block_ids: int, planes: str, id_bytes: int = 4
-) -> Iterator[tuple]:
-    """Block rows of one partition's documents (id, ids), in order. A document without ids stands in the block where it
-    would begin. What is held is a block, one batch and one document."""
+def blocks_of(rows: Iterator[tuple], part: int, block_ids: int, planes: str, id_bytes: int = 4) -> Iterator[tuple]:
+    """Block rows of one partition's documents (key, packed ids), in order. A document without ids stands in the block where
+    it would begin. What is held is two blocks and one document."""
     held, open_docs = [], []
     seen = first = block = 0
 
@@ -86,75 +91,150 @@ def blocks_of(
         held, first, block = [stream[n:]], stop, block + 1
         return row
 
-    for batch in batches:
-        for key, packed in zip(batch["id"], batch["ids"], strict=True):
-            ids = np.frombuffer(packed, f"<u{id_bytes}")
-            open_docs.append((None if pd.isna(key) else key, seen, len(ids)))
-            held.append(ids)
-            seen += len(ids)
-            while seen - first >= 2 * block_ids:
-                yield cut(block_ids)
+    for key, packed in rows:
+        ids = np.frombuffer(packed, f"<u{id_bytes}")
+        open_docs.append((key, seen, len(ids)))
+        held.append(ids)
+        seen += len(ids)
+        while seen - first >= 2 * block_ids:
+            yield cut(block_ids)
     while seen - first > block_ids:
         yield cut(block_ids)
     if open_docs:
         yield cut(seen - first, last=True)
 
 
+def file_count(n_bytes: int, file_bytes: int = FILE_BYTES, most: int = MOST_FILES) -> int:
+    """Files for so many bytes of ids. Beyond `most` files they grow instead of their number."""
+    return max(1, min(most, -(-n_bytes // file_bytes)))
+
+
 def write_token_files(docs: DataFrame, ids: str, key: str, name: str = "tokens", parts: int | None = None,
                       block_ids: int = BLOCK_IDS, planes: str = "byte", id_bytes: int = 4) -> DataFrame:
     """Write packed ids (little-endian, unsigned, of `id_bytes` bytes) in ascending order of the key, null keys first, and
-    return the block table as read back. Rows of an equal key go in the order of their ids."""
+    return the block table as read back. Rows of an equal key go in the order of a hash of their ids, and may fall in
+    several files, so that one key's many rows don't meet in one task. No rows give no blocks. The rows are read three
+    times: they are counted, sampled for the order, and written."""
     spark = docs.sparkSession
     prepare(spark)
-    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    kind = docs.select(col(key)).schema[0].dataType
+    rows = docs.select(col(key).alias("id"), col(ids).alias("ids"))
+    parts = parts or file_count(rows.agg(F.sum(F.octet_length("ids"))).first()[0] or 0)
+    kind = rows.schema["id"].dataType
     schema = BLOCK_SCHEMA.format(key=kind.simpleString())
-    names = [c.split()[0] for c in schema.split(", ")]
+    to_arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        for row in blocks_of(batches, part, block_ids, planes, id_bytes):
-            yield pd.DataFrame([row], columns=names)
+        rows = (r for b in batches for r in zip(b.column("id").to_pylist(), b.column("ids").to_pylist(), strict=True))
+        for row in blocks_of(rows, part, block_ids, planes, id_bytes):
+            yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip(row, to_arrow, strict=True)], to_arrow.names)
 
-    ordered = (
-        docs.select(col(key).alias("id"), col(ids).alias("ids"))
-        .repartitionByRange(parts, "id")
-        .sortWithinPartitions("id", "ids")
-    )
-    return keep_table(ordered.mapInPandas(run, schema), name)
+    numbered = rows.withColumns({"hash": F.xxhash64("ids"), "row": F.monotonically_increasing_id()})
+    ordered = numbered.repartitionByRange(parts, "id", "hash", "row").sortWithinPartitions("id", "hash", "row").select("id", "ids")
+    return keep_table(ordered.mapInArrow(run, schema), name)
 
 
-def read_token_files(blocks: DataFrame) -> DataFrame:
-    """The documents of a block table: id, start (ids of all documents before it) and their packed ids.
+def _bases(blocks: DataFrame) -> DataFrame:
+    """Where the stream of each file begins in the stream of all: one row a file, and there are MOST_FILES at the most."""
+    sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    return F.broadcast(sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")))
 
-    A document within one block comes straight from it; only the pieces of those that cross a block's edge shuffle."""
+
+def _pieces(blocks: DataFrame, value: str, of: Callable[[np.ndarray], object], which: str = "all") -> DataFrame:
+    """A row for each piece of a document in a block: its place, and what `of` gives for its ids as the column `value`.
+    `which` takes the pieces that are a whole document ("whole"), or those that aren't ("cut")."""
     kind = blocks.schema["doc_ids"].dataType.elementType.simpleString()
-    schema = f"part int, doc_start long, id {kind}, size long, block int, ids binary"
+    schema = f"part int, doc_start long, id {kind}, size long, block int, whole boolean, n long, {value}"
+    to_arrow = to_arrow_schema(StructType.fromDDL(schema))
 
-    def pieces(batches: Iterator[pd.DataFrame], whole: bool) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.itertuples(index=False):
-                found, rows, stop = unpack_block(r.payload), [], r.first + r.n_ids
-                for key, start, size in zip(r.doc_ids, r.doc_starts, r.doc_sizes, strict=True):
-                    if whole == (start >= r.first and start + size <= stop):
-                        part = found[max(0, start - r.first) : max(0, start + size - r.first)]
-                        rows.append((r.part, start, key, size, r.block, part.tobytes()))
-                yield pd.DataFrame(rows, columns=["part", "doc_start", "id", "size", "block", "ids"])
-
-    whole = blocks.mapInPandas(lambda batches: pieces(batches, True), schema)
+            for r in batch.to_pylist():
+                rows, found, stop = [], None, r["first"] + r["n_ids"]
+                for key, start, size in zip(r["doc_ids"], r["doc_starts"], r["doc_sizes"], strict=True):
+                    whole = start >= r["first"] and start + size <= stop
+                    if which == "all" or (which == "whole") == whole:
+                        found = unpack_block(r["payload"]) if found is None else found
+                        piece = found[max(0, start - r["first"]) : max(0, start + size - r["first"])]
+                        rows.append((r["part"], start, key, size, r["block"], whole, len(piece), of(piece)))
+                if rows:
+                    columns = zip(zip(*rows, strict=True), to_arrow, strict=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in columns], to_arrow.names)
+
+    return blocks.mapInArrow(run, schema)
+
+
+def _placed(found: DataFrame, blocks: DataFrame, *columns: str) -> DataFrame:
+    start = (F.col("base") + F.col("doc_start")).alias("start")
+    return found.join(_bases(blocks), "part").select("id", start, *columns)
+
+
+_PLACE = ["part", "doc_start", "id", "size"]
+
+
+def read_token_files(blocks: DataFrame) -> DataFrame:
+    """The documents of a block table: id, start (ids of all documents before it) and their packed ids.
+
+    A document within one block comes straight from it; only the pieces of those that cross a block's edge shuffle, and
+    meet in one row, as the result asks for."""
+    whole = _pieces(blocks, "ids binary", np.ndarray.tobytes, "whole").select("part", "doc_start", "id", "ids")
     joined = (
-        blocks.mapInPandas(lambda batches: pieces(batches, False), schema).groupBy("part", "doc_start", "id", "size")
+        _pieces(blocks, "ids binary", np.ndarray.tobytes, "cut").groupBy(*_PLACE)
         .agg(F.array_sort(F.collect_list(F.struct("block", "ids"))).alias("pieces"))
-        .withColumn("ids", F.aggregate("pieces", F.lit(b""), lambda done, p: F.concat(done, p["ids"])))
-    )
-    columns = ["part", "doc_start", "id", "ids"]
-    sizes = blocks.groupBy("part").agg(F.sum("n_ids").alias("n"))
-    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
-    bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return (
-        whole.select(columns).unionByName(joined.select(columns)).join(bases, "part")
-        .select("id", (F.col("base") + F.col("doc_start")).alias("start"), "ids")
+        .select("part", "doc_start", "id", F.aggregate("pieces", F.lit(b""), lambda done, p: F.concat(done, p["ids"])).alias("ids"))
     )
+    return _placed(whole.unionByName(joined), blocks, "ids")
+
+
+def read_sums(blocks: DataFrame) -> DataFrame:
+    """The documents of a block table without their ids: id, start, n_ids and the CRC-32 of all ids as packed.
+
+    Every block is read once, and no ids leave the task that reads them. Of a document that crosses a block's edge only the
+    checksums of the pieces meet, which give that of the whole."""
+    pieces = keep_table(_pieces(blocks, "crc long", lambda ids: zlib.crc32(ids.tobytes())), "piece_sums")
+    whole = pieces.where("whole").select("part", "doc_start", "id", F.col("size").alias("n_ids"), "crc")
+
+    @F.pandas_udf("long")
+    def combined(pieces: pd.Series) -> pd.Series:
+        return pd.Series([combine_crc32([(p["crc"], 4 * p["n"]) for p in some]) for some in pieces], dtype="int64")
+
+    cut = pieces.where("not whole").groupBy(*_PLACE).agg(F.array_sort(F.collect_list(F.struct("block", "n", "crc"))).alias("pieces"))
+    joined = cut.select("part", "doc_start", "id", F.col("size").alias("n_ids"), combined("pieces").alias("crc"))
+    return _placed(whole.unionByName(joined), blocks, "n_ids", "crc")
+
+
+# Checksums of joined pieces: a CRC-32 is a polynomial over GF(2), lowest power in the highest bit, modulo this one.
+_CRC_POLY = 0xEDB88320
+
+
+def _times(a: int, b: int) -> int:
+    """The product of two polynomials."""
+    product = 0
+    for bit in range(31, -1, -1):
+        if a >> bit & 1:
+            product ^= b
+        b = b >> 1 ^ (_CRC_POLY if b & 1 else 0)
+    return product
+
+
+@cache
+def _shift(n_bytes: int) -> int:
+    """x to the power of 8 times the number of bytes."""
+    result, base = 1 << 31, 1 << 23
+    while n_bytes:
+        if n_bytes & 1:
+            result = _times(result, base)
+        base, n_bytes = _times(base, base), n_bytes >> 1
+    return result
+
+
+def combine_crc32(pieces: list[tuple[int, int]]) -> int:
+    """The CRC-32 of joined pieces, from that of each and its number of bytes."""
+    whole = 0
+    for crc, n_bytes in pieces:
+        whole = _times(_shift(n_bytes), whole) ^ crc
+    return whole
 
 
 #: Marks that join a letter into one, in bytes: a capital may have a joined form where its small letter has none.
@@ -329,17 +409,25 @@ def encode_with(spark: SparkSession, definition: str, end_id: int | None = None,
     return run
 
 
-def tokenized(docs: DataFrame, definition: str, key: str = "doc_id", text: str = "text", end_id: int = 2,
-              block_ids: int = BLOCK_IDS, planes: str = "byte") -> DataFrame:
-    """Encode all texts, write them as token files in key order, and read the documents back (id, start, ids).
+def write_tokenized(docs: DataFrame, definition: str, key: str = "doc_id", text: str = "text", end_id: int = 2,
+                    block_ids: int = BLOCK_IDS, planes: str = "byte") -> DataFrame:
+    """Encode all texts and write them as token files in key order; gives the block table.
 
-    Null counts as empty and gives the end id alone; other columns are never looked at. Ids are written once, zstandard-
-    compressed, before they are ordered, so that the range partitioner's sample doesn't encode all texts again. Ids travel
-    in two bytes where the vocabulary allows it."""
+    Null counts as empty and gives the end id alone; null keys come first; repeated rows are documents each, in the order of
+    a hash of their ids; an empty table gives no blocks; other columns are never looked at. A very long text is encoded and
+    held in one go by its task, and cut into blocks. Ids are written once, zstandard-compressed, before they are ordered, so
+    that the range partitioner's sample doesn't encode all texts again. Ids travel in two bytes where the vocabulary allows
+    it."""
     from tokenizers import Tokenizer
 
     spark = docs.sparkSession
     id_bytes = 2 if max(Tokenizer.from_str(definition).get_vocab_size(), end_id + 1) <= 1 << 16 else 4
     encode = encode_with(spark, definition, end_id, id_bytes)
     ids = keep_table(docs.select(col(key).alias("id"), encode(text_of(text)).alias("ids")), "ids")
-    return read_token_files(write_token_files(ids, "ids", "id", block_ids=block_ids, planes=planes, id_bytes=id_bytes))
+    return write_token_files(ids, "ids", "id", block_ids=block_ids, planes=planes, id_bytes=id_bytes)
+
+
+def tokenized(docs: DataFrame, definition: str, key: str = "doc_id", text: str = "text", end_id: int = 2,
+              block_ids: int = BLOCK_IDS, planes: str = "byte") -> DataFrame:
+    """`write_tokenized`, and the documents read back: id, start, ids."""
+    return read_token_files(write_tokenized(docs, definition, key, text, end_id, block_ids, planes))
