@@ -46,18 +46,20 @@ class Rule:
         return trigram_query(self.regex)
 
 
-# The base kinds.
+# The base kinds. Where a kind's length counts for the whole match, its expression counts: the runs of letters
+# are as long as they can be, so a match that would be too short is none, and no shorter one begins inside of it. The value
+# of an assignment is measured afterwards, because one that is too short still uses up its text.
 BASE = (
     Rule("assign", r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 6, 2, True),
-    Rule("access", r"AKIA[A-Z0-9]+", 20),
-    Rule("hex", r"[0-9a-f]+", 24),
+    Rule("access", r"AKIA[A-Z0-9]{16,}"),
+    Rule("hex", r"(?<![0-9a-f])[0-9a-f]{24,}"),
 )
 ADDED = (
     Rule("private_key", r"-----BEGIN [A-Z ]*PRIVATE KEY-----"),
-    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]+", 40),
-    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]+", 15),
+    Rule("hub_token", r"gh[pousr]_[A-Za-z0-9]{36,}"),
+    Rule("chat_token", r"xox[abprs]-[A-Za-z0-9-]{10,}"),
     Rule("web_token", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+"),
-    Rule("map_key", r"AIza[A-Za-z0-9_-]+", 39),
+    Rule("map_key", r"AIza[A-Za-z0-9_-]{35,}"),
 )
 RULES = BASE + ADDED
 
@@ -145,35 +147,46 @@ def candidates(index: DataFrame, rules: list[Rule]) -> DataFrame:
 # Verification ---------------------------------------------------------------------------------------------------------
 
 
+#: Spans that are put together at once; the blocks of a text are joined at the end.
+BLOCK = 256
+
+
 def matches(text: Column, rule: Rule) -> Column:
     """The spans of a rule's leftmost, non-overlapping matches that are long enough; code points, end exclusive.
 
     What stands between the matches comes from splitting at them, so a match begins where the pieces and matches before
-    it end."""
+    it end. Only lengths are kept of both. Spans are gathered in blocks, so that adding one copies a block at the most and
+    not all spans before it."""
     regex = F.lit(rule.java)
-    between = F.split(text, rule.java, -1)
-    whole = F.regexp_extract_all(text, regex, 0)
-    measured = F.regexp_extract_all(text, regex, rule.group) if rule.group else whole
-    rows = F.arrays_zip(between.alias("gap"), whole.alias("hit"), measured.alias("measured"))
-    lengths = F.transform(
-        rows,
-        lambda r: F.struct(
-            F.length(r["gap"]).alias("gap"), F.length(r["hit"]).alias("hit"), F.length(r["measured"]).alias("measured")
-        ),
-    )
+    gaps = F.transform(F.split(text, rule.java, -1), F.length)
+    hits = F.transform(F.regexp_extract_all(text, regex, 0), F.length)
+    columns = [gaps.alias("gap"), hits.alias("hit")]
+    if rule.group:
+        columns.append(F.transform(F.regexp_extract_all(text, regex, rule.group), F.length).alias("measured"))
+    measured = "measured" if rule.group else "hit"
     # the last piece follows the last match
-    lengths = F.filter(lengths, lambda r: r["hit"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPANS).alias("out"))
+    lengths = F.filter(F.arrays_zip(*columns), lambda r: r["hit"].isNotNull())
+    empty = F.array().cast(SPANS)
 
     def step(state: Column, r: Column) -> Column:
         first = state["at"] + r["gap"]
         end = first + r["hit"]
         one = F.array(F.struct(first.alias("start"), end.alias("end")))
-        added = F.when(r["measured"] >= rule.least, F.concat(state["out"], one)).otherwise(state["out"])
+        added = F.when(r[measured] >= rule.least, F.concat(state["out"], one)).otherwise(state["out"])
         return F.struct(end.alias("at"), added.alias("out"))
 
-    found = F.aggregate(lengths, start, step, lambda s: s["out"])
-    return F.when(text.rlike(rule.java), found).otherwise(F.array().cast(SPANS))
+    def block(state: Column, rows: Column) -> Column:
+        done = F.aggregate(rows, F.struct(state["at"].alias("at"), empty.alias("out")), step)
+        return F.struct(done["at"].alias("at"), F.concat(state["out"], F.array(done["out"])).alias("out"))
+
+    def cut(rows: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(rows), F.lit(1)), F.lit(BLOCK))
+        return F.transform(starts, lambda at: F.slice(rows, at, BLOCK))
+
+    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPANS}>").alias("out"))
+    # as the element of an array the lengths are worked out once, and not for each block
+    found = F.transform(F.array(lengths), lambda rows: F.flatten(F.aggregate(cut(rows), start, block, lambda s: s["out"])))[0]
+    return F.when(text.rlike(rule.java), found).otherwise(empty)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id", text: str = "text",
@@ -181,7 +194,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, key: str = "doc_id",
     """All rows and columns of `docs` with a column found: a struct with the spans of each rule by its kind.
 
     Null and empty texts have no spans; rows that repeat each get theirs; an empty table gives none. A column found of
-    `docs` is replaced.
+    `docs` is replaced, others stay. A very long text is scanned whole; beside it, memory follows the number of its matches.
     """
     asked = [r for r in rules if r.query]
     names = sorted({t for r in asked for s in r.query for t in s})

@@ -48,6 +48,30 @@ def test_tricky_texts_as_plain_expressions(spark, broadcast_rows):
         assert got[key] == ",".join(f"{k}:{a}:{b}" for a, _, b, k in by_hand(text or "")), text
 
 
+def test_counted_expressions_find_the_same(spark):
+    """Random runs of the letters that the base kinds are made of."""
+    import random
+
+    rng = random.Random(4)
+    parts = ["a" * 7, "0f" * 6, "F", "AKIA", "AKI", "Z9" * 5, "g", " ", "token=", "b" * 24, "12345", "=", "secret:"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(1, 30))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    got = dict(rows(secrets.scan(df, secrets.BASE), "doc_id", secrets.joined_spans(F.col("found"), secrets.BASE)))
+    assert all(got[k] == ",".join(f"{kind}:{a}:{b}" for a, _, b, kind in by_hand(t)) for k, t in enumerate(texts))
+    assert sum(map(bool, got.values())) > 1000
+
+
+def test_very_long_texts(spark):
+    """20 MB of runs that are no secrets, of runs that are, and of one run."""
+    key = "0123456789abcdef" * 2
+    texts = {1: "face " * 4_000_000, 2: f"{key} ghost " * 60_000, 3: "f" * 3_000_000, 4: "😀 token=abcdefgh\n" * 20_000}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r["found"] for r in secrets.scan(df, secrets.BASE).select("doc_id", "found").collect()}
+    assert found[1]["hex"] == [] and found[3]["hex"] == [(0, 3_000_000)]
+    assert found[2]["hex"] == [(39 * i, 39 * i + 32) for i in range(60_000)]
+    assert found[4]["assign"] == [(17 * i + 2, 17 * i + 16) for i in range(20_000)]
+
+
 def test_added_kinds(spark):
     text = ("-----BEGIN RSA PRIVATE KEY----- ghp_" + "a1" * 18 + " xoxb-123456789012 eyJhbGci.eyJzdWIi.c2ln AIza" + "x" * 35)
     df = spark.createDataFrame([(1, text)], "doc_id long, text string")
