@@ -792,6 +792,14 @@ FROM (
 ) x WHERE observed IS NOT NULL AND expected IS NOT NULL"""
 
 O["P9_mandatory_courses"] = "SELECT DISTINCT course_name FROM training WHERE mandatory = TRUE"
+O["S1_employees_by_csv"] = """
+SELECT employee_id, hire_date, department, grade, salary, manager_id, campus, status, is_academic FROM employees"""
+O["S1_absences_by_csv"] = """
+SELECT absence_id, employee_id, absence_type, start_date, days_absent, approved, return_to_work_interview FROM absences"""
+O["S2_workforce_summary_by_csv"] = O["B1_workforce_summary"]
+O["S7_cleaned_leavers_by_parquet"] = O["D_clean_leavers"]
+O["S8_training_by_provider_folder"] = """
+SELECT training_id, employee_id, course_name, provider, completion_date, passed FROM training"""
 O["S10_row_counts"] = " UNION ALL ".join(
     [f"SELECT '{t}' AS \"table\", COUNT(*) AS \"rows\" FROM {t}" for t in _PKS]
     + [f"SELECT 'workforce_summary', COUNT(*) FROM ({_SUMMARY}) s"]

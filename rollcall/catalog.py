@@ -45,6 +45,9 @@ ID_PATTERNS = {
 }
 COURSES = ("PROMO Brand#1", "PROMO Brand#2", "PROMO Brand#3", "SMALL Brand#1", "SMALL Brand#2")
 ACADEMIC = ("BUILDING", "MACHINERY")
+PEOPLE = ("employee_id", "hire_date", "department", "grade", "salary", "manager_id", "campus", "status", "is_academic")
+SPELLS = ("absence_id", "employee_id", "absence_type", "start_date", "days_absent", "approved", "return_to_work_interview")
+COURSE_RECORDS = ("training_id", "employee_id", "course_name", "provider", "completion_date", "passed")
 
 
 def _cleaning(t, standardise="domain"):
@@ -201,6 +204,15 @@ REPORTS: dict[str, Callable[[RoleTables], DataFrame]] = {
     "D25_tenure": constraints.tenure_mismatches,
     "D26_calibration": lambda t: benchmark.calibration(t.employees, t.staff_profile),
     # Sources.
+    "S1_employees_by_csv": lambda t: files.round_trip(t.employees.select(*PEOPLE), "employees", "csv"),
+    "S1_absences_by_csv": lambda t: files.round_trip(t.absences.select(*SPELLS), "absences", "csv"),
+    "S2_workforce_summary_by_csv": lambda t: files.round_trip(
+        benchmark.workforce_summary(t.employees, t.staff_profile), "workforce_summary", "csv"
+    ),
+    "S7_cleaned_leavers_by_parquet": lambda t: files.round_trip(_cleaning(t).leavers(), "leavers"),
+    "S8_training_by_provider_folder": lambda t: files.round_trip(
+        t.training.select(*COURSE_RECORDS), "training", partition_by=["provider"]
+    ),
     "P9_mandatory_courses": lambda t: training.mandatory_courses(t.training),
     "S10_row_counts": lambda t: files.row_counts(
         {

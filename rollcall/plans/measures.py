@@ -154,6 +154,8 @@ def _training(tables, by):
             "any_pass": F.max((F.col("mandatory") & F.col("passed")).cast("int")),
         },
     )
+    # records without an employee are together one group, which is nobody's
+    people = people.withColumn("any_pass", F.when(F.col("employee_id").isNotNull(), F.col("any_pass")))
     grouped = _placed(people, tables, by)
     return grouped.groupBy(*by).agg(
         F.sum("records").alias("training_records"),

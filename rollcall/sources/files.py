@@ -9,6 +9,7 @@ from urllib.parse import unquote
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.session import new_path
 from rollcall.sources import schemas
 from rollcall.sources.tables import Workforce
 
@@ -39,11 +40,16 @@ def _read_csv(spark, schema, path):
 
 
 def _headers(spark, path) -> dict[str, list[str]]:
-    """Files by header line. Only the first line of each file is read."""
+    """Files by header line, in one job: a file's header is the first line of its first block. Of large files no more than
+    that block is gathered; of each file one line reaches the driver."""
+    lines = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    first = lines.where("start = 0").groupBy("file").agg(F.min_by("value", "place").alias("header"))
     found: dict[str, list[str]] = {}
-    for file in sorted(unquote(f) for f in spark.read.text(path).inputFiles()):
-        if first := spark.read.text(file).first():
-            found.setdefault(first["value"], []).append(file)
+    for row in sorted(first.collect()):
+        found.setdefault(row["header"], []).append(unquote(row["file"]))
     return found
 
 
@@ -74,12 +80,19 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: li
     """Write one table. Parquet between stages; CSV (header, no index) for exchange."""
     writer = df.write.mode("overwrite")
     if fmt == "csv":
-        writer = writer.option("header", True).option("escape", '"')
+        writer = writer.options(header=True, escape='"', ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.format(fmt).save(path)
 
 
+def round_trip(df: DataFrame, name: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> DataFrame:
+    """The rows as they come back from a file in the shared folder, in the columns that they had."""
+    path = new_path(df.sparkSession, f"{name}.{fmt}")
+    write_table(df, path, fmt, partition_by)
+    return read_table(df.sparkSession, name, path, fmt).select(*df.columns)
+
+
 def write_json_record(one_row: DataFrame, path: str) -> None:
     """Write a one-row record, such as the KPI export, as JSON."""
     one_row.coalesce(1).write.mode("overwrite").json(path)

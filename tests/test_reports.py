@@ -376,3 +376,13 @@ def test_views_by_name(bundle, spark):
     views.register_views(tables, day("2024-12-31"))
     assert spark.sql("SELECT count(*) FROM v_active_workforce").first()[0] == 1
     assert rows(spark.sql("SELECT department, headcount, total_days_absent FROM v_absence_rate_by_dept")) == [("Research", 1, 4)]
+
+
+def test_a_pass_without_an_employee_covers_nobody(bundle):
+    tables = bundle(
+        employees=[dict(employee_id="1"), dict(employee_id="2")],
+        training=[dict(employee_id="1"), dict(employee_id="1"), dict(employee_id=None), dict(employee_id="2", passed=False)],
+    )
+    for by in (None, ["department"]):
+        got = [r for r in measures.measures(tables, by).collect() if not by or r["department"]]
+        assert [r["mandatory_compliance_pct"] for r in got] == [50.0]

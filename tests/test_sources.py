@@ -1,8 +1,10 @@
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
+from rollcall import session
 from rollcall.plans import executive
 from rollcall.sources import benchmarks, files, schemas
 from rollcall.sources.roles import RoleTables
@@ -81,6 +83,50 @@ def test_csv_files_of_one_folder_are_read_by_name(spark, tmp_path):
     }
 
 
+def test_many_csv_files_are_few_jobs(spark, tmp_path):
+    """Files of two header lines: the number of jobs is that of a folder of two files."""
+
+    def jobs(n):
+        folder = tmp_path / f"leavers{n}"
+        folder.mkdir()
+        for i in range(n):
+            head, row = (("employee_id,destination", f"{i},HEI"), ("destination,employee_id", f"Retired,{i}"))[i % 2]
+            (folder / f"f {i}.csv").write_text(f"{head}\n{row}\n")
+        group = f"csv{n}"
+        spark.sparkContext.setJobGroup(group, group)
+        got = keyed(files.read_table(spark, "leavers", str(folder), "csv").select("employee_id", "destination"), "employee_id")
+        spark.sparkContext.setJobGroup("", "")
+        assert {k: v["destination"] for k, v in got.items()} == {str(i): ("HEI", "Retired")[i % 2] for i in range(n)}
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+
+    # listing more than 32 files is a job of its own for each header line
+    few = jobs(2)
+    assert jobs(30) == few and jobs(1000) == jobs(100) <= few + 2
+
+
+def test_spaces_survive_csv(spark, table, tmp_path):
+    df = table("employees", dict(campus=" Main, campus "), dict(first_name=' "x" ', campus=None))
+    files.write_table(df, f"{tmp_path}/e", "csv")
+    assert sorted(rows(files.read_table(spark, "employees", f"{tmp_path}/e", "csv")), key=str) == sorted(rows(df), key=str)
+
+
+def test_shared_folder(spark, table, tmp_path):
+    df = table("leavers", {}, {})
+    with session.dropping_tables(spark):
+        back = files.round_trip(df, "leavers")
+        assert sorted(rows(back)) == sorted(rows(df))
+        path = session._made[-1].removeprefix("file://")
+        assert os.path.isdir(path)
+    assert not os.path.exists(path) and not session._made[-1:] == [f"file://{path}"]
+
+    class Cluster:
+        conf = type("", (), {"get": staticmethod(lambda name, default: default)})
+        sparkContext = type("", (), {"master": "local-cluster[2,1,1024]", "applicationId": "x"})
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_folder(Cluster)
+
+
 def test_partitioned_facts_prune(spark, bundle, tmp_path):
     off = bundle(absences=[{}, {}]).absences.withColumn("year", F.year("start_date"))
     files.write_table(off, f"{tmp_path}/a", partition_by=["year"])
