@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 import zipfile
 from collections.abc import Iterable
 from pathlib import Path
@@ -12,6 +11,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rollcall.session import new_path
+
 #: Rows and bytes handed to a Python worker at once; long texts come in smaller batches.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 8 << 20
@@ -37,28 +38,13 @@ def prepare(spark: SparkSession) -> None:
         _ready.add(context.applicationId)
 
 
-_own: dict[str, str] = {}
-
-
-def stage_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share, named by the session. Where it names none, as in tests on one
-    machine, a temporary folder stands in for it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        app = spark.sparkContext.applicationId
-        folder = _own.get(app) or _own.setdefault(app, f"file://{tempfile.mkdtemp(prefix='rollcall-')}")
-    return folder.rstrip("/")
-
-
 def keep_table(df: DataFrame, name: str) -> DataFrame:
     """Write the rows as a table in the shared folder and read it back: lineage ends here, so a lost executor costs no
-    more than the tasks it ran, and what two branches use is computed once. The table goes when the driver ends."""
-    spark = df.sparkSession
-    path = f"{stage_folder(spark)}/stages/{name}-{uuid.uuid4().hex}"
+    more than the tasks it ran, and what two branches use is computed once. The table goes when the driver ends, or when
+    the `dropping_tables` block of `rollcall.session` ends in which it was written."""
+    path = new_path(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def free_name(df: DataFrame, name: str) -> str:
