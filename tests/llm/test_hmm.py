@@ -31,9 +31,10 @@ def every_path(model, text):
     return paths
 
 
-@pytest.mark.parametrize("every", [1, 2, 16])
-def test_forward_recursion_is_exact(monkeypatch, every):
+@pytest.mark.parametrize("every, segment", [(1, 99), (2, 99), (16, 99), (1, 1), (2, 2), (16, 3), (2, 5)])
+def test_forward_recursion_is_exact(monkeypatch, every, segment):
     monkeypatch.setattr(hmm, "EVERY", every)
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
     model = tiny()
     texts = [np.array(t, np.uint16) for t in ([0], [1, 0], [4, 4, 2, 0], [3, 1, 2, 2, 4, 0], [2, 0])]
     got = hmm.log_likelihoods(model, texts)
@@ -41,9 +42,10 @@ def test_forward_recursion_is_exact(monkeypatch, every):
     assert np.allclose(got, want, atol=1e-9)
 
 
-@pytest.mark.parametrize("every", [1, 2, 16])
-def test_expected_counts_are_those_of_all_paths(monkeypatch, every):
+@pytest.mark.parametrize("every, segment", [(1, 99), (2, 99), (16, 99), (1, 1), (2, 2), (16, 3), (2, 5)])
+def test_expected_counts_are_those_of_all_paths(monkeypatch, every, segment):
     monkeypatch.setattr(hmm, "EVERY", every)
+    monkeypatch.setattr(hmm, "SEGMENT", segment)
     model, texts = tiny(), [np.array(t, np.uint16) for t in ([0], [1, 3, 0], [4, 4, 2, 0], [2, 2, 1, 3, 4, 1, 0])]
     start, move, emit = np.zeros(3), np.zeros((3, 3)), np.zeros((5, 3))
     hmm.expected_counts(model, texts, start, move, emit)
@@ -68,6 +70,53 @@ def test_long_and_many_texts_do_not_underflow():
     assert np.isfinite(got).all() and np.allclose(got[1], hmm.log_likelihoods(model, [texts[1]])[0])
 
 
+def test_a_very_long_text_is_trained_on_in_bounded_memory(monkeypatch):
+    """What is held beside the text is some arrays of one segment, not of the whole recursion (6 MB each)."""
+    import tracemalloc
+
+    monkeypatch.setattr(hmm, "SEGMENT", 1 << 10)
+    model = tiny(states=8, classes=50)
+    text = np.random.default_rng(3).integers(0, 50, 100_000).astype(np.uint16)
+    start, move, emit = np.zeros(8), np.zeros((8, 8)), np.zeros((50, 8))
+    tracemalloc.start()
+    hmm.expected_counts(model, [text], start, move, emit)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 6e6
+    assert start.sum() == pytest.approx(1) and move.sum() == pytest.approx(len(text) - 1) and emit.sum() == pytest.approx(len(text))
+    assert np.allclose(emit.sum(1), np.bincount(text, minlength=50))
+
+
+@pytest.mark.parametrize("size", [1, 7, 40, 10_000])
+def test_words_in_parts(size):
+    text = "One two\tthree\x1cfour  \n Fünf\x0b" * 30 + "x" * 90 + " Y"
+    assert [w for part in hmm.word_parts(text, size) for w in part] == hmm.words_of(text)
+
+
+@pytest.mark.parametrize("head", [1, 7, 100, 1999, 2000, 2003, 5000])
+def test_the_head_is_full(spark, head):
+    """Also when most words are equally frequent."""
+    counts = [(f"w{i}".encode(), 1) for i in range(2000)] + [(b"often", 9), (b"twice", 2), (b"too", 2)]
+    found = hmm.frequent(spark.createDataFrame(counts, "word binary, n long"), head)
+    assert len(found) == len({w for w, _ in found}) == min(head, 2003)
+    assert [n for _, n in found] == sorted((n for _, n in counts), reverse=True)[:head]
+
+
+def test_classes_of_rare_words_make_one_distribution(spark, monkeypatch):
+    monkeypatch.setattr(hmm, "RARE_WORDS", 5)
+    counts = Counter({f"w{i}".encode(): 1 + i % 4 for i in range(200)} | {b"head": 500, b"too": 400})
+    df = spark.createDataFrame(list(counts.items()), "word binary, n long")
+    words = hmm.vocabulary(df, 30, 2, 4096)
+    assert words.n_rare == 40 and words.tokens == counts.total() + 30 and words.distinct == 203
+    assert words.counts[1:41].sum() == counts.total() - 900 and words.rare_distinct.sum() == 200
+    classes = words.classes([b"head", b"w1", b"unknown", b"too"])
+    assert sorted(classes[[0, 3]].tolist()) == [41, 42] and classes[1] == 1 + zlib.crc32(b"w1") % 40
+    for k in range(40):  # known words of a class and all unknown ones together
+        own = [n for w, n in counts.items() if w not in words.head and zlib.crc32(w) % 40 == k]
+        assert sum(n + 1 for n in own) + 1 == words.rare_base[k]
+    assert words.unigram.sum() == pytest.approx(1)
+
+
 def check_base(df, texts, **how):
     got = {r["doc_id"]: r for r in hmm.scored(df, settings=QUICK, **how).collect()}
     held = {k: k is not None and zlib.crc32(str(k).encode()) % 7 == 2 for k in texts}
