@@ -45,7 +45,7 @@ def test_stages_are_in_order_and_registered():
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "exact_dedup", "near_dedup", "decontaminate", "byte_bpe"]
     assert __spark_entry__.queries()["pipeline"] is corpus_pipeline.run
-    assert {f"op{n}" for n in range(1, 11)} <= {q.split("_")[0] for q in __spark_entry__.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {q.split("_")[0] for q in __spark_entry__.queries()}
 
 
 def test_empty_table(spark):
@@ -53,3 +53,20 @@ def test_empty_table(spark):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, SMALL)
     assert docs.count() == 0
+
+
+def test_odd_rows_in_every_stage(spark, odd, tmp_path):
+    """Null, repeated, empty, long and clashing: what each stage leaves is what its docstring says."""
+    spark.createDataFrame([(1, 1, 0), (2, 0, 0), (None, 1, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    items = [(1, "A text, without an ID!"), (2, None), (None, "")]
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs, left = odd, {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = keep_table(stage(spark, docs, str(tmp_path)), name)
+        assert name == "byte_bpe" or docs.columns == odd.columns
+        left[name] = sorted((r["doc_id"] for r in docs.collect()), key=str)
+    assert left["toxicity"] == sorted((r["doc_id"] for r in odd.collect()), key=str)
+    assert left["exact_dedup"] == left["near_dedup"] == sorted([2, 4, 5, 6, 7, None], key=str)
+    assert left["decontaminate"] == left["byte_bpe"] == [2, 4, 5, 6, 7]
+    sizes = {r["doc_id"]: (r["n_tokens"], len(r["ids"])) for r in docs.collect()}
+    assert sizes[4] == (0, 0) and sizes[7][0] > 30_000
