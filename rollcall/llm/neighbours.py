@@ -33,6 +33,8 @@ BITS, PARTS = 64, 4
 SHARD_ROWS = 1 << 15
 #: Queries that are broadcast at once.
 BLOCK_QUERIES = 1 << 13
+#: Bytes of vectors (doubles) that the sample, a shard and a block of queries hold at the most each, whatever the dimension.
+HELD_BYTES = 1 << 24
 #: Share of true neighbours that may lie beyond a radius.
 BEYOND = 0.01
 #: What a shard answers may lie beyond the bound by this factor: it stands in for what no radius reached.
@@ -187,16 +189,17 @@ def search(index: Index, vectors: np.ndarray, ids: np.ndarray, codes: Codes, que
 # Over a table -------------------------------------------------------------------------------------------------------
 
 
-def usable(vectors: DataFrame, key: str, vector: str) -> DataFrame:
+def usable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int]:
     """id and vector (doubles) of the rows that take part: an id, and a vector without nulls, with finite components that
-    aren't all zero, and with as many of them as most rows have."""
+    aren't all zero, and with as many of them as most rows have; and that number, 0 if there are no rows."""
     rows = vectors.select(col(key).alias("id"), col(vector).cast("array<double>").alias("vector"))
     rows = rows.where(
         F.col("id").isNotNull() & F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
         & F.exists("vector", lambda x: x != 0)
     )
     sizes = rows.groupBy(F.size("vector").alias("size")).count().orderBy(F.desc("count"), F.desc("size")).first()
-    return rows.where(F.size("vector") == (sizes["size"] if sizes else 0))
+    dim = sizes["size"] if sizes else 0
+    return rows.where(F.size("vector") == dim), dim
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -261,10 +264,13 @@ def nearest(vectors: DataFrame, asks: Column, k: int = 10, key: str = "vec_id",
     Rows without an id, and vectors that are null, zero, hold nulls or other than finite numbers, or have another
     dimension than most, take no part. Equal distances go by ascending id. A row with the query's id is never its
     neighbour; repeated rows are neighbours each; of query rows with one id, the least vector asks. An empty table gives no
-    rows; other columns are never looked at. Every row is indexed; only the codes are learned from `sample` rows."""
+    rows; other columns are never looked at. Every row is indexed; only the codes are learned from `sample` rows. Of vectors
+    of many components sample, shards and blocks hold fewer, so that each stays within HELD_BYTES."""
     spark = vectors.sparkSession
     prepare(spark)
-    rows = usable(vectors, key, vector)
+    rows, dim = usable(vectors, key, vector)
+    most = max(64, HELD_BYTES // (8 * max(1, dim)))
+    sample, shard_rows, block_queries = min(sample, most), min(shard_rows, most), min(block_queries, most)
     kind = rows.schema["id"].dataType.simpleString()
     schema = f"query {kind}, neighbour {kind}, score double"
     n = rows.count()

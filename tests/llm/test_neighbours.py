@@ -91,6 +91,21 @@ def test_small_sample_shards_and_blocks(spark):
     assert recall(got, want) >= 0.9 and all(len(x) == 10 for x in got.values())
 
 
+def test_memory_follows_no_dimension(spark, monkeypatch):
+    """With room for few vectors there are more shards and blocks, and the answers stay."""
+    monkeypatch.setattr(nb, "HELD_BYTES", 8 * 200 * 300)
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(12, 200))
+    points = centres[np.arange(1200) % 12] + rng.normal(size=(1200, 200)) * 0.2
+    df = spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(points)], "vec_id long, embedding array<double>").repartition(2)
+    kept, keep = [], nb.keep_table
+    monkeypatch.setattr(nb, "keep_table", lambda table, name: kept.append((name, keep(table, name))) or kept[-1][1])
+    got = answers(nb.nearest(df, F.col("id") % 50 == 0))
+    shards = dict(kept)["vectors"].select(F.size("ids").alias("n")).collect()
+    assert max(r["n"] for r in shards) == 300 and sum(r["n"] for r in shards) == 1200
+    assert recall(got, plain(np.arange(1200), points, every=50)) >= 0.9 and all(len(x) == 10 for x in got.values())
+
+
 def test_copies_and_ties(spark):
     """A third of all rows are one vector; ties go to the smaller id."""
     rng = np.random.default_rng(3)
