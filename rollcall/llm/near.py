@@ -11,8 +11,13 @@ Comparison is in two steps. Within a node, signatures are compared and classes w
 form a cluster; clusters met in several trees are kept once. Then the full shingle sets of a cluster's classes are
 brought together and compared exactly; a cluster gives links that span its linked classes, never all pairs. Of a cluster
 of more than `leaf_shingles` shingles, slices of the shingles by value are brought together instead, and what its classes
-share in each slice is added up. A node that is still large after `depth` rounds is compared in blocks, all against all,
-so nothing is lost to a bound.
+share in each slice is added up.
+
+A large family of near copies stays together along every path, so large nodes are settled before they branch: each class
+is compared with the nearest of a few pivots of its node, links found so are confirmed, and in each node the component
+with the most classes counts as settled. What is settled needn't be compared among itself again. The other classes of a
+node meet all, in blocks, as soon as that makes fewer copies than branching, and in any case after `depth` rounds: nothing
+is lost to a bound, and a family of n copies costs about n.
 """
 
 from __future__ import annotations
@@ -40,6 +45,8 @@ class Settings:
     leaf: int = 4096  # classes of a node that are compared exhaustively
     leaf_shingles: int = 4_000_000  # and the shingles of them all, unless there are few classes; those compared at once
     depth: int = 4
+    pivots: int = 8  # of a large node, on average
+    chunk: int = 64  # classes that are compared with their pivot at once
     broadcast_rows: int = 1_000_000
 
     @property
@@ -156,16 +163,17 @@ def _steps(size: Column, s: Settings) -> tuple[Column, Column]:
     return tokens, paths
 
 
-def _leaves(classes: DataFrame, s: Settings) -> DataFrame:
-    """(node, left, right): for every node to compare, its classes as arrays of (rep, signature). Only the blocks of
-    nodes that stayed large have a right side; in all others each class meets each."""
+def _leaves(classes: DataFrame, texts: DataFrame, s: Settings) -> tuple[DataFrame, DataFrame | None]:
+    """(node, left, right): for every node to compare, its classes as arrays of (rep, signature). Where there is a right
+    side, the left one meets it; else each class meets each. And, where nodes were large, (id, component) of the classes
+    that were settled first."""
     slim = classes.select("rep", "n", "signature")
     branch = F.explode(F.sequence(F.lit(0), F.lit(s.trees - 1))).alias("tree")
     frontier = (
         slim.select("rep", "n", "signature", branch)
         .select("rep", "n", F.xxhash64("tree", _token(F.col("signature"), F.col("tree"))).alias("node"))
     )
-    found = []
+    found, settled = [], None
     for level in range(s.depth + 1):
         frontier = keep_table(frontier, f"frontier{level}")
         nodes = frontier.groupBy("node").agg(F.count("*").alias("size"), F.sum("n").alias("shingles"))
@@ -180,30 +188,79 @@ def _leaves(classes: DataFrame, s: Settings) -> DataFrame:
         large = placed.where("not small")
         if large.isEmpty():
             break
+        if settled is None:
+            stars = keep_table(_links(_stars(large, s), classes, texts, s), "star_links")
+            settled = keep_table(components(stars), "settled")
+        tokens, paths = _steps(F.col("size"), s)
+        opened, rest = _opened(large, settled, paths, level == s.depth, s)
+        found.append(_blocks(opened, member))
         if level == s.depth:
-            found.append(_blocks(large, member, s))
             break
-        tokens, paths = _steps(F.col("size"), s)
-        spread = large.withColumn("branch", F.explode(F.sequence(F.lit(1), paths)))
+        spread = rest.withColumn("branch", F.explode(F.sequence(F.lit(1), paths)))
         child = _child(F.col("node"), F.col("branch"), tokens, F.col("signature"), s)
         frontier = spread.select("rep", "n", child.alias("node"))
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
-    return out
+    return out, settled
 
 
-def _blocks(large: DataFrame, member: Column, s: Settings) -> DataFrame:
-    """Nodes that stayed large, cut into blocks by hash; every block meets itself and every other one."""
-    cut = large.withColumn("count", F.ceil(F.col("size") / (s.leaf // 2)).cast("int"))
-    cut = cut.withColumn("block", F.pmod(F.xxhash64("rep"), F.col("count")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("count") - 1)).alias("other")
-    met = cut.select("node", "rep", "signature", "block", other)
-    a, b = F.least("block", "other"), F.greatest("block", "other")
-    sides = met.withColumn("a", a).withColumn("b", b)
+def _stars(large: DataFrame, s: Settings) -> DataFrame:
+    """(cluster, rep): each class of a large node with the pivot that its signature is nearest to, if that comes near the
+    threshold, in chunks; and the pivots of a node together. Pivots are picked by hash, about `pivots` a node."""
+    picked = F.pmod(F.xxhash64("rep", F.lit(1)), F.ceil(F.col("size") / s.pivots)) == 0
+    pivots = large.where(picked).select("node", F.col("rep").alias("pivot"), F.col("signature").alias("mark"))
+    pivots = keep_table(pivots, "pivots")
+    few = is_small(pivots, s.broadcast_rows)
+    # A join on the node that no grouping by node follows: adaptive execution splits a very large node.
+    pairs = large.join(F.broadcast(pivots) if few else pivots, "node").where("rep <> pivot")
+    kind = large.schema["rep"].dataType.simpleString()
+
+    def compared(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            if len(batch):
+                one, other = (np.frombuffer(b"".join(batch[c]), np.uint32).reshape(-1, s.tokens) for c in ("signature", "mark"))
+                same = np.count_nonzero(one == other, axis=1)
+                yield batch[["rep", "pivot"]].assign(same=same.astype(np.int32))[same >= s.near * s.tokens]
+
+    near = pairs.select("rep", "pivot", "signature", "mark").mapInPandas(compared, f"rep {kind}, pivot {kind}, same int")
+    nearest = keep_table(near.groupBy("rep").agg(F.max_by("pivot", F.struct("same", "pivot")).alias("pivot")), "nearest")
+    counted = nearest.groupBy("pivot").agg(F.ceil(F.count("*") / F.lit(s.chunk)).alias("chunks"))
+    chunk = F.pmod(F.xxhash64("rep", F.lit(2)), F.col("chunks"))
+    rays = nearest.join(counted, "pivot").select(F.xxhash64("pivot", chunk).alias("cluster"), "rep", "pivot")
+    centres = rays.select("cluster", F.col("pivot").alias("rep"))
+    together = pivots.select(F.xxhash64("node", F.lit("pivots")).alias("cluster"), F.col("pivot").alias("rep"))
+    return keep_table(rays.select("cluster", "rep").unionByName(centres).unionByName(together).distinct(), "stars")
+
+
+def _opened(large: DataFrame, settled: DataFrame, most: Column, last: bool, s: Settings) -> tuple[DataFrame, DataFrame]:
+    """The nodes to compare in blocks, with the block of each class, and the nodes that branch. `others` and `same` are the
+    numbers of blocks of a node's other and settled classes; nodes whose classes are all settled are in neither. A node is
+    opened if its other classes take `most` blocks or fewer, or if it can't branch any more (`last`)."""
+    homes = settled.select(F.col("id").alias("rep"), "component")
+    homed = large.join(homes, "rep", "left").withColumn("home", F.coalesce("component", "rep")).drop("component")
+    homed = keep_table(homed, "homed")
+    counted = homed.groupBy("node", "home").agg(F.count("*").alias("rows"))
+    mains = counted.groupBy("node").agg(F.max_by("home", F.struct("rows", "home")).alias("main"), F.max("rows").alias("most"))
+    half = F.lit(max(1, s.leaf // 2))
+    others, same = F.ceil((F.col("size") - F.col("most")) / half).cast("int"), F.ceil(F.col("most") / half).cast("int")
+    placed = homed.join(mains, "node").withColumns({"others": others, "same": same}).where("others > 0")
+    fits = F.lit(last) | (F.col("others") <= most)
+    mixed, is_main = F.xxhash64("rep", F.lit(3)), F.col("home") == F.col("main")
+    block = F.when(is_main, F.col("others") + F.pmod(mixed, F.col("same"))).otherwise(F.pmod(mixed, F.col("others")))
+    return placed.where(fits).withColumn("block", block.cast("int")), placed.where(~fits)
+
+
+def _blocks(opened: DataFrame, member: Column) -> DataFrame:
+    """The leaves of opened nodes: blocks of other classes meet themselves and all blocks, those of settled classes (the
+    last `same`) only blocks of others."""
+    last = F.when(F.col("block") < F.col("others"), F.col("others") + F.col("same")).otherwise(F.col("others")) - 1
+    met = opened.withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    sides = met.withColumns({"a": F.least("block", "other"), "b": F.greatest("block", "other")})
     left, right = F.when(F.col("block") == F.col("a"), member), F.when(F.col("block") != F.col("a"), member)
     return (
         sides.groupBy("node", "a", "b").agg(F.collect_list(left).alias("left"), F.collect_list(right).alias("right"))
+        .where("a = b or (size(left) > 0 and size(right) > 0)")
         .select(F.xxhash64("node", "a", "b").alias("node"), "left", "right")
     )
 
@@ -220,10 +277,13 @@ def _joined(n: int, near: Iterator[tuple[int, np.ndarray]]) -> np.ndarray:
     return home
 
 
-def _near_rows(signed: np.ndarray, least: float) -> Iterator[tuple[int, np.ndarray]]:
-    for i in range(len(signed) - 1):
-        same = np.count_nonzero(signed[i + 1 :] == signed[i], axis=1)
-        yield i, i + 1 + np.flatnonzero(same >= least * signed.shape[1])
+def _near_rows(signed: np.ndarray, least: float, left: int) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of signatures those after it that come near; with a right side, for each of the `left` first rows
+    those on the right."""
+    for i in range(min(left, len(signed) - 1)):
+        after = i + 1 if left == len(signed) else left
+        same = np.count_nonzero(signed[after:] == signed[i], axis=1)
+        yield i, after + np.flatnonzero(same >= least * signed.shape[1])
 
 
 def _clusters(leaves: DataFrame, s: Settings) -> DataFrame:
@@ -236,16 +296,17 @@ def _clusters(leaves: DataFrame, s: Settings) -> DataFrame:
         for batch in batches:
             names, reps = [], []
             for left, right in zip(batch["left"], batch["right"], strict=True):
-                rows = sorted(((m["rep"], m["signature"]) for m in [*left, *right]), key=lambda r: r[0])
+                rows = [(m["rep"], m["signature"]) for m in [*left, *right]]
                 if len(rows) < 2:
                     continue
                 group: dict[int, list] = {}
                 signed = np.stack([np.frombuffer(r[1], np.uint32) for r in rows])
-                firsts = _joined(len(rows), _near_rows(signed, s.near)).tolist()
+                firsts = _joined(len(rows), _near_rows(signed, s.near, len(left))).tolist()
                 for (rep, _), first in zip(rows, firsts, strict=True):
                     group.setdefault(first, []).append(rep)
                 for members in group.values():
                     if len(members) > 1:
+                        members.sort()
                         name = xxhash.xxh3_64_intdigest(repr(members).encode()) - (1 << 63)
                         names += [name] * len(members)
                         reps += members
@@ -432,9 +493,13 @@ def near_groups(docs: DataFrame, key: str = "doc_id", text: str = "text", settin
     classes = keep_table(
         full.groupBy("key1", "key2", "n").agg(F.min("id").alias("rep"), F.first("signature").alias("signature")), "classes"
     )
-    clusters = keep_table(_clusters(_leaves(classes, s), s), "clusters")
     texts = rows.where("id is not null").withColumnRenamed("id", "rep")
-    found = components(keep_table(_links(clusters, classes, texts, s), "links"))
+    leaves, settled = _leaves(classes, texts, s)
+    clusters = keep_table(_clusters(leaves, s), "clusters")
+    links = _links(clusters, classes, texts, s)
+    if settled is not None:
+        links = links.unionByName(settled.select(F.col("component").alias("a"), F.col("id").alias("b")))
+    found = components(keep_table(links, "links"))
     homes = classes.select("key1", "key2", "n", "rep").join(found, F.col("rep") == F.col("id"), "left")
     homes = homes.select("key1", "key2", "n", F.coalesce("component", "rep").alias("component"))
     placed = full.select("id", "key1", "key2", "n").join(homes, ["key1", "key2", "n"]).select("id", "n", "component")

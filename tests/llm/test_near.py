@@ -105,6 +105,34 @@ def test_large_families_shared_passages_and_copies(spark, settings):
     check(df, dict(enumerate(texts)), settings)
 
 
+def sizes(spark, texts, settings):
+    """Classes in all leaves together, and in the largest one."""
+    df = spark.createDataFrame(list(enumerate(texts)), "rep long, text string")
+    full = near._sets_of(df.withColumnRenamed("rep", "id"), settings).withColumnRenamed("id", "rep")
+    leaves, settled = near._leaves(full, df, settings)
+    found = [len(r["left"]) + len(r["right"]) for r in leaves.collect()]
+    return sum(found), max(found, default=0), settled
+
+
+@pytest.mark.parametrize("depth", [0, 3])
+def test_a_family_that_is_settled_costs_its_size(spark, depth):
+    settings = near.Settings(leaf=16, depth=depth)
+    few, many = (sizes(spark, family(1, n, 3, 400), settings) for n in (150, 1200))
+    assert many[0] < 3 * few[0] + 1200 * settings.trees and many[1] <= 16  # blocks all against all: 64 times
+    assert rows(many[2].groupBy("component").count()) == [(0, 1200)]
+
+
+def test_what_is_not_settled_meets_all(spark):
+    # two families whose members chain, and loose ones between them that share most shingles but too few
+    rnd = random.Random(3)
+    texts = family(4, 120, 3, 300) + family(4, 60, 16, 300) + family(4, 30, 40, 300) + family(5, 70, 10, 200)
+    rnd.shuffle(texts)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for settings in (near.Settings(leaf=16, depth=1), near.Settings(leaf=8, depth=0, pivots=2, chunk=5)):
+        want = check(df, dict(enumerate(texts)), settings)
+        assert 3 < len({c for _, c in want.values()}) < len(texts)
+
+
 def test_threshold_is_met_exactly():
     # 17 of 20 is 85 in 100; 16 of 19 is less
     sets = [np.arange(20, dtype=np.uint64), np.arange(3, 20, dtype=np.uint64), np.arange(100, 119, dtype=np.uint64), np.arange(103, 119, dtype=np.uint64)]
