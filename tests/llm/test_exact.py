@@ -1,7 +1,9 @@
 import hashlib
 
 import duckdb
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from rollcall.llm import exact, queries
 from rollcall.llm.common import bit_plane
@@ -16,7 +18,7 @@ def test_agrees_with_sql_on_whole_tables(spark):
     assert sorted(rows(queries.op2_exact_dedup(spark, SMALL))) == sorted(wanted)
 
 
-@pytest.mark.parametrize("max_cells", [32, 1 << 10, 1 << 27])
+@pytest.mark.parametrize("max_cells", [32, 64, 1 << 10, 1 << 30])
 def test_odd_rows_at_any_size_of_the_filter(odd, max_cells):
     got = sorted(rows(exact.exact_groups(odd, max_cells=max_cells)), key=str)
     by = {}
@@ -29,8 +31,9 @@ def test_odd_rows_at_any_size_of_the_filter(odd, max_cells):
     assert by[5][0][1] == 1 and by[7][0][2] and len(got) == odd.count()
 
 
-def test_rows_that_stay_keep_all_columns(odd):
-    left = exact.without_copies(odd)
+@pytest.mark.parametrize("max_cells", [64, 1 << 30])
+def test_rows_that_stay_keep_all_columns(odd, max_cells):
+    left = exact.without_copies(odd, max_cells=max_cells)
     assert left.columns == odd.columns
     assert sorted((r["doc_id"] for r in left.collect()), key=str) == sorted([2, 4, 5, 6, 7, None], key=str)
     again = exact.without_copies(left)
@@ -52,3 +55,24 @@ def test_only_possibly_repeated_rows_shuffle(spark):
     assert got.filter("group_size = 40").count() == 40 and got.filter("kept").count() == 3961
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert "Union" in plan and "Filter NOT" in plan
+
+
+def test_marks_are_merged_by_word():
+    words = np.array([5, 2, 5, 5, 2], np.int64)
+    once = np.array([0b0011, 0b1, 0b0110, 1 << 63, 0b1], np.uint64)
+    twice = np.array([0, 0, 0b1000, 0, 0], np.uint64)
+    got = [x.tolist() for x in exact.merge(words, once, twice)]
+    assert got == [[2, 5], [0b1, 0b0111 | 1 << 63], [0b1, 0b1010]]
+
+
+def test_several_filters_suspect_no_more_than_one(spark):
+    df = spark.range(40_000, numPartitions=5).selectExpr("id", "unhex(sha2(string(if(id % 50 = 0, 0, id)), 256)) AS sha")
+    shares = []
+    for most in (1 << 30, 1 << 15):  # one filter of 2^20 cells; 20 of 2^15
+        tested = exact.Tested(df, 16, most)
+        lost = F.expr("count_if(id % 50 = 0 and not maybe)").alias("lost")
+        found = tested.flagged.agg(F.count_if("maybe").alias("n"), lost).first()
+        assert found["lost"] == 0 and tested.flagged.count() == 40_000
+        shares.append(found["n"] / 40_000)
+    assert tested.filters == exact.Filters(20, 1 << 15)
+    assert all(0.02 <= share < 0.03 for share in shares)  # 1 in 50 is repeated
