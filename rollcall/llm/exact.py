@@ -26,6 +26,8 @@ PROBES = 4
 #: Words of 64 cells that are merged and sent as one row, and rows that a task merges at once.
 SLAB, CHUNK = 1 << 14, 1 << 16
 MAX_CELLS = 1 << 30
+#: Parts of the copies of one text.
+SALTS = 256
 #: Verdicts that are broadcast to documents at the most, if there are several filters.
 BROADCAST_ROWS = 1_000_000
 
@@ -176,9 +178,12 @@ def exact_groups(
     hashes = _hashes(docs, key, text)
     flagged = Tested(hashes, cells_per_row, max_cells).flagged
     suspects = flagged.where("maybe").select("id", "sha")
-    groups = suspects.groupBy("sha").agg(F.max("id").alias("keep_id"), F.count("*").alias("group_size"))
-    # A join on the hash that nothing follows: adaptive execution splits the partition of a text that is a third of all.
-    checked = suspects.join(groups, "sha").select("id", "keep_id", "group_size", "sha")
+    # The copies of one text are dealt to SALTS parts, so that no task holds them all: rows meet the verdict of their part.
+    salted = suspects.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
+    parts = salted.groupBy("sha", "salt").agg(F.max("id").alias("top"), F.count("*").alias("n"))
+    groups = parts.groupBy("sha").agg(F.max("top").alias("keep_id"), F.sum("n").alias("group_size"))
+    verdicts = parts.select("sha", "salt").join(groups, "sha")
+    checked = salted.join(verdicts, ["sha", "salt"]).select("id", "keep_id", "group_size", "sha")
     alone = flagged.where("not maybe").select(
         "id", F.col("id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha"
     )
