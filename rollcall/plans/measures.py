@@ -1,17 +1,19 @@
 """The dashboard's measures under any filter and grouping of employees.
 
-Every fact is added up per employee first, so grouping by any employee attribute costs one join of small rows.
+Every fact is added up per employee first, so grouping by any employee attribute costs one join of small rows for all facts.
 Records of unknown employees, and openings without a hire, fall under NULL attributes, as a blank member does.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rollcall.functions.bands import absence_rag, absence_rag_rule, compliance_rag, pay_gap_rag
 from rollcall.functions.numbers import percent, spell_score
-from rollcall.operators.rollup import ROWS, attach, by_attribute, per_employee, stitch
+from rollcall.operators.rollup import ROWS, attach, per_employee, stitch
 from rollcall.plans.absence import INTERVIEW_DAYS, WORKING_DAYS, is_sick
 from rollcall.plans.headcount import is_active
 from rollcall.plans.pay import gender_pay
@@ -21,16 +23,7 @@ from rollcall.sources.schemas import FEMALE, FILLED, MALE, ONGOING
 def measures(tables, by: list[str] | None = None, working_days: int = WORKING_DAYS) -> DataFrame:
     """One row of measures per group of employees; ratios are unrounded."""
     by = by or []
-    gone = {"leavers_count": F.count(ROWS)}
-    one = stitch(
-        by,
-        _heads(tables.employees, by),
-        gender_pay(tables.employees, by),
-        by_attribute(_facts(tables).leavers, tables.employees, by, gone, how="left", narrow=_is_narrow(tables)),
-        _absence(tables, by),
-        _recruitment(tables, by),
-        _training(tables, by),
-    )
+    one = stitch(by, _heads(tables.employees, by), gender_pay(tables.employees, by), _records(tables, by))
     counts = ["total_headcount", "active_headcount", "female_headcount", "male_headcount", "leavers_count", "covered"]
     one = one.fillna(0, subset=counts if by else [*counts, "open_vacancies"])
     c = F.col
@@ -89,10 +82,16 @@ def _facts(tables):
     return tables.whole if _is_narrow(tables) else tables
 
 
-def _placed(people, tables, by):
-    if _is_narrow(tables):
-        return attach(people, tables.employees, by)
-    return attach(people, tables.employees, by, how="left") if by else people
+def _records(tables, by):
+    """The totals of all facts by group. The facts' totals per employee go under each other, so that they meet the employees
+    in one join, whatever the number of facts."""
+    facts = _facts(tables)
+    frames = [_leavers(facts), _absence(facts), _recruitment(facts), _training(facts)]
+    people = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    if by or _is_narrow(tables):
+        people = attach(people, tables.employees, by, how="inner" if _is_narrow(tables) else "left")
+    sums = [F.sum(name).alias(name) for name in people.columns if name not in ("employee_id", *by)]
+    return people.groupBy(*by).agg(*sums)
 
 
 def _heads(employees, by):
@@ -105,29 +104,27 @@ def _heads(employees, by):
     )
 
 
-def _absence(tables, by):
+def _leavers(facts):
+    return per_employee(facts.leavers, {"leavers_count": F.count(ROWS)})
+
+
+def _absence(facts):
     due = is_sick() & (F.col("days_absent") >= INTERVIEW_DAYS)
     people = per_employee(
-        _facts(tables).absences,
+        facts.absences,
         {
             "spells": F.count(ROWS),
             "days": F.sum("days_absent"),
-            "sick_days": F.sum(F.when(is_sick(), F.col("days_absent"))),
-            "due": F.count_if(due),
-            "held": F.count_if(due & F.col("return_to_work_interview")),
+            "total_sick_days": F.sum(F.when(is_sick(), F.col("days_absent"))),
+            "interviews_due": F.count_if(due),
+            "interviews_held": F.count_if(due & F.col("return_to_work_interview")),
         },
-    ).withColumn("score", spell_score(F.col("spells"), F.col("days")))
-    grouped = _placed(people, tables, by)
-    return grouped.groupBy(*by).agg(
-        F.sum("sick_days").alias("total_sick_days"),
-        F.sum("score").alias("score_sum"),
-        F.count("score").alias("scored"),
-        F.sum("due").alias("interviews_due"),
-        F.sum("held").alias("interviews_held"),
     )
+    score = spell_score(F.col("spells"), F.col("days"))
+    return people.withColumn("score_sum", score).withColumn("scored", score.isNotNull().cast("int")).drop("spells", "days")
 
 
-def _recruitment(tables, by):
+def _recruitment(facts):
     is_filled = F.col("outcome") == FILLED
     days = F.when(is_filled, F.col("time_to_fill_days"))
     roles = {"": F.lit(True), "_academic": F.col("is_academic"), "_support": ~F.col("is_academic")}
@@ -139,27 +136,19 @@ def _recruitment(tables, by):
     for suffix, role in roles.items():
         sums[f"fill_days{suffix}"] = F.sum(F.when(role, days))
         sums[f"fill_n{suffix}"] = F.count(F.when(role, days))
-    return by_attribute(
-        _facts(tables).recruitment, tables.employees, by, sums, "", "left", "hired_employee_id", _is_narrow(tables)
-    )
+    hired = per_employee(facts.recruitment, sums, id_col="hired_employee_id")
+    return hired.withColumnRenamed("hired_employee_id", "employee_id")
 
 
-def _training(tables, by):
+def _training(facts):
     people = per_employee(
-        _facts(tables).training,
+        facts.training,
         {
-            "records": F.count(ROWS),
-            "passed": F.count_if("passed"),
-            "cost": F.sum("cost_eur"),
-            "any_pass": F.max((F.col("mandatory") & F.col("passed")).cast("int")),
+            "training_records": F.count(ROWS),
+            "training_passed": F.count_if("passed"),
+            "spend": F.sum("cost_eur"),
+            "covered": F.max((F.col("mandatory") & F.col("passed")).cast("int")),
         },
     )
     # records without an employee are together one group, which is nobody's
-    people = people.withColumn("any_pass", F.when(F.col("employee_id").isNotNull(), F.col("any_pass")))
-    grouped = _placed(people, tables, by)
-    return grouped.groupBy(*by).agg(
-        F.sum("records").alias("training_records"),
-        F.sum("passed").alias("training_passed"),
-        F.sum("cost").alias("spend"),
-        F.sum("any_pass").alias("covered"),
-    )
+    return people.withColumn("covered", F.when(F.col("employee_id").isNotNull(), F.col("covered")))
