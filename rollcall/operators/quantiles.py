@@ -181,7 +181,8 @@ def assign_quartile(
 
     Rows with equal values follow each other by md5 of the key, then by key. The rows where buckets begin are found
     by counting: per value, then per md5 prefix among the rows at those few values, then within those few prefixes.
-    Every row is then numbered by comparing it with these rows, in place and without being shuffled.
+    Every row is then numbered by comparing it with these rows, in place and without being shuffled. Rows of one value and
+    key are not told apart and go into the same bucket.
     """
     rows = df.filter(F.col(value).isNotNull()).select(F.col(value).alias("v"), F.col(key).alias("k"))
     keyed = rows.select(F.lit(0).alias("g"), thousands(F.col("v")).alias("bucket"), "v")
@@ -191,37 +192,25 @@ def assign_quartile(
         firsts = starts(n, buckets)
         return F.array(*[F.struct(F.lit(i).alias("target"), r.alias("rank")) for i, r in enumerate(firsts)])
 
-    at_values = _few(
-        _locate(counts, wanted).selectExpr("named_struct('target', target, 'v', v, 'rank', rank - start) AS at")
-    )
-    tied = rows.withColumn("at", at_values.scalar()).filter("array_contains(at.v, v)")
-    prefixes = (
-        tied.selectExpr(
-            "named_struct('value', v, 'at', at) AS g",
-            "substring(md5(k), 1, 2) AS bucket",
-            "substring(md5(k), 1, 4) AS v",
-        )
-        .transform(_count)
-        .withColumn("v_total", F.expr(NO_TOTAL))
-    )
-
-    def among_tied(_):
-        here = "filter(g.at, a -> a.v = g.value)"
-        return F.expr(f"transform({here}, a -> named_struct('target', a.target, 'rank', a.rank))")
-
-    at_prefixes = _few(
-        _locate(prefixes, among_tied).selectExpr(
-            "named_struct('target', target, 'value', g.value, 'prefix', v, 'rank', rank - start) AS at"
-        )
+    # a row for each value that holds a wanted rank: fewer than buckets
+    places = F.collect_list(F.struct("target", (F.col("rank") - F.col("start")).alias("rank")))
+    at_values = _locate(counts, wanted).groupBy(F.col("v").alias("value")).agg(places.alias("places"))
+    # counts by prefix are 65,536 for each of these values at the most, so that one window may go over them
+    upto = "PARTITION BY value ORDER BY prefix ROWS UNBOUNDED PRECEDING"
+    at_prefixes = (
+        rows.join(F.broadcast(at_values), F.expr("v = value"))
+        .groupBy("value", F.expr("substring(md5(k), 1, 4) AS prefix"), "places")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .selectExpr("value", "prefix", "n", f"sum(n) OVER ({upto}) - n AS start", "places")
+        .selectExpr("value", "prefix", "start", "inline(filter(places, p -> p.rank >= start AND p.rank < start + n))")
+        .selectExpr("target", "value", "prefix", "rank - start AS rank")
     )
     last = (
-        rows.withColumn("at", at_prefixes.scalar())
-        .filter("array_contains(at.value, v)")
-        .selectExpr("v", "k", "md5(k) AS h", "explode(at) AS a")
-        .filter("a.value = v AND a.prefix = substring(h, 1, 4)")
-        .selectExpr("*", "row_number() OVER (PARTITION BY a ORDER BY h, k) - 1 AS place")
+        rows.withColumn("h", F.md5("k"))
+        .join(F.broadcast(at_prefixes), F.expr("v = value AND prefix <=> substring(h, 1, 4)"))
+        .selectExpr("v", "k", "h", "rank", "row_number() OVER (PARTITION BY target ORDER BY h, k) - 1 AS place")
     )
-    cuts = _few(last.filter("place = a.rank").selectExpr("named_struct('v', v, 'h', h, 'k', k) AS at"))
+    cuts = _few(last.filter("place = rank").selectExpr("named_struct('v', v, 'h', h, 'k', k) AS at"))
 
     v, k = F.col(value), F.col(key)
 

@@ -224,3 +224,15 @@ def test_checks_let_null_pass(spark):
 def test_duplicate_keys(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "k string")
     assert sorted(rows(quality.duplicate_keys(df, "k")), key=str) == [("a", 2), (None, 1)]
+
+
+def test_quartiles_where_one_value_and_rows_without_a_key_hold_most(spark):
+    """Two thirds on one value, some of them without a key: buckets are as large as NTILE's, in its order."""
+    data = [(str(i), 50_000 if i % 3 else 1_000 * i) for i in range(300)] + [(None, 50_000), ("x", None)]
+    df = spark.createDataFrame(data, "k string, v bigint")
+    got = quantiles.assign_quartile(df, "v", "k")
+    known = df.filter("v is not null").selectExpr("k", "v", "ntile(4) OVER (ORDER BY v, md5(k), k) AS quartile")
+    assert sorted(rows(got.filter("v is not null"), "k", "v", "quartile"), key=str) == sorted(rows(known), key=str)
+    assert rows(got.filter("v is null"), "quartile") == [(None,)]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window") <= 6
