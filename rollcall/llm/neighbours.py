@@ -22,6 +22,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -303,16 +304,24 @@ def _merged(found: DataFrame, k: int) -> DataFrame:
 
 
 def _asked(shards: DataFrame, queries: DataFrame, codes: Codes, k: int, block_queries: int, schema: str) -> DataFrame:
-    """What the shards answer to all queries, in blocks of about `block_queries`."""
+    """What the shards answer to all queries, in blocks of about `block_queries`. Of several blocks each has its answers
+    written, and what was broadcast for it dropped, before the next is collected: one block is held at a time."""
     n = queries.count()
     n_blocks = 1 if n <= block_queries else -(-5 * n // (4 * block_queries))
-    blocks = [queries.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == b) for b in range(n_blocks)] if n else []
-    none = shards.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionByName, [_of_block(shards, block, codes, k, schema) for block in blocks], none)
-
-
-def _of_block(shards: DataFrame, block: DataFrame, codes: Codes, k: int, schema: str) -> DataFrame:
-    """The best of each shard for a block of queries, which is collected and broadcast: its size has a bound."""
+    parts = []
+    for block in range(n_blocks if n else 0):
+        some = queries.where(F.pmod(F.xxhash64("id"), F.lit(n_blocks)) == block)
+        found, sent = _of_block(shards, some, codes, schema, k)
+        if n_blocks > 1:
+            found = keep_table(_merged(found, k).drop("rank"), "answers")
+            sent.destroy()
+        parts.append(found)
+    return reduce(DataFrame.unionByName, parts, shards.sparkSession.createDataFrame([], schema))
+
+
+def _of_block(shards: DataFrame, block: DataFrame, codes: Codes, schema: str, k: int) -> tuple[DataFrame, Broadcast]:
+    """The best of each shard for a block of queries, which is collected and broadcast: its size has a bound. And the
+    broadcast."""
     asked = block.toArrow()
     own = asked.column("id").combine_chunks()
     points = _matrix(asked.column("vector").combine_chunks()) if len(own) else np.zeros((0, len(codes.mean)))
@@ -337,4 +346,4 @@ def _of_block(shards: DataFrame, block: DataFrame, codes: Codes, k: int, schema:
                     arrays = [own.take(pa.array(which)), names.take(pa.array(places)), pa.array(far)]
                     yield pa.RecordBatch.from_arrays(arrays, ["query", "neighbour", "score"])
 
-    return shards.mapInArrow(run, schema)
+    return shards.mapInArrow(run, schema), sent
