@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -260,7 +261,7 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 20, key: str = "doc_id",
     key, null keys last. Repeated documents are ranked each; items of one id are asked each, and so have ranks each. An
     empty table on either side gives no rows. Other columns are never looked at. Very long texts are cut into words in
     parts of a megabyte, at places between words; all of a text counts. Items go to the workers in blocks of
-    `block_bytes`."""
+    `block_bytes`, one after another; of each, only its shards and answers stay, as tables."""
     spark = docs.sparkSession
     prepare(spark)
     names = [("item", item_key), ("doc", key)]
@@ -276,14 +277,19 @@ def ranked(docs: DataFrame, items: DataFrame, k: int = 20, key: str = "doc_id",
         some = wanted.where(F.pmod(F.xxhash64("row"), F.lit(n_blocks)) == block).orderBy("row").collect()
         asked = asked_of([r["text"] for r in some])
         if len(asked.hashes):
-            parts.append(_of_block(docs, some, asked, k, key, text, kinds, shard_docs, shard_postings))
+            found, sent = _of_block(docs, some, asked, k, key, text, kinds, shard_docs, shard_postings)
+            if n_blocks > 1:  # of several blocks one is held at a time
+                found = keep_table(found, "ranked")
+                sent.destroy()
+            parts.append(found)
     none = spark.createDataFrame([], f"item {kinds[0]}, rank int, doc {kinds[1]}, score long")
     found = reduce(DataFrame.unionByName, parts, none) if len(parts) != 1 else parts[0]
     return found.select(F.col("item").alias(names[0][1]), "rank", F.col("doc").alias(names[1][1]), "score")
 
 
 def _of_block(docs: DataFrame, some: list, asked: Asked, k: int, key: str, text: str, kinds: list[str], shard_docs: int,
-              shard_postings: int) -> DataFrame:
+              shard_postings: int) -> tuple[DataFrame, Broadcast]:
+    """The answers to a block of items, and what was broadcast for them."""
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(asked)
     shards = index(docs, sent, key, text, shard_docs, shard_postings)
@@ -309,4 +315,4 @@ def _of_block(docs: DataFrame, some: list, asked: Asked, k: int, key: str, text:
     first = found.withColumn("rank", F.row_number().over(Window.partitionBy("row", "salt").orderBy(*order))).where(F.col("rank") <= k)
     last = first.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy(*order))).where(F.col("rank") <= k)
     names = spark.createDataFrame([(r, name_of[r]) for r in rows], f"row long, item {kinds[0]}")
-    return last.join(F.broadcast(names), "row").select("item", "rank", "doc", "score")
+    return last.join(F.broadcast(names), "row").select("item", "rank", "doc", "score"), sent
