@@ -142,3 +142,54 @@ def test_held_out_accuracy_on_the_whole_table(spark):
 
 def test_best_cut_prefers_the_middle_of_the_gap():
     assert tox.best_cut(np.array([3.0, 2.0, -1.0, -2.0]), np.array([1, 1, 0, 0]), np.ones(4)) == 0.5
+
+
+def test_every_labelled_row_teaches(spark):
+    """Forty toxic words, each in a few rows, and blocks of 60 rows: a sample of 60 rows misses many of them."""
+    rnd = random.Random(11)
+    plain = [f"w{i}" for i in range(300)]
+    bad = ["".join(rnd.choices("abcdefghijklmnop", k=9)) for _ in range(40)]
+    docs = []
+    for i in range(1600):
+        words, toxic = rnd.choices(plain, k=rnd.randint(5, 40)), int(i % 4 == 0)
+        if toxic:
+            words.insert(rnd.randrange(len(words)), bad[i // 4 % len(bad)])
+        docs.append((i, " ".join(words), "en", toxic))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string, label int")
+    given = df.select("doc_id", F.col("label").alias("toxic"))
+    model = tox.learn(df, given, settings=tox.Settings(epochs=4, buckets=1 << 14, train_rows=60))
+    p = tox.Scorer(model.network)([f"w1 w2 w3 {word} w4" for word in bad] + [f"w{i} w{i + 1} w{i + 2}" for i in range(40)])
+    assert (p[:40] >= 0.5).mean() > 0.9 and (p[40:] < 0.5).mean() > 0.9
+
+
+def test_blocks_are_averaged_by_their_texts(spark):
+    """One pass over two blocks by Spark equals each block descended alone and the weighted mean of what changed."""
+    s = tox.Settings(buckets=1 << 8, dim=4, filters=2)
+    odds = np.linspace(-1, 1, s.buckets).astype(np.float32)
+    given = [(0, int(k % 3 == 0), f"a{k} b{k % 5} c") for k in range(70)] + [(1, k % 2, f"d{k} b{k % 7}") for k in range(40)]
+    df = spark.createDataFrame(given, "block int, toxic int, text string").coalesce(1)
+    got = tox.Training(tox.train(df, odds, s, 1))
+    start, sums, weights = tox.Training(tox.first_network(odds, s)).values(), 0, 0
+    for block in (0, 1):
+        alone, own = tox.Training(tox.first_network(odds, s)), [r for r in given if r[0] == block]
+        for at in range(0, len(own), s.batch):
+            part = own[at : at + s.batch]
+            alone.batch([tox.words_of(t) for _, _, t in part], np.array([y for _, y, _ in part], np.float32), tox.Numbered(s.buckets))
+        change = alone.values() - start
+        touched = np.abs(change).sum(1) > 0
+        sums, weights = sums + len(own) * change, weights + len(own) * touched
+    want = start + sums / np.maximum(weights, 1)[:, None]
+    assert np.allclose(got.values()[:, : s.dim], want[:, : s.dim], atol=1e-5) and np.abs(want - start).max() > 0.01
+
+
+def test_cuts_of_bins_are_those_of_rows():
+    rng = np.random.default_rng(4)
+    z = np.round(rng.normal(0, 2, 4_000), 3)
+    toxic = (z + rng.normal(0, 1, len(z)) > 1).astype(int)
+    f1 = lambda cut: 2 * (toxic & (z >= cut)).sum() / ((z >= cut).sum() + toxic.sum())
+    best = max(f1(cut) for cut in np.unique(z))
+    assert f1(tox.best_cut(z, toxic, np.ones(len(z)))) == best
+    own, where = np.unique(np.floor(z * tox.BINS), return_inverse=True)
+    low, high = (np.array([f(z[where == k]) for k in range(len(own))]) for f in (min, max))
+    cut = tox.best_bin(low, high, np.bincount(where, toxic), np.bincount(where, 1 - toxic))
+    assert f1(cut) > best - 1e-3
