@@ -119,14 +119,15 @@ def mark_orphans(
 ) -> DataFrame:
     """Every child row with whether its key is unknown to the parent; a NULL key counts as ``null_breaks`` says.
 
-    One lazy plan: a left join to the distinct known keys, on the key and a hash that for rows without a key is one of
-    ``spread_by``, a column that differs from row to row; so these spread over all tasks. A very common key is left to
-    adaptive execution, which may split its rows over tasks: the second join column gives both sides an exchange of their
-    own, and nothing after the join asks for their partitioning.
+    One lazy plan: a left join to the distinct known keys, on the key and a number that for rows without a key is a hash of
+    ``spread_by``, a column that differs from row to row; so these spread over all tasks. For all others it is 0, which
+    takes no room in the exchange; it is written as a remainder by 1, since a join column that is seen to be constant would
+    be dropped. A very common key is left to adaptive execution, which may split its rows over tasks: the second join column
+    gives both sides an exchange of their own, and nothing after the join asks for their partitioning.
     """
-    salt = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(key))
+    salt = F.when(F.col(key).isNull(), F.xxhash64(spread_by)).otherwise(F.xxhash64(key) % 1)
     known = parent.select(F.col(parent_key).alias("known_key")).filter("known_key is not null").distinct()
-    known = known.withColumn("known_salt", F.xxhash64("known_key"))
+    known = known.withColumn("known_salt", F.xxhash64("known_key") % 1)
     match = (F.col(key) == F.col("known_key")) & (F.col("salt") == F.col("known_salt"))
     unknown = F.col("known_key").isNull() & (F.lit(null_breaks) | F.col(key).isNotNull())
     return (

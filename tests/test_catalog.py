@@ -136,3 +136,20 @@ def test_medians_scan_their_table_once(spark):
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert "ReusedExchange [g" in final and final.count("o_orderstatus") > 0
     assert len([line for line in final.splitlines() if "FileScan" in line and "o_orderkey" in line]) == 1
+
+
+def test_lines_are_narrowed_before_they_are_shuffled(spark):
+    """Of training records, no timestamp and no double that has a shorter form goes through an exchange, nor a hash of a
+    key that the row holds anyway."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = REPORTS["D_clean_training"](RoleTables(spark, FILES))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line and "l_shipdate" in line)
+    exchange = max(i for i in range(scan) if "Exchange" in lines[i])
+    assert any("as date) AS completion_date" in line and "AS passed" in line for line in lines[exchange:scan])
+    assert not any("l_shipdate" in line or "l_discount" in line for line in lines[:exchange])
+    assert "(xxhash64(employee_id" in plan and "% 1)" in plan
